@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Sequence
 from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # UTF-8 letters that were read as Windows-1252 or Latin-1.
 MOJIBAKE = {
@@ -23,16 +25,7 @@ MOJIBAKE = {
 }
 
 # Letters written as base plus combining mark, and their single-character form.
-DECOMPOSED = {
-    "Å": "Å",
-    "Ä": "Ä",
-    "Ö": "Ö",
-    "É": "É",
-    "å": "å",
-    "ä": "ä",
-    "ö": "ö",
-    "é": "é",
-}
+DECOMPOSED = {unicodedata.normalize("NFD", letter): letter for letter in "ÅÄÖÉåäöé"}
 
 # Fixed value: column names that are taken to hold names of places.
 NAME_COLUMNS = re.compile("name|region|kommun|lan|municipality|ort|stad", re.IGNORECASE)
@@ -59,7 +52,7 @@ def compose(c: Column) -> Column:
     return _replaced(c, DECOMPOSED)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def compose_any(names: pd.Series) -> pd.Series:
     """NFC for any script; Spark has no built-in for it."""
     return names.str.normalize("NFC")

@@ -35,19 +35,24 @@ def query(sql: str | None = None, doubles: str = "", digits: int = 6):
             raise ValueError(f"two queries are called {key}")
         QUERIES[key] = run
         if sql is not None:
-            rounds = ", ".join(f"round({c}, {digits}) + 0.0 as {c}" for c in doubles.split())
+            rounds = ", ".join(f"round({c} + {nudge(digits)!r}, {digits}) + 0.0 as {c}" for c in doubles.split())
             ORACLE[key] = f"select * replace ({rounds}) from ({sql})" if rounds else sql
         return fn
 
     return register
 
 
+def nudge(digits: int) -> float:
+    """Moves exact halves, which two engines may round to different sides, off the edge."""
+    return 10.0 ** -(digits + 3)
+
+
 def comparable(df: DataFrame, digits: int) -> DataFrame:
     def one(name: str, kind: str) -> Column:
         c = F.col(f"`{name}`")
         if kind == "double":
             # + 0.0 turns a negative zero into zero
-            return (F.round(c, digits) + F.lit(0.0)).alias(name)
+            return (F.round(c + F.lit(nudge(digits)), digits) + F.lit(0.0)).alias(name)
         if kind == "timestamp":
             return c.cast("timestamp_ntz").alias(name)
         return c
