@@ -34,30 +34,20 @@ def _keep(df, keys, order, pick) -> DataFrame:
     return picked.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
 
 
-def on_grid(df: DataFrame, grid: Grid) -> DataFrame:
-    """Only rows on the key's own grid, whose phase is the key's first timestamp."""
-    rows = grid.placed(df).withColumn("_off", grid.offset())
-    first = rows.groupBy(*grid.keys, CHUNK).agg(F.min(grid.ts).alias("_first"))
-    per_key = Window.partitionBy(*grid.keys)
-    phase = first.select(*grid.keys, CHUNK, F.min("_first").over(per_key).alias("_first"))
-    phase = phase.withColumn("_phase", F.pmod(F.unix_micros("_first"), F.lit(grid.step_micros))).drop("_first")
-    kept = rows.join(phase, [*grid.keys, CHUNK]).where(F.col("_off") == F.col("_phase"))
-    return kept.select(*df.columns)
-
-
 def _known(name: str) -> Column:
     return F.when(F.col(name).isNotNull(), F.struct(F.col(POS).alias("pos"), F.col(name).alias("v")))
 
 
-def _with_neighbours(rows: DataFrame, grid: Grid, fills: Sequence[str], linear: Sequence[str]) -> DataFrame:
+def _known_edges(fills: Sequence[str], linear: Sequence[str]) -> tuple[dict[str, Column], dict[str, Column]]:
+    before = {f"_pe_{c}": _known(c) for c in fills}
+    return before, {"_next_pos": F.col(POS), **{f"_ne_{c}": _known(c) for c in linear}}
+
+
+def _with_neighbours(rows: DataFrame, edges: DataFrame, grid: Grid, fills: Sequence[str], linear: Sequence[str]) -> DataFrame:
     """Add the known value at or before (``_p_c``) and, for ``linear``, after (``_n_c``)."""
-    edges = chunk_edges(
-        rows,
-        grid.keys,
-        before={f"_pe_{c}": _known(c) for c in fills},
-        after={"_next_pos": F.col(POS), **{f"_ne_{c}": _known(c) for c in linear}},
-    )
-    joined = rows.join(edges, [*grid.keys, CHUNK], "left")
+    joined = rows.join(edges, [*grid.keys, CHUNK])
+    if "_phase" in edges.columns:
+        joined = joined.where(F.col("_off") == F.col("_phase"))
     up, down = grid.window().rowsBetween(*SO_FAR), grid.reverse_window().rowsBetween(*STRICTLY_BEFORE)
     out = joined.select(
         *rows.columns,
@@ -71,14 +61,44 @@ def _with_neighbours(rows: DataFrame, grid: Grid, fills: Sequence[str], linear:
     )
 
 
-def _filled(value: Column, at: Column, name: str, limit: int | None, interpolate: bool) -> Column:
+def _phased_edges(rows: DataFrame, grid: Grid, fills: Sequence[str], linear: Sequence[str]) -> DataFrame:
+    """Chunk edges over rows on the key's own grid only, whose phase is its first timestamp.
+
+    One aggregation by (key, chunk, phase) serves both questions: which phase comes first, and
+    what the chunks of that phase hold.
+    """
+    before, after = _known_edges(fills, linear)
+    per_phase = rows.groupBy(*grid.keys, CHUNK, "_off").agg(
+        F.min(grid.ts).alias("_first"),
+        *[F.max(c).alias(n) for n, c in before.items()],
+        *[F.min(c).alias(n) for n, c in after.items()],
+    )
+    per_key = Window.partitionBy(*grid.keys)
+    first = per_phase.groupBy(*grid.keys, CHUNK).agg(F.min("_first").alias("_start"))
+    first = first.select(*grid.keys, CHUNK, F.min("_start").over(per_key).alias("_start"))
+    phase = F.pmod(F.unix_micros("_start"), F.lit(grid.step_micros))
+    own = per_phase.join(first.select(*grid.keys, CHUNK, phase.alias("_phase")), [*grid.keys, CHUNK])
+    own = own.where(F.col("_off") == F.col("_phase"))
+    earlier, later = per_key.orderBy(CHUNK), per_key.orderBy(F.col(CHUNK).desc())
+    return own.select(
+        *grid.keys,
+        CHUNK,
+        "_phase",
+        *[F.last(n, True).over(earlier.rowsBetween(*STRICTLY_BEFORE)).alias(n) for n in before],
+        *[F.last(n, True).over(later.rowsBetween(*STRICTLY_BEFORE)).alias(n) for n in after],
+    )
+
+
+def _filled(value: Column, at: Column, name: str, limit: int | None, interpolate: bool, hold: bool = False) -> Column:
     prev, nxt = F.col(f"_p_{name}"), F.col(f"_n_{name}")
     steps = at - prev["pos"]
+    within = prev.isNotNull() if limit is None or hold else steps <= limit
+    if hold and limit is not None:
+        steps = F.least(steps, F.lit(limit))
     guess = prev["v"]
     if interpolate:
         slope = (nxt["v"] - prev["v"]) * steps / (nxt["pos"] - prev["pos"])
         guess = F.coalesce(prev["v"] + slope, prev["v"])
-    within = prev.isNotNull() if limit is None else steps <= limit
     return F.coalesce(value, F.when(within, guess))
 
 
@@ -99,13 +119,19 @@ def regularize(
     first *n* steps of a gap (a trailing gap repeats the last value), ``ffill`` columns the
     last value for the first *n* steps; ``None`` is without limit. ``flags`` become false on
     new rows and where NULL. ``imputed_flag`` marks rows where ``imputed_from`` was NULL
-    before any filling. Expects one row per (key, timestamp).
+    before any filling. Rows off the key's grid, whose phase is its first timestamp, go; with
+    ``check_phase=False`` the caller vouches that there are none. Expects one row per (key,
+    timestamp).
     """
     linear, ffill = dict(linear or {}), dict(ffill or {})
     fills = [*linear, *ffill]
-    source = on_grid(df, grid) if check_phase else df
-    rows = grid.placed(source).withColumn("_phase", grid.offset())
-    known = _with_neighbours(rows, grid, fills, list(linear))
+    rows = grid.placed(df).withColumn("_off", grid.offset())
+    if check_phase:
+        edges = _phased_edges(rows, grid, fills, list(linear))
+    else:
+        before, after = _known_edges(fills, list(linear))
+        edges = chunk_edges(rows, grid.keys, before, after)
+    known = _with_neighbours(rows, edges, grid, fills, list(linear))
     steps = F.sequence(F.col(POS), F.coalesce(F.col("_next_pos"), F.col(POS) + 1) - 1)
     grown = known.withColumn("_at", F.explode(steps))
     real = F.col("_at") == F.col(POS)
@@ -114,7 +140,7 @@ def regularize(
         if c in grid.keys:
             return F.col(c)
         if c == grid.ts:
-            return F.timestamp_micros(F.col("_at") * grid.step_micros + F.col("_phase")).alias(c)
+            return F.timestamp_micros(F.col("_at") * grid.step_micros + F.col("_off")).alias(c)
         value = F.when(real, F.col(c))
         if c in linear:
             value = _filled(value, F.col("_at"), c, linear[c], True)
@@ -135,15 +161,21 @@ def fill_gaps(
     grid: Grid,
     linear: Mapping[str, int | None] | None = None,
     ffill: Mapping[str, int | None] | None = None,
+    hold: Sequence[str] = (),
 ) -> DataFrame:
-    """The filling of ``regularize`` on a series that is regular already."""
+    """The filling of ``regularize`` on a series that is regular already.
+
+    Columns in ``hold`` keep the value of the last filled step for the rest of a longer gap.
+    """
     linear, ffill = dict(linear or {}), dict(ffill or {})
     rows = grid.placed(df)
-    known = _with_neighbours(rows, grid, [*linear, *ffill], list(linear))
+    before, after = _known_edges([*linear, *ffill], list(linear))
+    edges = chunk_edges(rows, grid.keys, before, after)
+    known = _with_neighbours(rows, edges, grid, [*linear, *ffill], list(linear))
     limits = {**linear, **ffill}
     return known.select(
         *[
-            _filled(F.col(c), F.col(POS), c, limits[c], c in linear).alias(c) if c in limits else F.col(c)
+            _filled(F.col(c), F.col(POS), c, limits[c], c in linear, c in hold).alias(c) if c in limits else F.col(c)
             for c in df.columns
         ]
     )

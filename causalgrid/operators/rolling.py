@@ -16,6 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
+from causalgrid.operators.chunks import Grid
+
 
 @dataclass(frozen=True)
 class Rolling:
@@ -32,79 +34,67 @@ def min_periods(width: int, fraction: float = 0.5) -> int:
     return max(1, int(width * fraction))
 
 
-def _single(c: Column) -> Column:
-    x = c.cast("double")
-    known = x.isNotNull()
-    return F.struct(
-        known.cast("long").alias("n"),
-        F.coalesce(x, F.lit(0.0)).alias("s"),
-        F.lit(0.0).alias("m2"),
-        x.alias("lo"),
-        x.alias("hi"),
+def _single(c: str) -> str:
+    x = f"cast(`{c}` as double)"
+    return (
+        f"named_struct('n', cast({x} is not null as bigint), 's', coalesce({x}, 0D), 'm2', 0D, 'lo', {x}, 'hi', {x})"
     )
 
 
-def _joined(older: Column, newer: Column) -> Column:
-    na, nb = F.coalesce(older["n"], F.lit(0)), newer["n"]
-    sa = F.coalesce(older["s"], F.lit(0.0))
-    both = (na > 0) & (nb > 0)
-    apart = newer["s"] / nb - sa / na
-    spread = F.when(both, apart * apart * (na * nb / (na + nb))).otherwise(F.lit(0.0))
-    return F.struct(
-        (na + nb).alias("n"),
-        (sa + newer["s"]).alias("s"),
-        (F.coalesce(older["m2"], F.lit(0.0)) + newer["m2"] + spread).alias("m2"),
-        F.least(older["lo"], newer["lo"]).alias("lo"),
-        F.greatest(older["hi"], newer["hi"]).alias("hi"),
+def _joined(old: str, new: str) -> str:
+    """Two neighbouring stretches as one; ``old`` may be NULL where the series begins."""
+    na, sa = f"coalesce({old}.n, 0L)", f"coalesce({old}.s, 0D)"
+    apart = f"({new}.s / {new}.n - {sa} / {na})"
+    spread = f"if({na} > 0 and {new}.n > 0, {apart} * {apart} * ({na} * {new}.n / ({na} + {new}.n)), 0D)"
+    return (
+        f"named_struct('n', {na} + {new}.n, 's', {sa} + {new}.s, 'm2', coalesce({old}.m2, 0D) + {new}.m2 + {spread}, "
+        f"'lo', least({old}.lo, {new}.lo), 'hi', greatest({old}.hi, {new}.hi))"
     )
 
 
-def _statistic(state: Column, stat: str) -> Column:
-    n = state["n"]
+def _statistic(state: str, stat: str) -> str:
     return {
-        "count": n.cast("double"),
-        "sum": state["s"],
-        "mean": state["s"] / n,
-        "std": F.when(n > 1, F.sqrt(state["m2"] / (n - 1))),
-        "min": state["lo"],
-        "max": state["hi"],
+        "count": f"cast({state}.n as double)",
+        "sum": f"{state}.s",
+        "mean": f"{state}.s / {state}.n",
+        "std": f"if({state}.n > 1, sqrt({state}.m2 / ({state}.n - 1)), null)",
+        "min": f"{state}.lo",
+        "max": f"{state}.hi",
     }[stat]
 
 
-def rolling(df: DataFrame, window: WindowSpec, specs: Sequence[Rolling]) -> DataFrame:
-    """Add every statistic in ``specs``; NULL where fewer than ``min_count`` values are known."""
+def rolling(df: DataFrame, grid: Grid, specs: Sequence[Rolling]) -> DataFrame:
+    """Add every statistic in ``specs``; NULL where fewer than ``min_count`` values are known.
+
+    ``df`` is placed in chunks with a halo of the longest width minus one.
+    """
     widths: dict[str, set[int]] = {}
     for s in specs:
         widths.setdefault(s.column, set()).add(s.width)
-    columns = list(df.columns)
-    out = df.select(*columns, *[_single(F.col(c)).alias(f"_s_{c}") for c in widths])
+    own = [f"`{c}`" for c in df.columns]
+    over = grid.over()
+    out = df.selectExpr(*own, *[f"{_single(c)} as `_s_{c}`" for c in widths])
     parts: dict[tuple[str, int], str] = {}
     size, longest = 1, max(w for ws in widths.values() for w in ws)
-    while True:
+    while size <= longest:
         # parts already holding the lower bits of a width grow by this power of two
         grow = [(c, w) for c, ws in widths.items() for w in sorted(ws) if w & size]
         double = [c for c, ws in widths.items() if max(ws) >= 2 * size]
-        lagged = [F.lag(parts[cw], size).over(window).alias(f"_l_{cw[0]}_{cw[1]}") for cw in grow if cw in parts]
-        lagged += [F.lag(f"_s_{c}", size).over(window).alias(f"_l_{c}") for c in double]
-        out = out.select("*", *lagged) if lagged else out
-        keep = [cw for cw in parts if cw not in grow]
-        columns_now = [F.col(parts[cw]) for cw in keep]
+        lagged = [f"lag({parts[cw]}, {size}) over {over} as `_l_{cw[0]}_{cw[1]}`" for cw in grow if cw in parts]
+        lagged += [f"lag(`_s_{c}`, {size}) over {over} as `_l_{c}`" for c in double]
+        now = [parts[cw] for cw in parts if cw not in grow]
         for c, w in grow:
-            grown = _joined(F.col(f"_l_{c}_{w}"), F.col(f"_s_{c}")) if (c, w) in parts else F.col(f"_s_{c}")
-            parts[(c, w)] = f"_w_{c}_{w}"
-            columns_now.append(grown.alias(parts[(c, w)]))
-        columns_now += [_joined(F.col(f"_l_{c}"), F.col(f"_s_{c}")).alias(f"_s_{c}") for c in double]
-        out = out.select(*columns, *columns_now)
+            whole = _joined(f"`_l_{c}_{w}`", f"`_s_{c}`") if (c, w) in parts else f"`_s_{c}`"
+            parts[(c, w)] = f"`_w_{c}_{w}`"
+            now.append(f"{whole} as {parts[(c, w)]}")
+        now += [f"{_joined(f'`_l_{c}`', f'`_s_{c}`')} as `_s_{c}`" for c in double]
+        out = (out.selectExpr("*", *lagged) if lagged else out).selectExpr(*own, *now)
         size *= 2
-        if size > longest:
-            break
-    return out.select(
-        *columns,
-        *[
-            F.when(F.col(parts[(s.column, s.width)])["n"] >= s.min_count, _statistic(F.col(parts[(s.column, s.width)]), s.stat)).alias(s.name)
-            for s in specs
-        ],
-    )
+    wanted = []
+    for s in specs:
+        state = parts[(s.column, s.width)]
+        wanted.append(f"if({state}.n >= {s.min_count}, {_statistic(state, s.stat)}, null) as `{s.name}`")
+    return out.selectExpr(*own, *wanted)
 
 
 def rolling_frames(df: DataFrame, window: WindowSpec, specs: Sequence[Rolling]) -> DataFrame:

@@ -45,8 +45,6 @@ NEUTRAL_RATE_PCT = 2.5
 MAJOR_OUTAGE_MW = 1_000.0
 SCARCE_FILL, SCARCE_DRAIN = 0.25, -0.005
 
-WEEK = 168
-
 
 @dataclass(frozen=True)
 class FeatureConfig:
@@ -57,6 +55,7 @@ class FeatureConfig:
     price_lags: tuple[int, ...] = (1, 24, 168)
     windows: tuple[int, ...] = (24, 168, 720)
     day: int = 24
+    week: int = 168
     quarter: int = 2_190
     year: int = 8_760
     rate_lookbacks: tuple[int, int, int] = (2_160, 4_320, 8_760)
@@ -157,7 +156,7 @@ def market_shift_columns(cfg: FeatureConfig, w, columns: Sequence[str]) -> dict[
     if "reservoir_fill_ratio" in columns:
         fill = F.col("reservoir_fill_ratio")
         for weeks in cfg.hydro_weeks:
-            out[f"reservoir_fill_diff_{weeks}w"] = fill - F.lag(fill, weeks * WEEK).over(w)
+            out[f"reservoir_fill_diff_{weeks}w"] = fill - F.lag(fill, weeks * cfg.week).over(w)
     return out
 
 
@@ -188,7 +187,7 @@ def market_rolling_specs(cfg: FeatureConfig, columns: Sequence[str]) -> list[Rol
         ]
     if "reservoir_fill_ratio" in columns:
         out += [
-            Rolling("reservoir_fill_ratio", wk * WEEK, "mean", f"reservoir_fill_roll_mean_{wk}w", min_periods(wk * WEEK, cfg.known_share))
+            Rolling("reservoir_fill_ratio", wk * cfg.week, "mean", f"reservoir_fill_roll_mean_{wk}w", min_periods(wk * cfg.week, cfg.known_share))
             for wk in cfg.hydro_weeks[1:]
         ]
     return out
@@ -372,7 +371,7 @@ def build_gold(silver: DataFrame, cfg: FeatureConfig = FeatureConfig(), grid: Gr
     specs = rolling_specs(cfg, base.columns) + (market_rolling_specs(cfg, base.columns) if with_market else [])
     shifts = [*cfg.load_lags, *cfg.imbalance_lags, cfg.day, cfg.year, cfg.quarter, *cfg.rate_lookbacks, *[s.width - 1 for s in specs]]
     if with_market:
-        shifts += [w * WEEK for w in cfg.hydro_weeks]
+        shifts += [n * cfg.week for n in cfg.hydro_weeks]
     lookback = max(shifts)
     grid = grid.sized_for(lookback)
     w = grid.window()
@@ -387,7 +386,7 @@ def build_gold(silver: DataFrame, cfg: FeatureConfig = FeatureConfig(), grid: Gr
     looked_back = lag_columns(cfg, w, base.columns) | shift_columns(cfg, w, base.columns)
     if with_market:
         looked_back |= market_shift_columns(cfg, w, base.columns)
-    df = rolling(df.withColumns(looked_back), w, specs).where(F.col(HOME))
+    df = rolling(df.withColumns(looked_back), grid, specs).where(F.col(HOME))
     df = df.withColumns(derived_rolling_columns(df.columns))
     df = df.withColumns(housing_columns(base.columns) | rate_columns(cfg, base.columns))
     if with_market:

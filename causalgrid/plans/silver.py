@@ -10,9 +10,13 @@ from causalgrid.functions import periods
 from causalgrid.operators import asof, regular, rollup, validate
 from causalgrid.operators.asof import Series
 from causalgrid.operators.chunks import Grid
+from causalgrid.session import materialize
 
 HOUSING = ("smahus_construction_index", "smahus_price_index")
 RATE = "riksbank_policy_rate_pct"
+WEATHER = ("temperature_c", "wind_speed_ms")
+FILL = "reservoir_fill_ratio"
+WEEK = 168
 
 
 def hourly_base(metrics: DataFrame, grid: Grid = Grid(), max_gap: int = 6, load_method: str = "linear") -> DataFrame:
@@ -63,25 +67,29 @@ def align_net_positions(hourly: DataFrame, net_positions: DataFrame, mode: str =
     return hourly.join(position, ["zone", "timestamp_utc"], "left").select(*hourly.columns, "scheduled_net_position_mw")
 
 
-def align_hydro(hourly: DataFrame, weekly: DataFrame, grid: Grid = Grid(), max_interpolated_weeks: int = 2) -> DataFrame:
+def see_hydro(hourly: DataFrame, weekly: DataFrame) -> DataFrame:
     """The reservoir level of a week is seen from the Monday after it."""
-    fill = "reservoir_fill_ratio"
     monday = periods.iso_monday(F.col("year"), F.col("week_of_year"))
-    known = weekly.select(periods.published(monday).alias("_published"), fill)
-    seen = asof.asof_calendar(hourly, known, "_published", [fill], drop_nulls=False)
-    drawn = regular.fill_gaps(seen, grid, linear={fill: max_interpolated_weeks * 168})
-    return regular.fill_gaps(drawn, grid, ffill={fill: None})
+    known = weekly.select(periods.published(monday).alias("_published"), FILL)
+    return asof.asof_calendar(hourly, known, "_published", [FILL], drop_nulls=False)
+
 
+def align_hydro(hourly: DataFrame, weekly: DataFrame, grid: Grid = Grid(), max_interpolated_weeks: int = 2) -> DataFrame:
+    """As seen, with gaps drawn as lines for some weeks and held after that."""
+    return regular.fill_gaps(see_hydro(hourly, weekly), grid, linear={FILL: max_interpolated_weeks * WEEK}, hold=[FILL])
 
-def align_weather(hourly: DataFrame, weather: DataFrame, grid: Grid = Grid(), max_gap: int | None = 3) -> DataFrame:
-    """Nearest observation within half an hour; short gaps interpolated."""
+
+def see_weather(hourly: DataFrame, weather: DataFrame) -> DataFrame:
+    """Nearest observation within half an hour; no observation is no anomaly."""
     validate.require_columns(weather, ["zone", "timestamp_utc", "temperature_c", "wind_speed_ms", "is_anomaly"], "weather")
     settled = rollup.settle_weather(weather).withColumnRenamed("is_anomaly", "is_anomaly_weather")
-    joined = asof.nearest_within(hourly, settled, ["temperature_c", "wind_speed_ms", "is_anomaly_weather"])
-    joined = joined.withColumn("is_anomaly_weather", F.coalesce("is_anomaly_weather", F.lit(False)))
-    if max_gap is None:
-        return joined
-    return regular.fill_gaps(joined, grid, linear={"temperature_c": max_gap, "wind_speed_ms": max_gap})
+    joined = asof.nearest_within(hourly, settled, [*WEATHER, "is_anomaly_weather"])
+    return joined.withColumn("is_anomaly_weather", F.coalesce("is_anomaly_weather", F.lit(False)))
+
+
+def align_weather(hourly: DataFrame, weather: DataFrame, grid: Grid = Grid(), max_gap: int = 3) -> DataFrame:
+    """As seen, with short gaps interpolated."""
+    return regular.fill_gaps(see_weather(hourly, weather), grid, linear={c: max_gap for c in WEATHER})
 
 
 def align_outages(hourly: DataFrame, outages: DataFrame) -> DataFrame:
@@ -108,12 +116,21 @@ def build_silver(
     hydro: DataFrame | None = None,
     grid: Grid = Grid(),
     load_method: str = "linear",
+    max_weather_gap: int = 3,
+    max_interpolated_weeks: int = 2,
+    staged: bool = True,
 ) -> DataFrame:
     """All inputs on one grid. What is absent becomes NULL columns.
 
-    Quarterly values and net positions share one shuffle; weather and outages are joined by
-    equality on (zone, hour); the national series come from a calendar-sized map.
+    Quarterly values and net positions share one shuffle, weather and outages another one by
+    (zone, hour), the national series come from a calendar-sized map, and weather and reservoir
+    gaps are filled in one pass. Each pass reads its input twice (rows and chunk edges);
+    ``staged`` writes the tables between passes to the shared folder, so that nothing is
+    computed twice and lost executors cost one pass at most.
     """
+    def stage(df: DataFrame, name: str) -> DataFrame:
+        return materialize(df, name) if staged else df
+
     df = hourly_base(metrics, grid, load_method=load_method)
     zoned = []
     if quarterly is not None:
@@ -121,15 +138,20 @@ def build_silver(
     if net_positions is not None:
         zoned.append(_positions(net_positions))
     if zoned:
-        df = asof.asof_join(df, zoned)
+        df = asof.asof_join(stage(df, "silver-base"), zoned)
     if rates is not None:
         df = align_policy_rate(df, rates)
-    if weather is not None:
-        df = align_weather(df, weather, grid)
     if outages is not None:
         df = align_outages(df, outages)
+    if weather is not None:
+        df = see_weather(df, weather)
+    if hydro is not None:
+        df = see_hydro(df, hydro)
+    gaps = {c: max_weather_gap for c in WEATHER} if weather is not None else {}
     if hydro is not None:
-        df = align_hydro(df, hydro, grid)
+        gaps[FILL] = max_interpolated_weeks * WEEK
+    if gaps:
+        df = regular.fill_gaps(stage(df, "silver-seen"), grid, linear=gaps, hold=[FILL])
     df = validate.quarantine(df)
     # the columns every aligned table has come first, then what weather and market inputs added
     return schemas.conform(df, schemas.SILVER)

@@ -158,7 +158,7 @@ WEATHER_NEAREST = """
 def nearest_weather(spark, sf_dir):
     """J-05: the nearest observation within half an hour."""
     g = fx.grid_hourly(spark, sf_dir).select("zone", "timestamp_utc")
-    return silver.align_weather(g, fx.weather_obs(spark, sf_dir), max_gap=None)
+    return silver.see_weather(g, fx.weather_obs(spark, sf_dir))
 
 
 @query(

@@ -193,7 +193,7 @@ def rolling_load(spark, sf_dir):
     specs = [
         Rolling("load_mw", n, s, f"{s}_{n}", min_periods(n)) for n in (24, WEEK) for s in ("mean", "std", "min", "max", "sum")
     ]
-    return chunks.home_rows(rolling(halo, grid.window(), specs)).drop("load_mw")
+    return chunks.home_rows(rolling(halo, grid, specs)).drop("load_mw")
 
 
 def daily_filled(spark, sf_dir):
