@@ -25,6 +25,14 @@ def sanitised(c: Column, lower: float = CLIP_LOWER, upper: float = CLIP_UPPER, f
     return out if fill is None else F.coalesce(out, F.lit(fill))
 
 
+def sanitised_sql(name: str, lower: float = CLIP_LOWER, upper: float = CLIP_UPPER, fill: float | None = None) -> str:
+    """``sanitised`` as SQL: for tables with a hundred such columns, text is quicker to hand over."""
+    c = f"`{name}`"
+    within = f"greatest(least({c}, double({upper!r})), double({lower!r}))"
+    out = f"if(not isnan({c}) and abs({c}) != double('Infinity'), {within}, null)"
+    return out if fill is None else f"coalesce({out}, double({fill!r}))"
+
+
 def ratio(a: Column, b: Column) -> Column:
     """``a / b``; NULL where ``b`` is zero."""
     return F.try_divide(a, b)
@@ -49,7 +57,7 @@ def sanitise(
     chosen = [c for c in (columns if columns is not None else double_columns(df)) if c in df.columns]
     if observe is not None and chosen:
         df = df.observe(observe, *_counts(chosen, lower, upper))
-    return df.withColumns({c: sanitised(F.col(c), lower, upper, fill) for c in chosen})
+    return df.selectExpr(*[f"{sanitised_sql(c, lower, upper, fill)} as `{c}`" if c in chosen else f"`{c}`" for c in df.columns])
 
 
 def _counts(columns: Sequence[str], lower: float, upper: float) -> list[Column]:

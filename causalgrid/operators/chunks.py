@@ -58,10 +58,10 @@ class Grid:
     def window(self) -> WindowSpec:
         return Window.partitionBy(*self.keys, CHUNK).orderBy(POS)
 
-    def over(self) -> str:
+    def over(self, frame: str = "") -> str:
         """``window()`` for use in SQL expressions."""
         keys = ", ".join(f"`{k}`" for k in (*self.keys, CHUNK))
-        return f"(partition by {keys} order by {POS})"
+        return f"(partition by {keys} order by {POS} {frame})"
 
     def reverse_window(self) -> WindowSpec:
         return Window.partitionBy(*self.keys, CHUNK).orderBy(F.col(POS).desc())

@@ -5,8 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from importlib import import_module
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from causalgrid.session import pin_utc
 
@@ -48,16 +47,14 @@ def nudge(digits: int) -> float:
 
 
 def comparable(df: DataFrame, digits: int) -> DataFrame:
-    def one(name: str, kind: str) -> Column:
-        c = F.col(f"`{name}`")
+    def one(name: str, kind: str) -> str:
+        c = f"`{name}`"
         if kind == "double":
             # + 0.0 turns a negative zero into zero
-            return (F.round(c + F.lit(nudge(digits)), digits) + F.lit(0.0)).alias(name)
-        if kind == "timestamp":
-            return c.cast("timestamp_ntz").alias(name)
-        return c
+            return f"round({c} + double({nudge(digits)!r}), {digits}) + 0D as {c}"
+        return f"cast({c} as timestamp_ntz) as {c}" if kind == "timestamp" else c
 
-    return df.select(*[one(n, k) for n, k in df.dtypes])
+    return df.selectExpr(*[one(n, k) for n, k in df.dtypes])
 
 
 def load_all() -> None:
