@@ -62,8 +62,9 @@ def pieces(width: int, built: Sequence[int]) -> list[tuple[int, int]]:
 
 
 def _fields(stats: set[str]) -> list[str]:
-    extra = (["m2"] if "std" in stats else []) + (["lo"] if "min" in stats else []) + (["hi"] if "max" in stats else [])
-    return ["n", "s", *extra]
+    # the spread of equal values is zero, which least and greatest tell exactly
+    needs = {"m2": {"std"}, "lo": {"min", "std"}, "hi": {"max", "std"}}
+    return ["n", "s", *[f for f, kinds in needs.items() if kinds & stats]]
 
 
 def _struct(values: dict[str, str], fields: Sequence[str]) -> str:
@@ -104,7 +105,7 @@ def _statistic(state: str, stat: str) -> str:
         "count": f"cast({state}.n as double)",
         "sum": f"{state}.s",
         "mean": f"{state}.s / {state}.n",
-        "std": f"if({state}.n > 1, sqrt({state}.m2 / ({state}.n - 1)), null)",
+        "std": f"case when {state}.n < 2 then null when {state}.lo = {state}.hi then 0D else sqrt({state}.m2 / ({state}.n - 1)) end",
         "min": f"{state}.lo",
         "max": f"{state}.hi",
     }[stat]

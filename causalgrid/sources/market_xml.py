@@ -54,7 +54,7 @@ def parse_series(payloads: DataFrame, kind: Kind, payload: str = "payload") -> D
 def period_start(raw: Column) -> Column:
     """With or without seconds; zone-less times are UTC."""
     s = F.trim(raw)
-    forms = ["yyyy-MM-dd'T'HH:mmX", "yyyy-MM-dd'T'HH:mm:ssX", "yyyy-MM-dd'T'HH:mm", "yyyy-MM-dd'T'HH:mm:ss"]
+    forms = ["yyyy-MM-dd'T'HH:mmXXX", "yyyy-MM-dd'T'HH:mm:ssXXX", "yyyy-MM-dd'T'HH:mm", "yyyy-MM-dd'T'HH:mm:ss"]
     return F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in forms])
 
 

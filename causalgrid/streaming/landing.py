@@ -1,9 +1,9 @@
 """Incremental landing: new files into the aligned folders, restated hours included.
 
-Sources are fetched in overlapping windows and corrected later. Exact repeats of a record are
-dropped by the stream's state, which a watermark bounds. What is left is merged with the stored
-months it touches, the last record of an hour winning, and only those months are replaced; a
-batch that is run again gives the same folders.
+Sources are fetched in overlapping windows and corrected later, by days or by years. A batch is
+merged with the stored months it touches, the last record of an hour winning, and only those
+months are replaced. That settles repeats and late records of any age, and a batch that is run
+again gives the same folders; stream state behind a watermark would drop what comes late.
 """
 
 from __future__ import annotations
@@ -21,7 +21,6 @@ from causalgrid.session import materialize
 from causalgrid.sources import sinks
 
 KEYS = ("zone", "timestamp_utc")
-DELAY = "2 days"
 
 
 def read_points(spark: SparkSession, path: str, schema: StructType, glob: str = "*.parquet", files_per_batch: int | None = None) -> DataFrame:
@@ -31,11 +30,6 @@ def read_points(spark: SparkSession, path: str, schema: StructType, glob: str =
     return reader.parquet(path)
 
 
-def without_repeats(points: DataFrame, identity: Sequence[str], delay: str = DELAY) -> DataFrame:
-    """Drop records whose ``identity`` was seen within the watermark's delay."""
-    return points.withWatermark("timestamp_utc", delay).dropDuplicatesWithinWatermark(list(identity))
-
-
 def merge_batch(batch: DataFrame, path: str, order: Sequence[str]) -> None:
     """Replace the (zone, year, month) folders the batch touches by old and new rows together."""
     spark = batch.sparkSession
@@ -53,8 +47,7 @@ def merge_batch(batch: DataFrame, path: str, order: Sequence[str]) -> None:
     sinks.write_silver(materialize(kept.drop("year", "month"), "landing-merged"), path)
 
 
-def land(points: DataFrame, path: str, checkpoint: str, order: Sequence[str], identity: Sequence[str] | None = None) -> StreamingQuery:
+def land(points: DataFrame, path: str, checkpoint: str, order: Sequence[str]) -> StreamingQuery:
     """Land everything available now and stop; start again to go on from there."""
-    rows = without_repeats(points, identity) if identity else points
-    writer = rows.writeStream.foreachBatch(lambda batch, _: merge_batch(batch, path, order))
+    writer = points.writeStream.foreachBatch(lambda batch, _: merge_batch(batch, path, order))
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -57,8 +57,7 @@ MARKED = unicodedata.normalize("NFD", " Å å ä ö é ü ñ")
 def clean_composed(spark, sf_dir):
     """P-03: base letter plus combining mark to one letter, any script."""
     docs = table(spark, sf_dir, "documents")
-    marked = F.concat("text", *[F.lit(s) for s in ("Å å ä ö é",)])
-    return docs.select("doc_id", F.md5(text.compose_any(marked)).alias("composed"))
+    return docs.select("doc_id", F.md5(text.compose_any(F.concat("text", F.lit(MARKED)))).alias("composed"))
 
 
 @query(

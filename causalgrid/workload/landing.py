@@ -23,5 +23,5 @@ def incremental_landing(spark, sf_dir):
     for _ in range(2):
         # a stream of its own each time: the second one delivers every record once more
         points = landing.read_points(spark, sf_dir, schema, "events.parquet").select(zone, hour, "event_id", "value")
-        landing.land(points, path, scratch_path(spark, "offsets"), ["event_id"], ["zone", "event_id"]).awaitTermination()
+        landing.land(points, path, scratch_path(spark, "offsets"), ["event_id"]).awaitTermination()
     return spark.read.parquet(path)

@@ -147,7 +147,7 @@ INDEXED = "select zone, timestamp_utc, row_number() over (partition by zone orde
 
 @query(
     with_views(
-        "select zone, timestamp_utc, i as row_index, n as n_rows, case when i >= n - 168 then 'test' else 'train' end as split from indexed",
+        "select zone, timestamp_utc, i as row_index, n as n_rows, case when i >= n - 72 then 'test' else 'train' end as split from indexed",
         "grid_hourly",
         indexed=INDEXED,
     )
@@ -155,7 +155,7 @@ INDEXED = "select zone, timestamp_utc, row_number() over (partition by zone orde
 def train_test_split(spark, sf_dir):
     """M-01."""
     g = fx.grid_hourly(spark, sf_dir).select("zone", "timestamp_utc")
-    return split.temporal_split(g, 168, HOURLY)
+    return split.temporal_split(g, 72, HOURLY)
 
 
 @query(
