@@ -3,7 +3,8 @@
 Three ways, all exact:
 
 * ``asof_join`` puts both sides into one sorted stream per (key, chunk of time) and carries the
-  last right row over chunk borders. Any size, any skew: one shuffle, no pairs of rows.
+  last right row over chunk borders. A chunk with more left rows than a task should hold is dealt
+  out to several tasks, each with the chunk's right rows. Any size, any skew, no pairs of rows.
 * ``asof_calendar`` is for national series with at most one value a day (policy rate, weekly
   reservoir level). Its broadcast map has one row per day between the first and last value, so
   its size is bounded by the calendar, not by the data.
@@ -63,6 +64,7 @@ def asof_join(
     direction: str = "backward",
     tolerance_seconds: int | None = None,
     chunk_seconds: int = 90 * DAY,
+    rows_per_task: int = 1_000_000,
 ) -> DataFrame:
     """All left rows, with the values of each series as known at ``on``.
 
@@ -72,7 +74,9 @@ def asof_join(
     """
     rights = [series] if isinstance(series, Series) else list(series)
     by = list(by)
-    spread = left.select(*by, F.col(on).alias(_TS), F.lit(1).alias(_SIDE), F.struct(*left.columns).alias("_left"))
+    # copies of one row differ by the partition they are read from, which is the same in a retry
+    deal = F.xxhash64(*left.columns, F.spark_partition_id())
+    spread = left.select(*by, F.col(on).alias(_TS), F.lit(1).alias(_SIDE), F.struct(*left.columns).alias("_left"), deal.alias("_deal"))
     streams = [spread]
     for i, r in enumerate(rights):
         streams.append(r.settled(by).withColumn(_SIDE, F.lit(0)).withColumnRenamed("_v", f"_r{i}"))
@@ -85,14 +89,20 @@ def asof_join(
         by,
         before={f"_b{s}": F.col(s) for s in slots},
         after={f"_a{s}": F.col(s) for s in slots} if nearest else {},
+        own={"_lefts": F.count_if(F.col(_SIDE) == 1)},
     )
-    joined = both.join(edges, [*by, CHUNK], "left")
-    up = Window.partitionBy(*by, CHUNK).orderBy(_TS, _SIDE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    shares = F.coalesce(F.ceil(F.col("_lefts") / rows_per_task), F.lit(1)).cast("int")
+    joined = both.join(edges, [*by, CHUNK], "left").withColumn("_shares", F.greatest(F.lit(1), shares))
+    everywhere = F.sequence(F.lit(0), F.col("_shares") - 1)
+    one = F.array(F.pmod(F.col("_deal"), F.col("_shares")).cast("int"))
+    joined = joined.withColumn("_share", F.explode(F.when(F.col(_SIDE) == 0, everywhere).otherwise(one)))
+    part = [*by, CHUNK, "_share"]
+    up = Window.partitionBy(*part).orderBy(_TS, _SIDE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     found = joined.select(
         "*", *[F.coalesce(F.last(s, ignorenulls=True).over(up), F.col(f"_b{s}")).alias(f"_m{s}") for s in slots]
     )
     if nearest:
-        down = Window.partitionBy(*by, CHUNK).orderBy(F.col(_TS).desc(), F.col(_SIDE).desc())
+        down = Window.partitionBy(*part).orderBy(F.col(_TS).desc(), F.col(_SIDE).desc())
         down = down.rowsBetween(Window.unboundedPreceding, -1)
         found = found.select(
             "*", *[F.coalesce(F.last(s, ignorenulls=True).over(down), F.col(f"_a{s}")).alias(f"_x{s}") for s in slots]

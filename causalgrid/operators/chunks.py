@@ -96,17 +96,20 @@ def chunk_edges(
     keys: Sequence[str],
     before: Mapping[str, Column] | None = None,
     after: Mapping[str, Column] | None = None,
+    own: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """For each (key, chunk): what earlier chunks left behind and what later ones hold.
 
     ``before[name]`` is an ordered value (time first in a struct): the greatest one of all
     earlier chunks comes out. ``after[name]`` likewise gives the least of all later chunks.
+    ``own`` holds aggregates of the chunk itself.
     The windows run over one row per chunk.
     """
-    before, after = before or {}, after or {}
+    before, after, own = before or {}, after or {}, own or {}
     per_chunk = placed.groupBy(*keys, CHUNK).agg(
         *[F.max(c).alias(f"b_{n}") for n, c in before.items()],
         *[F.min(c).alias(f"a_{n}") for n, c in after.items()],
+        *[c.alias(n) for n, c in own.items()],
     )
     earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     later = Window.partitionBy(*keys).orderBy(F.col(CHUNK).desc()).rowsBetween(Window.unboundedPreceding, -1)
@@ -115,4 +118,5 @@ def chunk_edges(
         CHUNK,
         *[F.last(f"b_{n}", ignorenulls=True).over(earlier).alias(n) for n in before],
         *[F.last(f"a_{n}", ignorenulls=True).over(later).alias(n) for n in after],
+        *own,
     )

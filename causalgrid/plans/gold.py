@@ -367,7 +367,7 @@ def build_gold(silver: DataFrame, cfg: FeatureConfig = FeatureConfig(), grid: Gr
     with_market = bool({"outage_mw", "scheduled_net_position_mw", "reservoir_fill_ratio"} & has) if market is None else market
     rate = "riksbank_policy_rate_pct" if "riksbank_policy_rate_pct" in has else None
 
-    base = add_calendar(mask_quarantined(silver))
+    base = mask_quarantined(silver)
     specs = rolling_specs(cfg, base.columns) + (market_rolling_specs(cfg, base.columns) if with_market else [])
     shifts = [*cfg.load_lags, *cfg.imbalance_lags, cfg.day, cfg.year, cfg.quarter, *cfg.rate_lookbacks, *[s.width - 1 for s in specs]]
     if with_market:
@@ -383,12 +383,13 @@ def build_gold(silver: DataFrame, cfg: FeatureConfig = FeatureConfig(), grid: Gr
     else:
         df = halo.join(edges, [*grid.keys, CHUNK], "left")
 
+    # every window copies whole rows: what can be computed later is not there yet
+    df = rolling(df, grid, specs)
     looked_back = lag_columns(cfg, w, base.columns) | shift_columns(cfg, w, base.columns)
     if with_market:
         looked_back |= market_shift_columns(cfg, w, base.columns)
-    df = rolling(df.withColumns(looked_back), grid, specs).where(F.col(HOME))
-    df = df.withColumns(derived_rolling_columns(df.columns))
-    df = df.withColumns(housing_columns(base.columns) | rate_columns(cfg, base.columns))
+    df = add_calendar(df.withColumns(looked_back).where(F.col(HOME)))
+    df = df.withColumns(derived_rolling_columns(df.columns) | housing_columns(df.columns) | rate_columns(cfg, base.columns))
     if with_market:
         df = df.withColumns(market_columns(cfg, df.columns))
     df = df.withColumn("feature_ready", ready(cfg, base.columns))

@@ -14,18 +14,18 @@ from causalgrid.workload.registry import query
 
 @query(
     with_views(
-        "select zone, timestamp_utc, load_mw, year(timestamp_utc)::int as year, month(timestamp_utc)::int as month from grid_daily",
+        "select zone, timestamp_utc, load_mw, year(timestamp_utc)::int as year from grid_daily",
         "grid_daily",
     ),
     doubles="load_mw",
     digits=4,
 )
 def silver_written_twice(spark, sf_dir):
-    """K-03: a second write of some months replaces those months and leaves the others alone."""
+    """K-03: a second write of some years replaces those years and leaves the others alone."""
     path = scratch_path(spark, "silver")
     g = fx.grid_daily(spark, sf_dir).select("zone", "timestamp_utc", "load_mw")
-    sinks.write_silver(g, path)
-    sinks.write_silver(g.where(F.year("timestamp_utc") >= 1999), path)
+    sinks.write_silver(g, path, sinks.YEARLY)
+    sinks.write_silver(g.where(F.year("timestamp_utc") >= 1999), path, sinks.YEARLY)
     return spark.read.parquet(path)
 
 

@@ -124,8 +124,8 @@ def test_rolling_of_a_constant_has_no_spread(spark):
 
 
 @pytest.mark.parametrize("direction,tolerance", [("backward", None), ("backward", 3_600), ("nearest", None), ("nearest", 1_800)])
-@pytest.mark.parametrize("chunk", [7_200, 90 * 86_400])
-def test_asof_matches_pandas(spark, direction, tolerance, chunk):
+@pytest.mark.parametrize("chunk,rows", [(7_200, 1_000_000), (90 * 86_400, 1_000_000), (90 * 86_400, 30)])
+def test_asof_matches_pandas(spark, direction, tolerance, chunk, rows):
     rng = random.Random(9)
     hot = ["SE1"] * 8 + ["SE2", "SE3"]
     left = [(rng.choice(hot), T0 + dt.timedelta(seconds=rng.randrange(400_000)), i) for i in range(400)]
@@ -133,7 +133,7 @@ def test_asof_matches_pandas(spark, direction, tolerance, chunk):
     right = [(z, t, v) for (z, t), v in right.items()]
     ldf = frame(spark, left, "zone string, timestamp_utc timestamp, i int")
     rdf = frame(spark, right, "zone string, t timestamp, v double")
-    got = asof.asof_join(ldf, Series(rdf, "t", ("v",)), direction=direction, tolerance_seconds=tolerance, chunk_seconds=chunk)
+    got = asof.asof_join(ldf, Series(rdf, "t", ("v",)), direction=direction, tolerance_seconds=tolerance, chunk_seconds=chunk, rows_per_task=rows)
     got = {r.i: r.v for r in got.collect()}
     lp = pd.DataFrame(left, columns=["zone", "ts", "i"]).sort_values("ts")
     rp = pd.DataFrame(right, columns=["zone", "ts", "v"]).sort_values("ts")
