@@ -36,7 +36,8 @@ def _replaced(c: Column, table: dict[str, str]) -> Column:
 
 
 def repair_mojibake(c: Column) -> Column:
-    return _replaced(c, MOJIBAKE)
+    # all of them begin with the same letter, and most texts have none of it
+    return F.when(F.contains(c, F.lit("Ã")), _replaced(c, MOJIBAKE)).otherwise(c)
 
 
 def repair_latin1(c: Column) -> Column:

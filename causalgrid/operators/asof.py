@@ -150,6 +150,9 @@ def asof_calendar(
     known = right.where(F.col(right_on).isNotNull())
     if drop_nulls:
         known = known.where(reduce(lambda a, b: a & b, [F.col(v).isNotNull() for v in values]))
+    at_midnight = F.col(right_on).cast("timestamp") == F.date_trunc("day", right_on)
+    late = F.raise_error(F.concat(F.lit("not a midnight: "), F.col(right_on).cast("string"))).cast("boolean")
+    known = known.where(F.when(at_midnight, F.lit(True)).otherwise(late))  # or it would be seen too early
     day = F.to_date(F.col(right_on)).alias("_day")
     per_day = known.groupBy(day).agg(F.max(F.struct(*tiebreak, *values)).alias("_v"))
     per_day = per_day.select("_day", F.struct(*[F.col("_v")[v].alias(v) for v in values]).alias("_v"))

@@ -35,9 +35,10 @@ def rows_before_first(df: DataFrame, column: str, by: Sequence[str] = ("zone",))
 def gap_audit(df: DataFrame, grid: Grid) -> DataFrame:
     """Steps of more than one and a half units, the largest step, and the rows a full grid lacks.
 
-    Steps are taken inside chunks; the step into a chunk comes from the edge of the ones before.
+    Copies of a timestamp are counted together first. Steps are taken inside chunks; the step into
+    a chunk comes from the edge of the ones before.
     """
-    placed = grid.placed(df)
+    placed = grid.placed(df.groupBy(*grid.keys, grid.ts).agg(F.count("*").alias("_copies")))
     edges = chunk_edges(placed, grid.keys, before={"_edge": F.col(grid.ts)})
     w = Window.partitionBy(*grid.keys, CHUNK).orderBy(grid.ts)
     joined = placed.join(edges, [*grid.keys, CHUNK], "left")
@@ -45,7 +46,7 @@ def gap_audit(df: DataFrame, grid: Grid) -> DataFrame:
     steps = joined.withColumn("_step", (F.unix_micros(grid.ts) - F.unix_micros(earlier)) / grid.step_micros)
     span = (F.unix_micros(F.max(grid.ts)) - F.unix_micros(F.min(grid.ts))) / grid.step_micros
     return steps.groupBy(*grid.keys).agg(
-        F.count("*").alias("n_rows"),
+        F.sum("_copies").alias("n_rows"),
         F.count_if(F.col("_step") > 1.5).alias("n_gaps"),
         F.max("_step").alias("largest_gap_h"),
         (F.floor(span) + 1 - F.count("*")).alias("implicit_gap_hours"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,8 +21,13 @@ FILL = "reservoir_fill_ratio"
 WEEK = 168
 
 
-def hourly_base(metrics: DataFrame, grid: Grid = Grid(), max_gap: int = 6, load_method: str = "linear") -> DataFrame:
-    """Deduplicated (last row wins), complete to every hour, short gaps filled.
+def hourly_base(
+    metrics: DataFrame, grid: Grid = Grid(), max_gap: int = 6, load_method: str = "linear", order: Sequence[str] = ()
+) -> DataFrame:
+    """One row per hour, complete from first to last, short gaps filled.
+
+    Of several rows the last by the columns in ``order`` wins (an ingest time, say), which are
+    not kept; equal ones are settled by their values.
 
     ``load_method="linear"`` draws a line to the next observation; ``"ffill"`` looks back only.
     """
@@ -30,7 +37,7 @@ def hourly_base(metrics: DataFrame, grid: Grid = Grid(), max_gap: int = 6, load_
     held = {c: max_gap for c in ("imbalance_mwh", "price_eur_mwh") if c in metrics.columns}
     load = {"load_mw": max_gap} if "load_mw" in metrics.columns else {}
     linear, ffill = (load, held) if load_method == "linear" else ({}, {**load, **held})
-    single = regular.keep_last(metrics, [*grid.keys, grid.ts], [])
+    single = regular.keep_last(metrics, [*grid.keys, grid.ts], list(order)).drop(*order)
     return regular.regularize(
         single, grid, linear=linear, ffill=ffill, flags=["is_anomaly"], imputed_from="load_mw" if load else None
     )
@@ -116,6 +123,7 @@ def build_silver(
     hydro: DataFrame | None = None,
     grid: Grid = Grid(),
     load_method: str = "linear",
+    order: Sequence[str] = (),
     max_weather_gap: int = 3,
     max_interpolated_weeks: int = 2,
     staged: bool = True,
@@ -131,7 +139,7 @@ def build_silver(
     def stage(df: DataFrame, name: str) -> DataFrame:
         return materialize(df, name) if staged else df
 
-    df = hourly_base(metrics, grid, load_method=load_method)
+    df = hourly_base(metrics, grid, load_method=load_method, order=order)
     zoned = []
     if quarterly is not None:
         zoned.append(_housing(quarterly))

@@ -22,6 +22,7 @@ from causalgrid.operators import metrics, split
 from causalgrid.operators.chunks import Grid
 from causalgrid.operators.validate import require_columns
 from causalgrid.plans.gold import feature_columns
+from causalgrid.session import materialize
 
 MISSING = 2 * CLIP_LOWER
 
@@ -113,7 +114,7 @@ def train_zones(
     gold: DataFrame, cfg: TrainConfig = TrainConfig(), features: Sequence[str] | None = None, grid: Grid = Grid(), zones: Sequence[str] | None = None
 ) -> tuple[dict[str, ZoneModel], dict[str, str]]:
     features = list(features or feature_columns(gold, cfg.target))
-    rows = training_rows(gold, features, cfg, grid)
+    rows = materialize(training_rows(gold, features, cfg, grid), "training")  # read once per zone
 
     def one(zone: str) -> ZoneModel:
         train = rows.where((F.col("zone") == zone) & (F.col("split") == "train")).withColumn(split.TOTAL, F.col(split.TOTAL) - cfg.test_rows)
@@ -134,7 +135,7 @@ def walk_forward_scores(
     """MAE and RMSE per (zone, fold); folds with too few training rows have none."""
     features = list(features or feature_columns(gold, cfg.target))
     rows = training_rows(gold, features, cfg, grid).where("split = 'train'")
-    rows = rows.withColumn(split.TOTAL, F.col(split.TOTAL) - cfg.test_rows)
+    rows = materialize(rows.withColumn(split.TOTAL, F.col(split.TOTAL) - cfg.test_rows), "training")
 
     def one(job: str) -> DataFrame:
         zone, fold = job.rsplit("/", 1)

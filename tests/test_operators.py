@@ -160,6 +160,23 @@ def test_calendar_and_stream_agree_at_the_step(spark):
     assert got[dt.datetime(2024, 3, 21, 23)] is None and got[max(got)] == 3.75
 
 
+def test_calendar_refuses_times_of_day(spark):
+    hours = frame(spark, [("SE1", T0)], "zone string, timestamp_utc timestamp")
+    noon = frame(spark, [(T0 + 12 * HOUR, 1.0)], "d timestamp, r double")
+    with pytest.raises(PySparkException, match="not a midnight"):
+        asof.asof_calendar(hours, noon, "d", ["r"]).collect()
+
+
+def test_last_row_by_order_wins(spark):
+    from causalgrid.plans import silver
+
+    rows = [("SE1", T0, 9.0, 1.0, 1), ("SE1", T0, 5.0, 2.0, 2), ("SE1", T0 + 2 * HOUR, 7.0, 3.0, 1)]
+    df = frame(spark, rows, "zone string, timestamp_utc timestamp, load_mw double, imbalance_mwh double, version int")
+    out = silver.hourly_base(df, order=["version"])
+    assert column(out, "load_mw") == [5.0, 6.0, 7.0] and "version" not in out.columns
+    assert column(silver.hourly_base(df, order=["version"], load_method="ffill"), "load_mw") == [5.0, 5.0, 7.0]
+
+
 def test_nearest_within_takes_the_earlier_on_a_tie(spark):
     left = frame(spark, [("SE1", T0 + HOUR)], "zone string, timestamp_utc timestamp")
     half = dt.timedelta(minutes=30)
