@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from causalgrid.llm import quality_rules, toxicity
+from causalgrid.llm import packing, quality_rules, sharding, token_counts, toxicity
 from causalgrid.session import pin_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +79,23 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lexicon learned from the labels outside the held-out fold, scores for all documents."""
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level tokens of all documents."""
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query()
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards of near equal bytes."""
+    return sharding.kd_shards(table(spark, sf_dir, "documents"), 40)
+
+
+@query()
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    return packing.packed_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048).select(
+        *packing.KEPT, "sequence_id", "offset"
+    )
