@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from causalgrid.llm import packing, quality_rules, sharding, token_counts, toxicity
+from causalgrid.llm import near_dedup, packing, quality_rules, sharding, token_counts, toxicity
 from causalgrid.session import pin_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,9 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048).select(
         *packing.KEPT, "sequence_id", "offset"
     )
+
+
+@query()
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 3-word shingles have a Jaccard similarity of 0.85 or more."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
