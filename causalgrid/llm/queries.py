@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from causalgrid.llm import near_dedup, packing, quality_rules, sharding, token_counts, toxicity
+from causalgrid.llm import near_dedup, packing, quality_rules, sharding, suffix_dedup, token_counts, toxicity
 from causalgrid.session import pin_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +105,9 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of 3-word shingles have a Jaccard similarity of 0.85 or more."""
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
+@query()
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the 400-byte strings that also start elsewhere."""
+    return suffix_dedup.removal_digests(table(spark, sf_dir, "documents"))
