@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from causalgrid.llm import near_dedup, packing, quality_rules, sharding, suffix_dedup, token_counts, toxicity
+from causalgrid.llm import ann, near_dedup, packing, quality_rules, sharding, suffix_dedup, token_counts, toxicity
 from causalgrid.session import pin_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +112,10 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the 400-byte strings that also start elsewhere."""
     return suffix_dedup.removal_digests(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth."""
+    rows = table(spark, sf_dir, "embeddings")
+    return ann.nearest(rows, rows.where(F.col("vec_id") % 20 == 0), k=20)
