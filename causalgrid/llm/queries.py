@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from causalgrid.llm import ann, near_dedup, packing, quality_rules, sharding, suffix_dedup, token_counts, toxicity
+from causalgrid.llm import ann, lm_scoring, near_dedup, packing, quality_rules, sharding, suffix_dedup, token_counts, toxicity
 from causalgrid.session import pin_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +119,9 @@ def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors of every twentieth."""
     rows = table(spark, sf_dir, "embeddings")
     return ann.nearest(rows, rows.where(F.col("vec_id") % 20 == 0), k=20)
+
+
+@query()
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a model of the documents that are not held out."""
+    return lm_scoring.language_scores(table(spark, sf_dir, "documents"))
