@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from causalgrid.llm.common import arrow_batches, stored, texts_of
+from causalgrid.llm.common import arrow_batches, fresh, stored, texts_of
 
 ROWS, BANDS = 8, 40
 REGISTERS = ROWS * BANDS
@@ -293,3 +293,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     member = full.select("doc_id", "n_shingles", "set_key").join(of_class, "set_key").select("doc_id", "n_shingles", "component_id")
     alone = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return member.union(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def without_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each component; of repeated rows one stays."""
+    dropped = near_duplicates(docs, width, percent, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias(id_col)).distinct()
+    left = docs.join(dropped, id_col, "left_anti").select(*docs.columns)
+    if not docs.groupBy(id_col).count().where("count > 1").limit(1).count():
+        return left
+    key = fresh(docs, "_text_key")
+    return left.withColumn(key, F.xxhash64(text_col)).dropDuplicates([id_col, key]).drop(key)

@@ -325,13 +325,14 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def cleaned(text: pd.Series, spans: pd.Series) -> pd.Series:
         made = []
         for t, own in zip(text, spans):
-            data = (t or "").encode()
-            # a character cut in two loses its other bytes as well
-            made.append(without(data, merged([(s["begin"], s["end"]) for s in own], len(data))).decode(errors="ignore"))
+            if own is not None and t is not None:
+                data = t.encode()
+                # a character cut in two loses its other bytes as well
+                t = without(data, merged([(s["begin"], s["end"]) for s in own], len(data))).decode(errors="ignore")
+            made.append(t)
         return pd.Series(made, dtype="object")
 
-    changed = F.when(F.col(out).isNotNull(), cleaned(F.col(text_col), F.coalesce(F.col(out), F.array())))
-    done = spanned.withColumn(text_col, F.coalesce(changed, F.col(text_col)))
+    done = spanned.withColumn(text_col, cleaned(F.col(text_col), F.col(out)))
     if "n_chars" in docs.columns:
         done = done.withColumn("n_chars", F.when(F.col(out).isNotNull(), F.length(text_col).cast("long")).otherwise(F.col("n_chars")))
     return done.select(*docs.columns)

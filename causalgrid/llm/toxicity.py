@@ -242,3 +242,10 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     scored = with_score(rows, lexicon, "score")
     return scored.select("doc_id", is_fold("doc_id", 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: ToxicityParams = ToxicityParams()) -> DataFrame:
+    """The documents with a score under 0.5, under the columns of ``docs``."""
+    lexicon = learn(docs, labels, id_col, text_col, params)
+    out = fresh(docs, "_toxicity")
+    return with_score(docs, lexicon, out, text_col).where(F.col(out) < 0.5).drop(out)
