@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from causalgrid.llm import ann, lm_scoring, near_dedup, packing, quality_rules, sharding, suffix_dedup, token_counts, toxicity
+from causalgrid.llm import ann, lm_scoring, near_dedup, packing, quality_rules, sentencepiece_lattice, sharding, suffix_dedup, token_counts, toxicity
 from causalgrid.session import pin_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +125,9 @@ def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents by a model of the documents that are not held out."""
     return lm_scoring.language_scores(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents: their number, the sum of their ids, and how many stand for single bytes."""
+    return sentencepiece_lattice.piece_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
