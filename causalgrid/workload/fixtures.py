@@ -62,14 +62,13 @@ def housing_kommun(spark, sf_dir):
 
 
 def policy_rate(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").where(F.month("o_orderdate").isin(2, 4, 6, 9, 11))
-    return orders.groupBy(F.date_trunc("month", "o_orderdate").alias("effective_date_utc")).agg(
+    return table(spark, sf_dir, "orders").groupBy(F.date_trunc("month", "o_orderdate").alias("effective_date_utc")).agg(
         (F.round(F.avg("o_totalprice") / 25000) / 4).alias("policy_rate_pct")
     )
 
 
 def outage_events(spark, sf_dir):
-    faults = table(spark, sf_dir, "events").where((F.col("event_type") == "error") & (F.col("event_id") % 5 == 0))
+    faults = table(spark, sf_dir, "events")
     start = F.date_trunc("hour", "ts")
     hours = (F.col("event_id") % 48 + 1).cast("int")
     return faults.select(
@@ -97,8 +96,7 @@ def hydro_weekly(spark, sf_dir):
 
 
 def weather_obs(spark, sf_dir):
-    views = table(spark, sf_dir, "events").where(F.col("event_type") == "view")
-    return views.select(
+    return table(spark, sf_dir, "events").select(
         _zone("user_id"),
         F.col("ts").alias("timestamp_utc"),
         (F.col("value") / 10 - 5).alias("temperature_c"),
@@ -110,11 +108,11 @@ def weather_obs(spark, sf_dir):
 
 def grid_daily(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
-    supplier, nation = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation").where("n_regionkey < 4")
+    supplier, nation = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")
     joined = lines.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).join(
         nation, F.col("s_nationkey") == F.col("n_nationkey")
     )
-    zone = F.concat(F.lit("SE"), (F.col("n_regionkey") + 1).cast("string")).alias("zone")
+    zone = F.concat(F.lit("SE"), (F.col("n_regionkey") % 4 + 1).cast("string")).alias("zone")
     return joined.groupBy(zone, F.col("l_shipdate").alias("timestamp_utc")).agg(
         F.sum("l_quantity").alias("load_mw"),
         F.sum(F.col("l_extendedprice") * (F.col("l_discount") - 0.05)).alias("imbalance_mwh"),
@@ -141,13 +139,13 @@ CTE: dict[str, str] = {
     "policy_rate": """
         select date_trunc('month', o_orderdate)::timestamp as effective_date_utc,
                round(avg(o_totalprice) / 25000) / 4 as policy_rate_pct
-        from orders where month(o_orderdate) in (2, 4, 6, 9, 11) group by 1""",
+        from orders group by 1""",
     "outage_events": """
         select event_id, 'U' || (user_id % 9)::varchar as unit, 'SE' || (user_id % 4 + 1)::varchar as zone,
                date_trunc('hour', ts) as event_start,
                date_trunc('hour', ts) + (event_id % 48 + 1) * interval 1 hour as event_stop,
                value * 10 as unavailable_mw
-        from events where event_type = 'error' and event_id % 5 = 0""",
+        from events""",
     "net_positions": """
         select 'SE' || (user_id % 4 + 1)::varchar as zone, date_trunc('hour', ts) as timestamp_utc,
                sum(case when event_type = 'purchase' then value * 20 else -value end) as scheduled_net_position_mw
@@ -159,12 +157,12 @@ CTE: dict[str, str] = {
     "weather_obs": """
         select 'SE' || (user_id % 4 + 1)::varchar as zone, ts as timestamp_utc, value / 10 - 5 as temperature_c,
                value / 15 as wind_speed_ms, value > 300 as is_anomaly, event_id
-        from events where event_type = 'view'""",
+        from events""",
     "grid_daily": """
-        select 'SE' || (n_regionkey + 1)::varchar as zone, l_shipdate as timestamp_utc, sum(l_quantity) as load_mw,
+        select 'SE' || (n_regionkey % 4 + 1)::varchar as zone, l_shipdate as timestamp_utc, sum(l_quantity) as load_mw,
                sum(l_extendedprice * (l_discount - 0.05)) as imbalance_mwh, avg(l_extendedprice) / 500 as price_eur_mwh
         from lineitem join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey
-        where n_regionkey < 4 group by 1, 2""",
+        group by 1, 2""",
 }
 
 
