@@ -12,21 +12,29 @@ MONTHLY, YEARLY = ("zone", "year", "month"), ("zone", "year")
 
 
 def land_raw(spark: SparkSession, source_path: str, table_path: str, source: str, ingest_date: str) -> None:
-    """Files as they are, hashed, before anything is parsed; known content is not stored again."""
+    """Files as they are, hashed, before anything is parsed; a file known by name and content is not stored again.
+
+    What is new is settled on names and hashes; contents join it by path, so they are shuffled
+    only where the new paths are too many to be sent to every executor.
+    """
     files = spark.read.format("binaryFile").load(source_path)
-    rows = files.select(
+    named = files.select(
+        "path",
         F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
         "content",
         F.sha2("content", 256).alias("content_sha256"),
         F.lit(source).alias("source"),
         F.lit(ingest_date).cast("date").alias("ingest_date"),
-    ).dropDuplicates(["content_sha256"])
+    )
+    key = ["file_name", "content_sha256"]
+    new = named.groupBy(*key).agg(F.min("path").alias("path"))
     try:
-        known = spark.read.parquet(table_path).where(F.col("source") == source).select("content_sha256")
-        rows = rows.join(known, "content_sha256", "left_anti")
+        known = spark.read.parquet(table_path).where(F.col("source") == source).select(*key)
+        new = new.join(known, key, "left_anti")
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
+    rows = named.join(new.select("path"), "path", "left_semi").drop("path")
     rows.write.mode("append").option("compression", "gzip").partitionBy("source", "ingest_date").parquet(table_path)
 
 
@@ -72,9 +80,15 @@ def manifest(batch: DataFrame, by: Sequence[str], measures: Mapping[str, Column]
     return batch.groupBy(*by).agg(*stats, *[c.alias(n) for n, c in measures.items()])
 
 
-def append_json(df: DataFrame, path: str) -> None:
+def _of_batch(df: DataFrame, batch: str):
+    """A writer that replaces what the batch wrote before and nothing else."""
+    out = df.withColumn("batch_id", F.lit(batch)).write.mode("overwrite")
+    return out.option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
+
+
+def write_json(df: DataFrame, path: str, batch: str) -> None:
     """Manifests, anomaly entries, metric reports: small lines, one file set per batch."""
-    df.write.mode("append").json(path)
+    _of_batch(df, batch).json(path)
 
 
 def anomaly_entries(flagged: DataFrame, keys: Sequence[str] = ("zone", "timestamp_utc")) -> DataFrame:
@@ -82,5 +96,5 @@ def anomaly_entries(flagged: DataFrame, keys: Sequence[str] = ("zone", "timestam
     return flagged.where(F.size("anomaly_reasons") > 0).select(*keys, "anomaly_reasons")
 
 
-def write_rejects(checked: DataFrame, path: str) -> None:
-    checked.where("not is_valid").drop("is_valid").write.mode("append").parquet(path)
+def write_rejects(checked: DataFrame, path: str, batch: str) -> None:
+    _of_batch(checked.where("not is_valid").drop("is_valid"), batch).parquet(path)

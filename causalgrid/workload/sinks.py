@@ -66,8 +66,9 @@ def batch_manifest(spark, sf_dir):
     path = scratch_path(spark, "manifest")
     measures = {"price_min": F.min("price_eur_mwh"), "price_max": F.max("price_eur_mwh")}
     lines = sinks.manifest(fx.grid_hourly(spark, sf_dir), ["zone"], measures)
-    sinks.append_json(lines, path)
-    return spark.read.schema(lines.schema).json(path)
+    for _ in range(2):  # a batch that is run again leaves one set of lines
+        sinks.write_json(lines, path, "2024-01-01")
+    return spark.read.schema(lines.schema).json(path).drop("batch_id")
 
 
 @query(
@@ -81,7 +82,8 @@ def anomaly_log(spark, sf_dir):
     """K-06: anomalous points with their reasons, through JSON lines."""
     path = scratch_path(spark, "anomalies")
     entries = sinks.anomaly_entries(validate.flag_anomalies(fx.grid_hourly(spark, sf_dir), validate.load_anomaly(limits=(500.0, 20_000.0))))
-    sinks.append_json(entries, path)
+    for _ in range(2):
+        sinks.write_json(entries, path, "2024-01-01")
     back = spark.read.schema(entries.schema).json(path)
     return back.select("zone", "timestamp_utc", F.concat_ws(",", "anomaly_reasons").alias("reasons"))
 
@@ -91,20 +93,23 @@ def reject_table(spark, sf_dir):
     """K-08: rejects are stored with their reason."""
     path = scratch_path(spark, "rejects")
     e = table(spark, sf_dir, "events").select("event_id", (F.col("value") - 5).alias("load_mw"))
-    sinks.write_rejects(validate.validate(e, {"load_mw": F.col("load_mw") >= 0}), path)
+    checked = validate.validate(e, {"load_mw": F.col("load_mw") >= 0})
+    for _ in range(2):
+        sinks.write_rejects(checked, path, "2024-01-01")
     return spark.read.parquet(path).select("event_id", F.concat_ws(",", "failed_rules").alias("reasons"))
 
 
-@query("select md5(content) as digest, count(*) as n from (select distinct text as content from documents) group by 1")
+@query("select md5(text) as digest, 2 * count(*) as n from documents group by 1")
 def raw_landing(spark, sf_dir):
-    """K-01: files landed as they are; landing them again stores nothing twice."""
+    """K-01: two drops of equal bytes under different names both land; landing again stores nothing twice."""
     source, target = scratch_path(spark, "drop"), scratch_path(spark, "raw")
     docs = table(spark, sf_dir, "documents").select("text")
     # one document per row group of lines would change the text, so each row is kept as one JSON string
-    docs.select(F.to_json(F.struct("text"))).write.text(source)
-    sinks.land_raw(spark, source, target, "documents", "2024-01-01")
-    sinks.land_raw(spark, source, target, "documents", "2024-01-02")
+    for drop in ("se1", "se2"):
+        docs.select(F.to_json(F.struct("text"))).write.text(f"{source}/{drop}")
+    for day in ("2024-01-01", "2024-01-02"):
+        sinks.land_raw(spark, f"{source}/*", target, "documents", day)
     landed = spark.read.parquet(target).where("source = 'documents'")
     lines = landed.select(F.explode(F.split(F.decode("content", "UTF-8"), "\n")).alias("line")).where("line <> ''")
-    texts = lines.select(F.from_json("line", "text string")["text"].alias("content")).distinct()
+    texts = lines.select(F.from_json("line", "text string")["text"].alias("content"))
     return texts.groupBy(F.md5("content").alias("digest")).agg(F.count("*").alias("n"))
