@@ -99,16 +99,46 @@ def locale_double(c: Column) -> Column:
     return F.when(~F.isnan(x) & (F.abs(x) != float("inf")), x)
 
 
+# What Windows-1252 has in place of the control characters 0x80 to 0x9F.
+WINDOWS_1252 = {
+    0x80: "€", 0x82: "‚", 0x83: "ƒ", 0x84: "„", 0x85: "…", 0x86: "†", 0x87: "‡", 0x88: "ˆ", 0x89: "‰", 0x8A: "Š", 0x8B: "‹", 0x8C: "Œ",
+    0x8E: "Ž", 0x91: "‘", 0x92: "’", 0x93: "“", 0x94: "”", 0x95: "•", 0x96: "–", 0x97: "—", 0x98: "˜", 0x99: "™", 0x9A: "š", 0x9B: "›",
+    0x9C: "œ", 0x9E: "ž", 0x9F: "Ÿ",
+}
+
+
+def _as_declared(content: Column, declared: str) -> Column | None:
+    """Text in the declared encoding, NULL where the bytes do not fit it; None for an unknown name."""
+    name = declared.lower().replace("_", "-")
+    utf8 = F.when(F.is_valid_utf8(content), F.decode(content, "UTF-8"))
+    if name in ("utf-8", "utf8"):
+        return utf8
+    if name in ("us-ascii", "ascii"):
+        return F.when(~F.hex(content).rlike("^(..)*[89A-F]"), utf8)
+    if name in ("iso-8859-1", "latin1", "latin-1"):
+        return F.decode(content, "ISO-8859-1")
+    if name in ("windows-1252", "cp1252"):
+        latin1 = F.decode(content, "ISO-8859-1")
+        return F.translate(latin1, "".join(map(chr, WINDOWS_1252)), "".join(WINDOWS_1252.values()))
+    if name in ("utf-16be", "utf-16le"):
+        # whole code units, surrogates in pairs
+        unit, high, low = ("{0}..", "D[89AB]..", "D[C-F]..") if name == "utf-16be" else ("..{0}", "..D[89AB]", "..D[C-F]")
+        plain = unit.format("(?:[0-9A-CEF].|D[0-7])")
+        fits = F.hex(content).rlike(f"^(?:{plain}|{high}{low})*$")
+        return F.when(fits, F.decode(F.when(fits, content), name.upper()))
+    return None
+
+
 def decode_bytes(content: Column, declared: str = "utf-8") -> Column:
     """Bytes to text: the declared encoding, then UTF-8, then Latin-1; NULL if damaged.
 
-    A replacement character in the result means the damage was done before the bytes were
+    An unknown encoding, or bytes that do not fit the declared one, go on to the next. A
+    replacement character in the result means the damage was done before the bytes were
     stored. Latin-1 accepts every byte, so nothing can come after it.
     """
-    as_utf8 = F.when(F.is_valid_utf8(content), F.decode(content, "UTF-8"))
-    latin1 = F.decode(content, "ISO-8859-1")
-    wanted = {"utf-8": as_utf8, "utf8": as_utf8}.get(declared.lower(), F.decode(content, declared))
-    text = F.coalesce(wanted, as_utf8, latin1)
+    wanted = _as_declared(content, declared)
+    rest = [_as_declared(content, "utf-8"), F.decode(content, "ISO-8859-1")]
+    text = F.coalesce(*([] if wanted is None else [wanted]), *rest)
     return F.when(~F.contains(text, F.lit("�")), text)
 
 

@@ -70,7 +70,7 @@ def asof_join(
 
     Several series share one shuffle of the left side. A matched right row whose value is NULL
     wins over an older value. ``nearest`` takes the closer of both neighbours, on a tie the
-    earlier one.
+    earlier one. A NULL key matches nothing, wherever its rows lie.
     """
     rights = [series] if isinstance(series, Series) else list(series)
     by = list(by)
@@ -79,7 +79,8 @@ def asof_join(
     spread = left.select(*by, F.col(on).alias(_TS), F.lit(1).alias(_SIDE), F.struct(*left.columns).alias("_left"), deal.alias("_deal"))
     streams = [spread]
     for i, r in enumerate(rights):
-        streams.append(r.settled(by).withColumn(_SIDE, F.lit(0)).withColumnRenamed("_v", f"_r{i}"))
+        keyed = r.settled(by).dropna(subset=by) if by else r.settled(by)
+        streams.append(keyed.withColumn(_SIDE, F.lit(0)).withColumnRenamed("_v", f"_r{i}"))
     both = _chunked(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), streams), chunk_seconds)
 
     slots = [f"_r{i}" for i in range(len(rights))]
@@ -177,21 +178,24 @@ def nearest_within(
 ) -> DataFrame:
     """Nearest right row within a tolerance of at most half a step; ties take the earlier row.
 
-    Left times are whole steps. A right row can only be the nearest of the step it lies in or
-    the next one, so it is offered to both and the best offer per step is taken before the join.
+    The left times of a key lie on one grid of that step, or on a few, at any distance from the
+    full hour. A right row can only be the nearest of the step it lies in or the next one, so on each
+    grid of its key it is offered to both, and the best offer per step is taken before the join.
     """
     if 2 * tolerance_seconds > step_seconds:
         raise ValueError("the tolerance must not exceed half a step; use asof_join(direction='nearest')")
     values, by = list(values), list(by)
-    best = nearest_per_step(right, values, on, by, step_seconds, tolerance_seconds)
+    step = step_seconds * 1_000_000
+    phases = left.where(F.col(on).isNotNull()).select(*by, F.pmod(F.unix_micros(F.col(on)), F.lit(step)).alias("_phase")).distinct()
+    best = nearest_per_step(right, phases, values, on, by, step_seconds, tolerance_seconds)
     return left.join(best, [*by, on], "left").select(*left.columns, *values)
 
 
-def nearest_per_step(right, values, on, by, step_seconds, tolerance_seconds) -> DataFrame:
+def nearest_per_step(right, phases, values, on, by, step_seconds, tolerance_seconds) -> DataFrame:
     step = step_seconds * 1_000_000
     micros = F.unix_micros(F.col(on))
-    floor = micros - F.pmod(micros, F.lit(step))
-    offered = right.where(F.col(on).isNotNull()).withColumn("_obs", micros)
+    floor = F.col("_obs") - F.pmod(F.col("_obs") - F.col("_phase"), F.lit(step))
+    offered = right.where(F.col(on).isNotNull()).withColumn("_obs", micros).join(phases, by)
     offered = offered.withColumn("_step", F.explode(F.array(floor, floor + step)))
     offered = offered.withColumn("_gap", F.abs(F.col("_obs") - F.col("_step"))).where(F.col("_gap") <= tolerance_seconds * 1_000_000)
     best = offered.groupBy(*by, "_step").agg(F.min(F.struct("_gap", "_obs", *values)).alias("_row"))

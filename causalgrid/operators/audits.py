@@ -75,9 +75,10 @@ def ingest_report(parsed: DataFrame, reason: str = "reject_reason") -> DataFrame
 def rate_changes(rates: DataFrame, on: str = "effective_date_utc", value: str = "policy_rate_pct") -> DataFrame:
     """Dates on which the national rate differs from the one before.
 
-    There is one rate per day at most, so the single ordered window is bounded by the calendar.
+    The last rate of a day counts, so the single ordered window has a row per calendar day at most.
     """
-    daily = rates.groupBy(on).agg(F.max(value).alias(value))
+    of_day = rates.groupBy(F.to_date(on)).agg(F.max(F.struct(on, value)).alias("_last"))
+    daily = of_day.select(F.col("_last")[on].alias(on), F.col("_last")[value].alias(value))
     before = F.lag(value).over(Window.orderBy(on))
     changed = daily.withColumn("previous_rate_pct", before).where(F.col("previous_rate_pct") != F.col(value))
     return changed.withColumn("delta_pct", F.col(value) - F.col("previous_rate_pct"))

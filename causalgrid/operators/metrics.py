@@ -88,12 +88,13 @@ def residual_histogram(df: DataFrame, by: Sequence[str] = ("zone",)) -> DataFram
 
 
 def qq_points(df: DataFrame, points: int = 199, by: Sequence[str] = ("zone",)) -> DataFrame:
-    """Residual quantiles beside those of the normal distribution, from a mergeable sketch."""
+    """Exact residual quantiles beside those of the normal distribution."""
     p = [(i - 0.3175) / (points + 0.365) for i in range(1, points + 1)]
-    normal = F.array(*[F.lit(NormalDist().inv_cdf(x)) for x in p])
-    seen = df.groupBy(*by).agg(F.percentile_approx("error", p, 100_000).alias("_seen"))
-    both = seen.select(*by, F.posexplode(F.arrays_zip(normal.alias("theory"), F.col("_seen").alias("seen"))).alias("rank", "_p"))
-    return both.select(*by, "rank", F.col("_p.theory").alias("theoretical"), F.col("_p.seen").alias("observed"))
+    normal = [F.lit(NormalDist().inv_cdf(x)) for x in p]
+    seen = exact_quantiles(df, "error", {f"_q{i}": x for i, x in enumerate(p)}, by)
+    points_of = F.array(*[F.struct(n.alias("theoretical"), F.col(f"_q{i}").alias("observed")) for i, n in enumerate(normal)])
+    both = seen.select(*by, F.posexplode(points_of).alias("rank", "_p"))
+    return both.select(*by, "rank", "_p.theoretical", "_p.observed")
 
 
 def importance_table(importances: DataFrame, top: int | None = None, by: Sequence[str] = ()) -> DataFrame:

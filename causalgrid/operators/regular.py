@@ -23,14 +23,17 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key: the first by ``order``; equal ones by the remaining columns."""
+    """One row per key: the first by ``order``, NULL last; equal ones by the remaining columns."""
     return _keep(df, keys, order, F.min)
 
 
 def _keep(df, keys, order, pick) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
+    # NULL is least in a struct: it loses a maximum as it is, and a minimum by being flagged
+    flags = [F.col(c).isNull().alias(f"_n{i}") for i, c in enumerate(order)] if pick is F.min else []
     ordered = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]
-    picked = df.groupBy(*keys).agg(pick(F.struct(*ordered, *rest)).alias("_row"))
+    both = [x for pair in zip(flags, ordered) for x in pair] if flags else ordered
+    picked = df.groupBy(*keys).agg(pick(F.struct(*both, *rest)).alias("_row"))
     return picked.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
 
 

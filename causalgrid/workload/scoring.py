@@ -99,10 +99,22 @@ def residual_histogram(spark, sf_dir):
     return metrics.residual_histogram(residuals(spark, sf_dir))
 
 
-@query()
+_POINTS = ", ".join(f"{(i - 0.3175) / (199 + 0.365)!r}" for i in range(1, 200))
+
+
+@query(
+    with_views(
+        f"""select zone, i::int as rank, q[i + 1] as observed
+            from (select zone, quantile_cont(error, [{_POINTS}]) as q from residuals group by zone), range(0, 199) as r(i)""",
+        "grid_hourly",
+        **SCORED,
+    ),
+    doubles="observed",
+    digits=4,
+)
 def residual_qq_points(spark, sf_dir):
-    """G-17: from a sketch, so only the rows are checked here; a test compares with exact quantiles."""
-    return metrics.qq_points(residuals(spark, sf_dir))
+    """G-17: exact quantiles; a test compares the theoretical side."""
+    return metrics.qq_points(residuals(spark, sf_dir)).select("zone", F.col("rank").cast("int").alias("rank"), "observed")
 
 
 @query(
