@@ -111,56 +111,53 @@ def _names(t: np.ndarray, lms: np.ndarray, ordered: np.ndarray) -> tuple[np.ndar
     return names[lms], int((~same).sum()) + 1
 
 
-def _sais_names(t: list[int], size: int) -> list[int]:
+def _sais_names(t: np.ndarray, size: int) -> np.ndarray:
     """Suffix array of a string of names by induced sorting, step by step; t[-1] is a unique least name."""
     n = len(t)
     if n == 1:
-        return [0]
-    s = [True] * n
-    for i in range(n - 2, -1, -1):
-        s[i] = t[i] < t[i + 1] or (t[i] == t[i + 1] and s[i + 1])
-    counts = [0] * size
-    for c in t:
-        counts[c] += 1
-    begins, ends, total = [0] * size, [0] * size, 0
-    for c in range(size):
-        begins[c] = total
-        total += counts[c]
-        ends[c] = total
+        return np.zeros(1, np.int64)
+    s = _types(t)
+    ends = np.cumsum(np.bincount(t, minlength=size))
+    begins = np.r_[0, ends[:-1]].tolist()
+    ends = ends.tolist()
+    # the symbol before each place where that suffix is L, or S; -1 elsewhere and, at the end, for no place
+    before = np.r_[-1, t[:-1], -1]
+    l_before, s_before = before.copy(), before.copy()
+    l_before[1:n][s[:-1]] = -1
+    s_before[1:n][~s[:-1]] = -1
+    l_before, s_before, symbol = l_before.tolist(), s_before.tolist(), t.tolist()
 
     def induce(lms: list[int]) -> list[int]:
         sa = [-1] * n
         fill = ends[:]
         for i in reversed(lms):
-            fill[t[i]] -= 1
-            sa[fill[t[i]]] = i
+            c = symbol[i]
+            fill[c] -= 1
+            sa[fill[c]] = i
         fill = begins[:]
         for i in sa:  # the list fills ahead of the place that is read
-            if i > 0 and not s[i - 1]:
-                c = t[i - 1]
+            c = l_before[i]
+            if c >= 0:
                 sa[fill[c]] = i - 1
                 fill[c] += 1
         fill = ends[:]
         for k in range(n - 1, -1, -1):
             i = sa[k]
-            if i > 0 and s[i - 1]:
-                c = t[i - 1]
+            c = s_before[i]
+            if c >= 0:
                 fill[c] -= 1
                 sa[fill[c]] = i - 1
         return sa
 
-    lms = [i for i in range(1, n) if s[i] and not s[i - 1]]
+    lms = np.flatnonzero(s[1:] & ~s[:-1]) + 1
     if len(lms) > 1:
-        is_lms = bytearray(n)
-        for i in lms:
-            is_lms[i] = 1
-        ordered = [i for i in induce(lms) if is_lms[i]]
-        named, made = _names(np.array(t, np.int64), np.array(lms, np.int64), np.array(ordered, np.int64))
-        if made < len(lms):
-            lms = [lms[k] for k in _sais_names(named.tolist(), made)]
-        else:
-            lms = ordered
-    return induce(lms)
+        is_lms = np.zeros(n, bool)
+        is_lms[lms] = True
+        order = np.array(induce(lms.tolist()))
+        ordered = order[is_lms[order]]
+        named, made = _names(t, lms, ordered)
+        lms = lms[_sais_names(named, made)] if made < len(lms) else ordered
+    return np.array(induce(lms.tolist()))
 
 
 def suffix_array(text: np.ndarray, size: int) -> np.ndarray:
@@ -177,7 +174,7 @@ def suffix_array(text: np.ndarray, size: int) -> np.ndarray:
         is_lms[lms] = True
         ordered = order[is_lms[order]]
         named, made = _names(t, lms, ordered)
-        ordered = lms[np.array(_sais_names(named.tolist(), made))] if made < len(lms) else ordered
+        ordered = lms[_sais_names(named, made)] if made < len(lms) else ordered
         order = _induce_bytes(t, s, ordered, size)
     return order[1:]
 
