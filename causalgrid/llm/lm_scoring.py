@@ -7,8 +7,9 @@ byte model has to speak for words that were not counted: a known word keeps its
 leave goes to all words by the byte model. The mixer learns online, batch by batch, from every training word, each with its own count
 taken out of its contexts.
 
-A document then runs through several experts that blend the model with the document's own earlier words at different rates;
-their weights follow the document, which is the exact Bayesian mixture. All counts are sums over all training documents. The context
+A document then runs through several experts: some blend the model with the document's own earlier words at different rates,
+others are the model's frequent words counted anew over the training documents of one class, that is, those in which the same one of the
+most frequent words leads. The experts' weights follow the document, which is the exact Bayesian mixture. All counts are sums over all training documents. The context
 table has a fixed number of slots and the words kept in each worker are a fixed number of the most frequent; other words are joined.
 
 A null or empty text is its end token alone; a null id is held out or not as an empty id. Equal texts get equal scores. Texts of any
@@ -38,7 +39,11 @@ MAP_BINS = 33
 HELD_WORDS = 200_000
 #: Shares of a document's own earlier words in each expert's prediction, and the experts' weights at the start.
 SHARES = (0.0, 0.05, 0.3, 0.8)
-STARTS = (0.55, 0.25, 0.1, 0.1)
+STARTS = (0.3, 0.1, 0.05, 0.05)
+#: Documents are classed by which of so many most frequent words leads in them; all class experts share ``CLASS_START``.
+CLASSES, CLASS_START = 12, 0.5
+#: Words that the model adds to the counts of a class.
+CLASS_PRIOR = 2_000
 #: Stands for the end of a text among the words.
 END = b"\n"
 EMIT = 400_000
@@ -261,26 +266,73 @@ def scored_words(words: DataFrame, mixer: Mixer, total: int, distinct: int, disc
     return words.mapInArrow(scored, "word binary, c long, p double")
 
 
-def document_parts(docs: DataFrame, top: dict[bytes, tuple[int, float]], norm: float) -> DataFrame:
+def parts_of(texts: list[bytes], most: int = 2 << 20) -> Iterator[tuple[int, list[bytes]]]:
+    """Places and consecutive texts of about ``most`` bytes together, one at least."""
+    begin, size = 0, 0
+    for k, t in enumerate(texts):
+        size += len(t)
+        if size >= most or k == len(texts) - 1:
+            yield begin, texts[begin : k + 1]
+            begin, size = k + 1, 0
+
+
+def class_tables(docs: DataFrame, top: dict[bytes, tuple[int, float]]) -> tuple[np.ndarray, np.ndarray]:
+    """log10 probabilities of the held words in each class, and what a class adds to those of other words."""
+    names, logs = list(top), np.array([p for _, p in top.values()])
+    leads = [k for k, w in enumerate(names) if w != END][:CLASSES]
+    width = len(names) + 1  # the last column stands for words that are not held
+    if not leads:
+        return np.empty((0, len(names))), np.empty(0)
+    held = docs.sparkSession.sparkContext.broadcast((names, leads))
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, leads = held.value
+        number = dict(zip(names, itertools.count()))
+        lead = np.full(width, -1)
+        lead[leads] = np.arange(len(leads))
+        total = np.zeros(len(leads) * width, np.int64)
+        for _, texts in texts_of(batches, "text"):
+            for _, part in parts_of(texts, 4 << 20):
+                own = [t.lower().split() for t in part]
+                lengths = np.array([len(w) + 1 for w in own])
+                for w in own:
+                    w.append(END)
+                word = np.fromiter((number.get(w, width - 1) for w in itertools.chain.from_iterable(own)), np.int64, int(lengths.sum()))
+                doc = np.repeat(np.arange(len(own)), lengths)
+                leading = lead[word] >= 0
+                score = np.bincount(doc[leading] * len(leads) + lead[word[leading]], minlength=len(own) * len(leads)).reshape(len(own), -1)
+                of = np.where(score.max(axis=1) > 0, score.argmax(axis=1), -1)[doc]
+                total += np.bincount(of[of >= 0] * width + word[of >= 0], minlength=len(total))
+        full = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(full), pa.array(total[full])], names=["cell", "n"])
+
+    rows = docs.where("train").select("text").mapInArrow(counted, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    table, counts = rows.toArrow(), np.zeros(len(leads) * width)  # at most CLASSES x (HELD_WORDS + 1) rows
+    counts[table.column("cell").to_numpy()] = table.column("n").to_numpy()
+    counts = counts.reshape(len(leads), width)
+    plain = 10.0**logs
+    other = min(0.999, max(1e-9, 1 - plain.sum()))  # of all probability what words that are not held have
+    words = counts[:, :-1].sum(axis=1, keepdims=True)
+    rare = (counts[:, -1:] + CLASS_PRIOR * other) / (words + counts[:, -1:] + CLASS_PRIOR)
+    own = (counts[:, :-1] + CLASS_PRIOR * plain / plain.sum()) / (words + CLASS_PRIOR)
+    return np.log10((1 - rare) * own), np.log10(rare[:, 0] / other)
+
+
+def document_parts(docs: DataFrame, top: dict[bytes, tuple[int, float]], norm: float, classes: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """Rows of two kinds. Documents: ``row``, their columns, and sums over words held in the worker. Other words, once in a
     document: ``row, word`` and ``again``, the shares of earlier words at each repetition."""
     spark = docs.sparkSession
-    held = spark.sparkContext.broadcast((list(top), np.array([c for c, _ in top.values()], float), np.array([p for _, p in top.values()])))
+    held = spark.sparkContext.broadcast((list(top), np.array([c for c, _ in top.values()], float), np.array([p for _, p in top.values()]), *classes))
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, counts, logs = held.value
+        names, counts, logs, class_logs, class_rest = held.value
         number = dict(zip(names, itertools.count()))
         base = np.log10((counts + 0.5) / norm)
         plain = 10.0**logs
         row = TaskContext.get().partitionId() << 36
         for batch, texts in texts_of(batches, "text"):
-            begin = 0
-            while begin < len(texts):
-                stop, size = begin, 0
-                while stop < len(texts) and (stop == begin or size < 2 << 20):
-                    size += len(texts[stop])
-                    stop += 1
-                own = [t.lower().split() for t in texts[begin:stop]]
+            for begin, part in parts_of(texts):
+                own = [t.lower().split() for t in part]
                 for w in own:
                     w.append(END)
                 lengths = np.array([len(w) for w in own])
@@ -300,6 +352,8 @@ def document_parts(docs: DataFrame, top: dict[bytes, tuple[int, float]], norm: f
                 add = lambda v: np.bincount(dc, weights=v, minlength=len(own))
                 experts = [add(logs[wc] if s == 0 else np.log10((1 - s) * plain[wc] + s * sc + 1e-300)) for s in SHARES]
                 n = len(own)
+                unheld = np.bincount(doc[~common], minlength=n)
+                experts += [add(c[wc]) + r * unheld for c, r in zip(class_logs, class_rest)]
                 yield rows_of(
                     row + np.arange(n),
                     batch.column("doc_id").slice(begin, n),
@@ -317,7 +371,6 @@ def document_parts(docs: DataFrame, top: dict[bytes, tuple[int, float]], norm: f
                     spelled = list(rare)
                     yield words_of(batch.column("doc_id").type, row + doc[o][at], [spelled[k - len(names)] for k in word[o][at]], [x[1:].tolist() for x in again])
                 row += n
-                begin = stop
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.mapInArrow(
@@ -363,7 +416,8 @@ def language_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     words = stored(scored_words(counts, trained(known), total, distinct, discount), "scored-words")
     top = {bytes(x["word"]): (x["c"], x["p"]) for x in words.orderBy(F.desc("c"), "word").limit(held_words).collect()}
     norm = total + 0.5 * (distinct + 1)
-    parts = stored(document_parts(rows, top, norm), "parts")
+    classes = class_tables(rows, top)
+    parts = stored(document_parts(rows, top, norm, classes), "parts")
 
     p, log_p = F.pow(F.lit(10.0), F.col("p")), F.col("p")
     first = lambda s: log_p + math.log10(1 - s)
@@ -376,12 +430,18 @@ def language_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         (F.log10((F.col("c") + 0.5) / norm) * (1 + F.size("again"))).alias("base"),
         *[(first(s) + F.when(repeats, later(s)).otherwise(0.0)).alias(f"e{k}") for k, s in enumerate(SHARES)],
     )
-    local = parts.where("word IS NULL").select("row", "doc_id", "train", "n_tokens", "n_known", "base", *[F.col("experts")[k].alias(f"e{k}") for k in range(len(SHARES))])
+    local = parts.where("word IS NULL").select("row", "doc_id", "train", "n_tokens", "n_known", "base", "experts", *[F.col("experts")[k].alias(f"e{k}") for k in range(len(SHARES))])
     names = ("n_known", "base", *[f"e{k}" for k in range(len(SHARES))])
     more = sums.groupBy("row").agg(*[F.sum(c).alias(f"more_{c}") for c in names])
     both = local.join(more, "row", "left").withColumns({c: F.col(c) + F.coalesce(f"more_{c}", F.lit(0.0)) for c in names})
-    best = F.greatest(*[f"e{k}" for k in range(len(SHARES))])
-    mixed = best + F.log10(sum((F.pow(F.lit(10.0), F.col(f"e{k}") - best) * w for k, w in enumerate(STARTS)), F.lit(0.0)))
+    # what other words add to a class expert is what they add to the first, which has no share of earlier words
+    of_classes = [F.col("experts")[len(SHARES) + k] + F.coalesce("more_e0", F.lit(0.0)) for k in range(len(classes[1]))]
+    weights = [*STARTS, *[CLASS_START / len(of_classes)] * len(of_classes)]
+    own = F.array(*[f"e{k}" for k in range(len(SHARES))], *of_classes)
+    both = both.withColumn("own", own).withColumn("best", F.array_max("own"))
+    mixed = F.col("best") + F.log10(
+        sum((F.pow(F.lit(10.0), F.col("own")[k] - F.col("best")) * (w / sum(weights)) for k, w in enumerate(weights)), F.lit(0.0))
+    )
     return both.select(
         "doc_id",
         (~F.col("train")).alias("held_out"),
