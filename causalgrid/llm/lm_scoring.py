@@ -47,7 +47,6 @@ CLASS_PRIOR = 2_000
 #: Stands for the end of a text among the words.
 END = b"\n"
 EMIT = 400_000
-EPOCHS = 2
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -141,29 +140,25 @@ class Mixer:
     def logits(self, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
         return np.clip(np.einsum("kn,nk->n", x, self.weights[gate]), -12, 12)
 
-    def learn(self, words: list[bytes]) -> None:
-        """One online step for every gate from a batch of training words."""
+    def learn(self, words: list[bytes], seen: np.ndarray) -> None:
+        """One online step for every gate from a batch of training words.
+
+        ``seen`` gathers bits and ones by gate and bin of the mixed logit, as predicted before the step.
+        """
         bits = Bits(words)
         for b in range(8):
             bit, at = bits.bit(b)
             x, gate = self.inputs(b, bit, at, True)
-            error = bit - 1 / (1 + np.exp(-self.logits(x, gate)))
+            z = self.logits(x, gate)
+            cell = gate * MAP_BINS + self.bins(z)
+            seen[0] += np.bincount(cell, minlength=GATES * MAP_BINS)
+            seen[1] += np.bincount(cell, weights=bit, minlength=GATES * MAP_BINS)
+            error = bit - 1 / (1 + np.exp(-z))
             for g in np.unique(gate):
                 own = gate == g
                 # the step of a least-squares fit along the gradient
                 self.weights[g] += 2.0 * (x[:, own] @ error[own]) / ((x[:, own] ** 2).sum() / 2 + 10)
 
-    def hits(self, words: list[bytes]) -> np.ndarray:
-        """Bits and ones by gate and bin of the mixed logit."""
-        bits, out = Bits(words), np.zeros((2, GATES * MAP_BINS))
-        for b in range(8):
-            bit, at = bits.bit(b)
-            x, gate = self.inputs(b, bit, at, True)
-            cell = gate * MAP_BINS + self.bins(self.logits(x, gate))
-            out[0] += np.bincount(cell, minlength=GATES * MAP_BINS)
-            out[1] += np.bincount(cell, weights=bit, minlength=GATES * MAP_BINS)
-        return out
-
     @staticmethod
     def bins(logits: np.ndarray) -> np.ndarray:
         return np.clip(np.rint(logits * 2).astype(np.int64) + MAP_BINS // 2, 0, MAP_BINS - 1)
@@ -217,35 +212,28 @@ def context_table(known: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def trained(known: DataFrame) -> Mixer:
-    """The mixer after all training words; weights of the partitions are averaged by their words."""
-    spark = known.sparkSession
+    """The mixer after one online pass over all training words; the partitions' weights are averaged by their words."""
     mixer = Mixer(*context_table(known))
-    for epoch in range(EPOCHS):
-        held = spark.sparkContext.broadcast(mixer.arrays())
-
-        def learned(batches: Iterator[pa.RecordBatch], held=held, last=epoch == EPOCHS - 1) -> Iterator[pa.RecordBatch]:
-            zeros, ones, weights, refined = held.value
-            own, n = Mixer(zeros, ones, weights.copy(), refined), 0
-            hits = np.zeros((2, GATES * MAP_BINS))
-            for words in batched(batches, 2_000):
-                if last:
-                    hits += own.hits(words)
-                own.learn(words)
-                n += len(words)
-            if n:
-                yield pa.record_batch(
-                    [pa.array([n]), pa.array([own.weights.ravel().tolist()]), pa.array([hits.ravel().tolist()])], names=["n", "weights", "hits"]
-                )
-
-        # a row for each partition, of a few kilobytes
-        rows = known.select("word").mapInArrow(learned, "n long, weights array<double>, hits array<double>").collect()
-        if rows:
-            n = np.array([r["n"] for r in rows], float)
-            weights = (np.array([r["weights"] for r in rows]) * (n / n.sum())[:, None]).sum(axis=0).reshape(GATES, ORDERS)
-            seen, ones = np.sum([r["hits"] for r in rows], axis=0).reshape(2, GATES, MAP_BINS)
-            mixer = Mixer(mixer.zeros, mixer.ones, weights, (ones + 20 * mixer.refined) / (seen + 20))
-        held.unpersist()
-    return mixer
+    held = known.sparkSession.sparkContext.broadcast(mixer.arrays())
+
+    def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        zeros, ones, weights, refined = held.value
+        own, n = Mixer(zeros, ones, weights.copy(), refined), 0
+        seen = np.zeros((2, GATES * MAP_BINS))
+        for words in batched(batches, 2_000):
+            own.learn(words, seen)
+            n += len(words)
+        if n:
+            yield pa.record_batch([pa.array([n]), pa.array([own.weights.ravel().tolist()]), pa.array([seen.ravel().tolist()])], names=["n", "weights", "seen"])
+
+    # a row for each partition, of a few kilobytes
+    rows = known.select("word").mapInArrow(learned, "n long, weights array<double>, seen array<double>").collect()
+    if not rows:
+        return mixer
+    n = np.array([r["n"] for r in rows], float)
+    weights = (np.array([r["weights"] for r in rows]) * (n / n.sum())[:, None]).sum(axis=0).reshape(GATES, ORDERS)
+    bits, ones = np.sum([r["seen"] for r in rows], axis=0).reshape(2, GATES, MAP_BINS)
+    return Mixer(mixer.zeros, mixer.ones, weights, (ones + 20 * mixer.refined) / (bits + 20))
 
 
 def scored_words(words: DataFrame, mixer: Mixer, total: int, distinct: int, discount: float) -> DataFrame:
@@ -276,9 +264,8 @@ def parts_of(texts: list[bytes], most: int = 2 << 20) -> Iterator[tuple[int, lis
             begin, size = k + 1, 0
 
 
-def class_tables(docs: DataFrame, top: dict[bytes, tuple[int, float]]) -> tuple[np.ndarray, np.ndarray]:
+def class_tables(docs: DataFrame, names: list[bytes], logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """log10 probabilities of the held words in each class, and what a class adds to those of other words."""
-    names, logs = list(top), np.array([p for _, p in top.values()])
     leads = [k for k, w in enumerate(names) if w != END][:CLASSES]
     width = len(names) + 1  # the last column stands for words that are not held
     if not leads:
@@ -318,11 +305,11 @@ def class_tables(docs: DataFrame, top: dict[bytes, tuple[int, float]]) -> tuple[
     return np.log10((1 - rare) * own), np.log10(rare[:, 0] / other)
 
 
-def document_parts(docs: DataFrame, top: dict[bytes, tuple[int, float]], norm: float, classes: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+def document_parts(docs: DataFrame, top: tuple[list[bytes], np.ndarray, np.ndarray], norm: float, classes: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """Rows of two kinds. Documents: ``row``, their columns, and sums over words held in the worker. Other words, once in a
     document: ``row, word`` and ``again``, the shares of earlier words at each repetition."""
     spark = docs.sparkSession
-    held = spark.sparkContext.broadcast((list(top), np.array([c for c, _ in top.values()], float), np.array([p for _, p in top.values()]), *classes))
+    held = spark.sparkContext.broadcast((*top, *classes))
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, counts, logs, class_logs, class_rest = held.value
@@ -414,9 +401,10 @@ def language_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     total, distinct = r["n"] or 0, r["v"] or 0
     discount = min(0.95, max(0.05, (r["n1"] or 0) / max(1, (r["n1"] or 0) + 2 * (r["n2"] or 0))))
     words = stored(scored_words(counts, trained(known), total, distinct, discount), "scored-words")
-    top = {bytes(x["word"]): (x["c"], x["p"]) for x in words.orderBy(F.desc("c"), "word").limit(held_words).collect()}
+    most = words.orderBy(F.desc("c"), "word").limit(held_words).toArrow()
+    top = (most.column("word").to_pylist(), most.column("c").to_numpy().astype(float), most.column("p").to_numpy())
     norm = total + 0.5 * (distinct + 1)
-    classes = class_tables(rows, top)
+    classes = class_tables(rows, top[0], top[2])
     parts = stored(document_parts(rows, top, norm, classes), "parts")
 
     p, log_p = F.pow(F.lit(10.0), F.col("p")), F.col("p")
