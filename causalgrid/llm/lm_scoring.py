@@ -424,7 +424,7 @@ def language_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     both = local.join(more, "row", "left").withColumns({c: F.col(c) + F.coalesce(f"more_{c}", F.lit(0.0)) for c in names})
     # what other words add to a class expert is what they add to the first, which has no share of earlier words
     of_classes = [F.col("experts")[len(SHARES) + k] + F.coalesce("more_e0", F.lit(0.0)) for k in range(len(classes[1]))]
-    weights = [*STARTS, *[CLASS_START / len(of_classes)] * len(of_classes)]
+    weights = [*STARTS, *[CLASS_START / max(1, len(of_classes))] * len(of_classes)]
     own = F.array(*[f"e{k}" for k in range(len(SHARES))], *of_classes)
     both = both.withColumn("own", own).withColumn("best", F.array_max("own"))
     mixed = F.col("best") + F.log10(
