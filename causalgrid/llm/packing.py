@@ -28,6 +28,7 @@ from causalgrid.llm.common import arrow_batches, stored, texts_of
 
 # Fixed value: how the word scheme cuts a lower-case text into words.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"
+SEPARATORS, BLANKS = regex.compile(r"[\x1c-\x1f]"), regex.compile(r"\p{White_Space}+")
 #: Words whose ids a Python worker remembers; at the bound it starts over.
 REMEMBERED = 600_000
 OPEN = 64
@@ -38,43 +39,69 @@ FULL_ENOUGH = 0.995
 
 
 class WordIds:
-    """Ids of texts; the library encodes each different word once."""
+    """Ids of texts; the library encodes each different word once.
+
+    Words never cross white space, so what stands between white space is remembered with its ids.
+    """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         special = self.tokenizer.get_added_tokens_decoder()
         self.special = {t.content: np.array([k], "<u4").tobytes() for k, t in special.items()}
         self.apart = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.cut, self.known = regex.compile(WORDS), {}
+        self.cut, self.known, self.words = regex.compile(WORDS), {}, {}
 
-    def words(self, text: str) -> list[str]:
+    def learn_words(self, words: set[str]) -> None:
+        new = list(words - self.words.keys())
+        if len(self.words) + len(new) > REMEMBERED:
+            self.words = {}
+            new = list(words)
+        # many words in one call; the library numbers the words that it finds
+        lines = [new[k : k + 64] for k in range(0, len(new), 64)]
+        for at in range(0, len(lines), 200):
+            some = lines[at : at + 200]
+            for line, e in zip(some, self.tokenizer.encode_batch([" ".join(w) for w in some], add_special_tokens=False)):
+                ids, number = np.array(e.ids, "<u4"), np.array(e.word_ids, np.int64)
+                begins = np.flatnonzero(np.r_[True, number[1:] != number[:-1]])
+                if len(begins) != len(line):
+                    found = [np.array(x.ids, "<u4") for x in self.tokenizer.encode_batch(line, add_special_tokens=False)]
+                else:
+                    found = np.split(ids, begins[1:])
+                self.words.update((w, x.tobytes()) for w, x in zip(line, found))
+
+    def learn(self, chunks: set[str]) -> None:
+        """Ids for what stands between white space, in lower case."""
+        cut = {c: self.cut.findall(c) for c in chunks}
+        self.learn_words({w for words in cut.values() for w in words})
+        ids = self.words.__getitem__
+        self.known.update((c, b"".join(map(ids, words))) for c, words in cut.items())
+
+    def chunks(self, text: str) -> list[str]:
+        """What stands between white space in a text without special tokens, in lower case."""
         if not text.isascii():
             # letters go to lower case one by one, so a final sigma is like any other
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        return self.cut.findall(text.lower())
-
-    def learn(self, words: set[str]) -> None:
-        new = list(words - self.known.keys())
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known = {}
-            new = list(words)
-        for k in range(0, len(new), 20_000):
-            part = new[k : k + 20_000]
-            self.known.update(
-                (w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False))
-            )
+        text = text.lower()
+        # four control characters end a word for split() but not for the tokenizer
+        return text.split() if not SEPARATORS.search(text) else [c for c in BLANKS.split(text) if c]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Of each text: its ids as little-endian 32-bit integers."""
-        cut = []
+        """Ids of each text as little-endian 32-bit integers."""
+        parts = []
         for text in texts:
             if self.apart is not None and any(s in text for s in self.special):
-                cut.append([(p, None) if p in self.special else (None, self.words(p)) for p in self.apart.split(text)])
+                parts.append([(self.special.get(p), [] if p in self.special else self.chunks(p)) for p in self.apart.split(text)])
             else:
-                cut.append([(None, self.words(text))])
-        self.learn(set().union(*[w for parts in cut for _, w in parts if w]))
+                parts.append([(None, self.chunks(text))])
+        known = self.known.keys()
+        new = {c for own in parts for _, chunks in own for c in chunks if c not in known}
+        if len(known) + len(new) > REMEMBERED:
+            self.known = {}
+            new = {c for own in parts for _, chunks in own for c in chunks}
+        if new:
+            self.learn(new)
         ids = self.known.__getitem__
-        return [b"".join(self.special[s] if s else b"".join(map(ids, w)) for s, w in parts) for parts in cut]
+        return [b"".join(special or b"".join(map(ids, chunks)) for special, chunks in own) for own in parts]
 
 
 def word_ids(path: str) -> WordIds:
@@ -85,38 +112,39 @@ def word_ids(path: str) -> WordIds:
     return held[path]
 
 
-def token_pieces(docs: DataFrame, path: str, size: int, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = 1 << 20) -> DataFrame:
+def parts_of(texts: list[bytes], most: int = 4 << 20) -> Iterator[list[str]]:
+    """Consecutive texts of about ``most`` bytes together, one at least."""
+    part, n = [], 0
+    for t in texts:
+        part.append(t.decode())
+        n += len(t)
+        if n >= most:
+            yield part
+            part, n = [], 0
+    if part:
+        yield part
+
+
+def token_pieces(docs: DataFrame, path: str, size: int, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32``: each document's ids with the end id, cut where longer than ``size``."""
     arrow_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     end = np.array([end_id], "<u4").tobytes()
 
-    def parts(texts: list[bytes]) -> Iterator[list[str]]:
-        part, n = [], 0
-        for t in texts:
-            part.append(t.decode())
-            n += len(t)
-            if n >= chunk_bytes:
-                yield part
-                part, n = [], 0
-        yield part
-
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = word_ids(path)
         for batch, texts in texts_of(batches, "text"):
             row, piece, start, length, crc = [], [], [], [], []
-            k = 0
-            for part in parts(texts):
-                for ids in own.encode(part):
-                    ids += end
-                    for j, at in enumerate(range(0, len(ids), 4 * size)):
-                        own_ids = ids[at : at + 4 * size]
-                        row.append(k)
-                        piece.append(j)
-                        start.append(at // 4)
-                        length.append(len(own_ids) // 4)
-                        crc.append(zlib.crc32(own_ids))
-                    k += 1
+            encoded = (ids for part in parts_of(texts) for ids in own.encode(part))
+            for k, ids in enumerate(encoded):
+                ids += end
+                for j, at in enumerate(range(0, len(ids), 4 * size)):
+                    own_ids = ids[at : at + 4 * size]
+                    row.append(k)
+                    piece.append(j)
+                    start.append(at // 4)
+                    length.append(len(own_ids) // 4)
+                    crc.append(zlib.crc32(own_ids))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").take(pa.array(row, pa.int64())),
