@@ -29,9 +29,21 @@ def read_bytes(spark: SparkSession, path: str, declared: str = "utf-8") -> DataF
     return files.select(name, text.decode_bytes(F.col("content"), declared).alias("payload"))
 
 
-def is_error_document(payload: Column) -> Column:
-    """An acknowledgement that says why there is no data."""
-    return F.contains(payload, F.lit("Reason")) & F.contains(F.substring(payload, 1, 1_000), F.lit("code"))
+# Fixed value: an element "Reason" with an element "code" in it, under any namespace prefix.
+REASON_WITH_CODE = (
+    r"<(?:[\w.-]+:)?Reason\b[^>]*>[^<]*+(?:<(?!/?(?:[\w.-]+:)?(?:Reason|code)\b)[^<]*+)*+<(?:[\w.-]+:)?code\b"
+)
+
+
+def is_error_document(payload: Column, prefix: int | None = None) -> Column:
+    """An acknowledgement that says why there is no data, wherever in the document it says so.
+
+    With ``prefix`` the word "code" has to be among so many first characters and "Reason" anywhere, as
+    older archives were sorted.
+    """
+    if prefix is not None:
+        return F.contains(payload, F.lit("Reason")) & F.contains(F.substring(payload, 1, prefix), F.lit("code"))
+    return payload.rlike(REASON_WITH_CODE)
 
 
 def split_errors(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:

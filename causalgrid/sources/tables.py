@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from causalgrid.operators import dims, validate
 
@@ -21,10 +22,10 @@ def read_mapping(spark: SparkSession, path: str, default: DataFrame | None = Non
     return dims.overridden(dims.kommuner(spark) if default is None else default, single, "kommunkod")
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet, or CSV with a header when the path says so."""
+def read_table(spark: SparkSession, path: str, schema: str | StructType | None = None) -> DataFrame:
+    """Parquet, or CSV with a header when the path says so; CSV needs a schema, or its columns are strings."""
     if path.endswith((".csv", ".csv.gz")):
-        return spark.read.csv(path, header=True, inferSchema=True)
+        return spark.read.csv(path, header=True, schema=schema)
     return spark.read.parquet(path)
 
 

@@ -9,9 +9,11 @@ again gives the same folders; stream state behind a watermark would drop what co
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -34,11 +36,10 @@ def merge_batch(batch: DataFrame, path: str, order: Sequence[str]) -> None:
     """Replace the (zone, year, month) folders the batch touches by old and new rows together."""
     spark = batch.sparkSession
     new = materialize(sinks.with_calendar_keys(batch), "landing-batch")
-    touched = new.select(*sinks.MONTHLY).distinct()
     merged = new
     try:
         stored = spark.read.schema(new.schema).parquet(path)
-        merged = stored.join(touched, list(sinks.MONTHLY), "left_semi").unionByName(new)
+        merged = stored.where(touched_folders(new)).unionByName(new)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
@@ -47,6 +48,16 @@ def merge_batch(batch: DataFrame, path: str, order: Sequence[str]) -> None:
     sinks.write_silver(materialize(kept.drop("year", "month"), "landing-merged"), path)
 
 
+def touched_folders(new: DataFrame) -> Column:
+    """Of the folders: those that ``new`` has rows for, as literals, so that no other folder is read.
+
+    A batch touches few of them: as many as it has months and zones.
+    """
+    folders = new.select(*sinks.MONTHLY).distinct().collect()
+    each = [reduce(and_, [F.col(c).eqNullSafe(F.lit(f[c])) for c in sinks.MONTHLY]) for f in folders]
+    return reduce(or_, each, F.lit(False))
+
+
 def land(points: DataFrame, path: str, checkpoint: str, order: Sequence[str]) -> StreamingQuery:
     """Land everything available now and stop; start again to go on from there."""
     writer = points.writeStream.foreachBatch(lambda batch, _: merge_batch(batch, path, order))

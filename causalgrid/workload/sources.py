@@ -91,13 +91,13 @@ def price_files(spark, sf_dir):
     return market_xml.points(market_xml.read_series(spark, path, market_xml.PRICE), market_xml.PRICE)
 
 
-@query(
-    """select doc_id, text like '%Reason%' and left('<code>' || text, 1000) like '%code%' as is_error from (
-         select doc_id, text || case when doc_id % 5 = 0 then '<Reason>999</Reason>' else '' end as text from documents)"""
-)
+@query("select doc_id, doc_id % 3 = 0 as is_error from documents")
 def error_documents(spark, sf_dir):
-    """S-07 over whole texts."""
-    marked = F.concat(F.lit("<code>"), "text", F.when(F.col("doc_id") % 5 == 0, "<Reason>999</Reason>").otherwise(""))
+    """S-07: every third document gives a reason with a code behind its whole text; the others hold both words apart."""
+    header = F.regexp_replace("text", "[<>]", " ")
+    reason = F.concat(F.lit("<Ack><note>"), header, F.lit("</note><ns:Reason><text>none</text><code>999</code></ns:Reason></Ack>"))
+    other = F.concat(F.lit("<Doc><code>A01</code><Reason>none</Reason><note>"), header, F.lit("</note><code>B02</code></Doc>"))
+    marked = F.when(F.col("doc_id") % 3 == 0, reason).otherwise(other)
     return table(spark, sf_dir, "documents").select("doc_id", payloads.is_error_document(marked).alias("is_error"))
 
 
