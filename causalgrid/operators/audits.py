@@ -67,9 +67,13 @@ def unmapped_codes(zoned: DataFrame, code: str = "kommunkod", zone: str = "biddi
     return zoned.where(F.col(zone).isNull()).groupBy(code).agg(F.count("*").alias("n_rows"))
 
 
-def ingest_report(parsed: DataFrame, reason: str = "reject_reason") -> DataFrame:
-    """Accepted and rejected records by reason; ``accepted`` is the row without a reason."""
-    return parsed.groupBy(F.coalesce(reason, F.lit("accepted")).alias("outcome")).agg(F.count("*").alias("n"))
+def ingest_report(parsed: DataFrame, reason: str = "reject_reason", different: Sequence[str] = ()) -> DataFrame:
+    """Accepted and rejected records by reason; ``accepted`` is the row without a reason.
+
+    Of ``different`` columns, such as municipality and quarter, the number of values follows.
+    """
+    counts = [F.countDistinct(c).alias(f"n_{c}") for c in different]
+    return parsed.groupBy(F.coalesce(reason, F.lit("accepted")).alias("outcome")).agg(F.count("*").alias("n"), *counts)
 
 
 def rate_changes(rates: DataFrame, on: str = "effective_date_utc", value: str = "policy_rate_pct") -> DataFrame:

@@ -91,9 +91,10 @@ def write_json(df: DataFrame, path: str, batch: str) -> None:
     _of_batch(df, batch).json(path)
 
 
-def anomaly_entries(flagged: DataFrame, keys: Sequence[str] = ("zone", "timestamp_utc")) -> DataFrame:
-    """One entry per anomalous row with its reasons."""
-    return flagged.where(F.size("anomaly_reasons") > 0).select(*keys, "anomaly_reasons")
+def anomaly_entries(flagged: DataFrame, metric: str, keys: Sequence[str] = ("zone", "timestamp_utc")) -> DataFrame:
+    """One entry per anomalous row: the metric, its offending value and the reasons."""
+    value = F.col(metric).cast("double").alias("value")
+    return flagged.where(F.size("anomaly_reasons") > 0).select(*keys, F.lit(metric).alias("metric"), value, "anomaly_reasons")
 
 
 def write_rejects(checked: DataFrame, path: str, batch: str) -> None:

@@ -96,15 +96,19 @@ def rows_before_first_value(spark, sf_dir):
 
 
 @query(
-    """select coalesce(reason, 'accepted') as outcome, count(*) as n from (
-         select case when o_orderkey % 11 = 0 then 'suppressed' when o_orderkey % 13 = 0 then 'bad_code' when o_totalprice < 5000 then 'negative' end as reason
+    """select coalesce(reason, 'accepted') as outcome, count(*) as n, count(distinct kommunkod) as n_kommunkod, count(distinct quarter) as n_quarter from (
+         select o_custkey % 290 as kommunkod, year(o_orderdate)::varchar || 'K' || quarter(o_orderdate)::varchar as quarter, case when o_orderkey % 11 = 0 then 'suppressed' when o_orderkey % 13 = 0 then 'bad_code' when o_totalprice < 5000 then 'negative' end as reason
          from orders) group by 1"""
 )
 def ingest_report(spark, sf_dir):
-    """G-09: accepted and rejected records by reason."""
+    """G-09: accepted and rejected records by reason, with the municipalities and quarters they are about."""
     key = F.col("o_orderkey")
     reason = F.when(key % 11 == 0, "suppressed").when(key % 13 == 0, "bad_code").when(F.col("o_totalprice") < 5000, "negative")
-    return audits.ingest_report(table(spark, sf_dir, "orders").select(reason.alias("reject_reason")))
+    quarter = F.concat(F.year("o_orderdate").cast("string"), F.lit("K"), F.quarter("o_orderdate").cast("string"))
+    parsed = table(spark, sf_dir, "orders").select(
+        (F.col("o_custkey") % 290).alias("kommunkod"), quarter.alias("quarter"), reason.alias("reject_reason")
+    )
+    return audits.ingest_report(parsed, different=["kommunkod", "quarter"])
 
 
 @query(

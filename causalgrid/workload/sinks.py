@@ -73,19 +73,20 @@ def batch_manifest(spark, sf_dir):
 
 @query(
     with_views(
-        """select zone, timestamp_utc, concat_ws(',', case when load_mw < 500 then 'load_below_minimum' end, case when load_mw > 20000 then 'load_above_maximum' end) as reasons
+        """select zone, timestamp_utc, 'load_mw' as metric, load_mw as value, concat_ws(',', case when load_mw < 500 then 'load_below_minimum' end, case when load_mw > 20000 then 'load_above_maximum' end) as reasons
            from grid_hourly where load_mw < 500 or load_mw > 20000""",
         "grid_hourly",
-    )
+    ),
+    doubles="value",
 )
 def anomaly_log(spark, sf_dir):
-    """K-06: anomalous points with their reasons, through JSON lines."""
+    """K-06: anomalous points with their values and reasons, through JSON lines."""
     path = scratch_path(spark, "anomalies")
-    entries = sinks.anomaly_entries(validate.flag_anomalies(fx.grid_hourly(spark, sf_dir), validate.load_anomaly(limits=(500.0, 20_000.0))))
+    entries = sinks.anomaly_entries(validate.flag_anomalies(fx.grid_hourly(spark, sf_dir), validate.load_anomaly(limits=(500.0, 20_000.0))), "load_mw")
     for _ in range(2):
         sinks.write_json(entries, path, "2024-01-01")
     back = spark.read.schema(entries.schema).json(path)
-    return back.select("zone", "timestamp_utc", F.concat_ws(",", "anomaly_reasons").alias("reasons"))
+    return back.select("zone", "timestamp_utc", "metric", "value", F.concat_ws(",", "anomaly_reasons").alias("reasons"))
 
 
 @query("select event_id, 'load_mw' as reasons from events where value - 5 < 0")
