@@ -5,11 +5,13 @@ the most leading zeros it met together with the mantissa bits after them, which
 buckets borrow from a full one that a fixed hash of their number picks, so small sets band as well as large ones. Bands of
 registers are the keys under which documents meet.
 
-Documents with equal shingle sets are one class and never form pairs. Candidates come in phases, each verified on
-whole sets and followed by connected components of all links so far: twice every class with the least member that it meets
-most often (a star), then the most similar pair of any two components in a bucket by the collision-corrected estimate from the registers, then
-all pairs in different components whose estimate may reach the threshold. So links inside a group of copies are not
-spelled out, and no link between documents of different components is lost. Buckets are compared in blocks of a bounded number of members.
+Documents with equal shingle sets are one class and never form pairs. Two rounds of stars come first: every class is
+verified, on whole sets, with the most connected member of its buckets, that is, the one whose own buckets hold the most members;
+connected components of the links follow. Then the members of a bucket that lie in different components are compared where they
+meet: pairs whose collision-corrected estimate from the registers may reach the threshold are verified on whole sets, and of the links found
+as many are passed on as join components. So links inside a group of copies are not spelled out, and no link between documents
+of different components is lost. Buckets are compared in blocks of a bounded number of shingles, and a pair in the first
+band only in which it meets.
 
 Defined cases: a null or empty text, or one without words, has an empty set and is linked with nothing. With fewer words than a
 shingle has, the whole sequence is the one shingle. Rows with equal ids are documents of their own that carry the same id; a null id
@@ -32,8 +34,8 @@ from causalgrid.llm.common import arrow_batches, fresh, stored, texts_of
 ROWS, BANDS = 8, 40
 REGISTERS = ROWS * BANDS
 MANTISSA_BITS = 10
-#: Members of a bucket that one task compares with as many others at a time.
-BLOCK = 2_000
+#: Shingles of a bucket's members that are compared with as many others at a time.
+BLOCK = 1_000_000
 #: Estimates may fall below the threshold by so many standard errors before a pair is given up.
 ERRORS = 5.0
 
@@ -134,16 +136,22 @@ def sketches(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFra
 
 
 def band_keys(classes: DataFrame) -> DataFrame:
-    """``band_key, id, n`` for every class and band."""
+    """``band_key, band, id, n`` for every class and band; ``n`` is the size of its set."""
 
     def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint16).reshape(-1, BANDS, ROWS)
             keys = [xxhash.xxh3_64_intdigest(x.tobytes(), seed=k) for doc in own for k, x in enumerate(doc)]
-            ids = np.repeat(np.asarray(batch.column("id")), BANDS)
-            yield pa.record_batch([pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(ids)], names=["band_key", "id"])
+            yield pa.record_batch(
+                [
+                    pa.array(np.array(keys, np.uint64).view(np.int64)),
+                    pa.array(np.tile(np.arange(BANDS, dtype=np.int32), len(own))),
+                    *[pa.array(np.repeat(np.asarray(batch.column(c)), BANDS)) for c in ("id", "n_shingles")],
+                ],
+                names=["band_key", "band", "id", "n"],
+            )
 
-    return classes.select("id", "sketch").mapInArrow(banded, "band_key long, id long")
+    return classes.select("id", "n_shingles", "sketch").mapInArrow(banded, "band_key long, band int, id long, n long")
 
 
 def shingle_sets(classes: DataFrame, docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
@@ -199,55 +207,66 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def star_pairs(buckets: DataFrame, tested: DataFrame | None = None) -> DataFrame:
-    """Each class with one least member of its buckets: the one it meets most often, of another component.
+    """Each class with the best connected member of its buckets that lies in another component.
 
-    ``buckets``: ``band_key, id, label``; ``tested``: pairs ``a, b`` that are not to come again.
+    ``buckets``: ``band_key, id, label, degree``; ``tested``: pairs ``a, b`` that are not to come again.
     """
-    least = buckets.groupBy("band_key").agg(F.min(F.struct("id", "label")).alias("least"))
-    met = buckets.join(least, "band_key").where("label <> least.label")
-    pairs = met.groupBy(F.col("least.id").alias("a"), F.col("id").alias("b")).agg(F.count("*").alias("times"))
+    hub = buckets.groupBy("band_key").agg(F.max(F.struct("degree", "id", "label")).alias("hub"))
+    met = buckets.join(hub, "band_key").where("label <> hub.label")
+    pairs = met.groupBy(F.col("hub.id").alias("a"), F.col("id").alias("b")).agg(F.max("hub.degree").alias("degree"))
     if tested is not None:
         pairs = pairs.join(tested, ["a", "b"], "left_anti")
-    return pairs.groupBy("b").agg(F.max(F.struct("times", "a")).alias("best")).select("best.a", "b")
+    return pairs.groupBy("b").agg(F.max(F.struct("degree", "a")).alias("best")).select("best.a", "b")
 
 
-def cross_pairs(buckets: DataFrame, classes: DataFrame, percent: int, best_only: bool) -> DataFrame:
-    """Pairs of one bucket in different components whose estimate may reach the threshold.
+def links_across(buckets: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` between components that meet in a bucket; of those in one group only what joins components.
 
-    ``buckets``: ``band_key, id, label``. A bucket is cut in blocks of about ``BLOCK`` members; a group gets two blocks.
-    ``best_only``: of any two components that meet in a group only the most similar pair.
+    ``buckets``: ``band_key, band, id, label, n``; ``classes``: ``id, sketch``; ``sets``: ``id, own``. A group gets two
+    blocks of a bucket.
     """
-    sizes = buckets.groupBy("band_key").agg(F.count("*").alias("members"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-    mixed = sizes.where("lo < hi").select("band_key", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
+    sizes = buckets.groupBy("band_key").agg(F.sum("n").alias("all"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    mixed = sizes.where("lo < hi").select("band_key", F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks"))
     cut = buckets.join(mixed, "band_key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     dealt = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "band_key", "id", "label", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y")
+        "band_key", "band", "id", "label", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y")
     )
-    known = dealt.join(classes.select("id", "n_shingles", "sketch"), "id")
+    known = dealt.join(classes.select("id", "sketch"), "id").join(sets, "id")
 
     def compare(pdf):
         regs = np.frombuffer(b"".join(pdf["sketch"]), np.uint16).reshape(len(pdf), REGISTERS)
-        ids, label, block, n = (pdf[c].to_numpy() for c in ("id", "label", "block", "n_shingles"))
-        x, y = int(pdf["x"].iat[0]), int(pdf["y"].iat[0])
-        found, places = [], np.arange(len(ids))
+        own = [np.frombuffer(s, np.uint64) for s in pdf["own"]]
+        ids, label, block = (pdf[c].to_numpy() for c in ("id", "label", "block"))
+        n, label = np.array([len(s) for s in own]), label.copy()
+        x, y, band = (int(pdf[c].iat[0]) for c in ("x", "y", "band"))
+        a, b, places = [], [], np.arange(len(ids))
         for k in np.flatnonzero(block == x):
             # sizes alone rule many out
             fits = 100 * np.minimum(n, n[k]) >= percent * np.maximum(n, n[k])
             rest = np.flatnonzero((label != label[k]) & fits & ((block == y) if x != y else (places > k)))
-            if len(rest):
-                e = estimated(regs[rest], regs[k])
-                ok = e >= least_estimate(percent, np.minimum(n[rest], n[k]))
-                found.extend((k, j, v) for j, v in zip(rest[ok], e[ok]))
-        if best_only:
-            best = {}
-            for k, j, v in found:
-                pair = (min(label[k], label[j]), max(label[k], label[j]))
-                if pair not in best or v > best[pair][2]:
-                    best[pair] = (k, j, v)
-            found = list(best.values())
-        return pd.DataFrame({f: [g(ids[k], ids[j]) for k, j, _ in found] for f, g in (("a", min), ("b", max))}, dtype="int64")
-
-    return known.groupBy("band_key", "x", "y").applyInPandas(compare, "a long, b long").distinct()
+            if not len(rest):
+                continue
+            same = regs[rest] == regs[k]
+            chance = estimated(regs[rest], regs[k])
+            earlier = same.reshape(len(rest), BANDS, ROWS)[:, :band].all(axis=2).any(axis=1)
+            rest = rest[~earlier & (chance >= least_estimate(percent, np.minimum(n[rest], n[k])))]
+            for at in range(0, len(rest), 256):
+                part = rest[at : at + 256]
+                part = part[label[part] != label[k]]
+                if not len(part):
+                    continue
+                joined = np.concatenate([own[j] for j in part])
+                found = np.minimum(np.searchsorted(own[k], joined), n[k] - 1)
+                begins = np.cumsum(n[part]) - n[part]
+                common = np.add.reduceat((own[k][found] == joined).astype(np.int64), begins)
+                for j in part[100 * common >= percent * (n[part] + n[k] - common)]:
+                    if label[j] != label[k]:
+                        a.append(min(ids[j], ids[k]))
+                        b.append(max(ids[j], ids[k]))
+                        label[label == label[j]] = label[k]
+        return pd.DataFrame({"a": a, "b": b}, dtype="int64")
+
+    return known.groupBy("band_key", "x", "y").applyInPandas(compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -267,24 +286,21 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     met = stored(classes.join(buckets.select("id").distinct(), "id", "left_semi").select("id", "rep", "n_shingles", "sketch"), "met")
     sets = stored(shingle_sets(met, docs, width, id_col, text_col).dropDuplicates(["id"]), "sets")
 
+    crowd = buckets.groupBy("band_key").agg(F.count("*").alias("members"))
+    degrees = stored(buckets.join(crowd, "band_key").groupBy("id").agg(F.sum("members").alias("degree")), "degrees")
     placed, links, tested, labels = buckets.withColumn("label", F.col("id")), None, None, None
-    phases = (
-        lambda: star_pairs(placed),
-        lambda: star_pairs(placed, tested),
-        lambda: cross_pairs(placed, met, percent, best_only=True),
-        lambda: cross_pairs(placed, met, percent, best_only=False),
-    )
-    for phase in phases:
-        pairs = phase()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        found = stored(verified(pairs, sets, percent), "links")
-        tested = pairs if tested is None else tested.union(pairs)
+    for last in (False, False, True):
+        if last:
+            found = links_across(placed, met, sets, percent)
+        else:
+            pairs = stored(star_pairs(placed.join(degrees, "id"), tested), "pairs")
+            tested = pairs if tested is None else tested.union(pairs)
+            found = verified(pairs, sets, percent)
+        found = stored(found, "links")
         if found.limit(1).count():
             links = found if links is None else links.union(found)
             labels = components(links)
-            placed = buckets.join(labels, "id", "left").select("band_key", "id", F.coalesce("label", "id").alias("label"))
+            placed = buckets.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     owner = classes.select("id", "least_doc", F.col("id").alias("label"))
     if labels is not None:
         owner = classes.select("id", "least_doc").join(labels, "id", "left").select("id", "least_doc", F.coalesce("label", "id").alias("label"))
