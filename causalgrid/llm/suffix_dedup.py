@@ -11,11 +11,15 @@ share a longer context, which is the key of the next round, until the groups fit
 Strings are judged on the input; matches never cross documents. Nulls: a null text is empty; a null id stays null. Equal rows
 are documents of their own, so of texts as long as a string nothing is left. Very long texts are windowed whole. Texts
 shorter than a string stay as they are. An empty table gives an empty table.
+
+``without_repeats`` can take out runs of so many words as well, whatever their bytes: runs are anchored by least grams of words in the
+same way, and around anchors that occur again the hashes of all runs are counted. Words are compared, not the white space between them.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +39,9 @@ PLACES = LENGTH - GRAM + 1
 GROUP = 1_000
 SHARD_BYTES = 1 << 20
 COLUMNS = ("group", "node", "left", "origin", "count", "bytes")
+#: Words in a gram of words.
+WORD_GRAM = 16
+WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 def gram_hashes(data: bytes) -> np.ndarray:
@@ -44,14 +51,20 @@ def gram_hashes(data: bytes) -> np.ndarray:
     h ^= h >> np.uint64(32)
     width = 8
     while width < GRAM:
-        h = h[:-width] * np.uint64(0xD6E8FEB86659FD93) + h[width:]
-        h ^= h >> np.uint64(29)
-        h *= np.uint64(0xBF58476D1CE4E5B9)
-        h ^= h >> np.uint64(32)
+        h = paired(h[:-width], h[width:])
         width *= 2
     return h
 
 
+def paired(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hashes of pairs of hashes."""
+    h = a * np.uint64(0xD6E8FEB86659FD93) + b
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(32)
+    return h
+
+
 def sliding(f: np.ufunc, x: np.ndarray, width: int, fill: int) -> np.ndarray:
     """``f`` (minimum or maximum) over every ``width`` consecutive values."""
     n = len(x) - width + 1
@@ -69,21 +82,27 @@ def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     if len(data) < LENGTH:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
     h = gram_hashes(data)
-    least = sliding(np.minimum, h, PLACES, 2**64 - 1)
-    around = np.zeros(len(h) + PLACES - 1, np.uint64)
-    around[PLACES - 1 : PLACES - 1 + len(least)] = least
-    places = np.flatnonzero(sliding(np.maximum, around, PLACES, 0) == h)
+    places = least_places(h, PLACES)
+    return places, h[places]
+
+
+def least_places(h: np.ndarray, width: int) -> np.ndarray:
+    """Places of hashes that are least among some ``width`` consecutive ones; all so many hold one that is their least."""
+    least = sliding(np.minimum, h, width, 2**64 - 1)
+    around = np.zeros(len(h) + width - 1, np.uint64)
+    around[width - 1 : width - 1 + len(least)] = least
+    places = np.flatnonzero(sliding(np.maximum, around, width, 0) == h)
     # of equal least grams near each other, as in a repeated phrase, only so many that no string lacks one
-    close = (h[places[1:]] == h[places[:-1]]) & (np.diff(places) <= PLACES)
+    close = (h[places[1:]] == h[places[:-1]]) & (np.diff(places) <= width)
     if close.any():
         keep, last = [], None
         for k, p in enumerate(places.tolist()):
             runs_on = k < len(close) and close[k]
-            if not (k and close[k - 1]) or not runs_on or places[k + 1] > last + PLACES:
+            if not (k and close[k - 1]) or not runs_on or places[k + 1] > last + width:
                 keep.append(k)
                 last = p
         places = places[keep]
-    return places, h[places]
+    return places
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -269,6 +288,72 @@ def document_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return placed.groupBy("k1", "k2").agg(F.collect_set(ends).alias("spans"))
 
 
+def word_grams(data: bytes) -> np.ndarray:
+    """64-bit hashes of all grams of words; none of a text with fewer words."""
+    words = data.split()
+    if len(words) < WORD_GRAM:
+        return np.empty(0, np.uint64)
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    width = 1
+    while width < WORD_GRAM:
+        h = paired(h[:-width], h[width:])
+        width *= 2
+    return h
+
+
+def word_spans(texts: DataFrame, words: int) -> DataFrame:
+    """``k1, k2, spans`` for every text with runs of ``words`` words that start elsewhere as well. ``texts``: as ``keyed`` makes them."""
+    if words < WORD_GRAM:
+        raise ValueError(f"words must be {WORD_GRAM} at least")
+    places = words - WORD_GRAM + 1
+    # grams that cover a run, the last one up to its end
+    covers = [*range(0, places - 1, WORD_GRAM), places - 1]
+
+    def anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, own in texts_of(batches, "text"):
+            row, at, gram = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
+            for k, data in enumerate(own):
+                if len(h := word_grams(data)) >= places:
+                    least = least_places(h, places)
+                    row.append(np.full(len(least), k))
+                    at.append(least)
+                    gram.append(h[least])
+            rows = pa.array(np.concatenate(row))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("k1").take(rows), batch.column("k2").take(rows), pa.array(np.concatenate(at).astype(np.int32)), pa.array(np.concatenate(gram).view(np.int64))],
+                names=["k1", "k2", "place", "anchor"],
+            )
+
+    def run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, own in texts_of(batches, "text"):
+            for k, (data, anchors_) in enumerate(zip(own, batch.column("places").to_pylist())):
+                h = word_grams(data)
+                near = np.zeros(len(h) + 1, np.int64)
+                anchors_ = np.array(anchors_)
+                np.add.at(near, np.maximum(anchors_ - places + 1, 0), 1)
+                np.add.at(near, anchors_ + 1, -1)
+                first = np.flatnonzero(np.cumsum(near)[: len(h) - places + 1])
+                hashes = h[first]
+                for c in covers[1:]:
+                    hashes = paired(hashes, h[first + c])
+                found = np.array([m.span() for m in WORD.finditer(data)], np.int32)
+                for b in range(0, len(first), 100_000):
+                    part = first[b : b + 100_000]
+                    rows = pa.array(np.full(len(part), k))
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("k1").take(rows), batch.column("k2").take(rows), pa.array(found[part, 0]), pa.array(found[part + words - 1, 1]), pa.array(hashes[b : b + 100_000].view(np.int64))],
+                        names=["k1", "k2", "begin", "end", "run"],
+                    )
+
+    rows = stored(texts.select("k1", "k2", "text").mapInArrow(anchored, "k1 long, k2 int, place int, anchor long"), "word-anchors")
+    often = rows.groupBy("anchor").count().where("count > 1").select("anchor")
+    shared = rows.join(often, "anchor").groupBy("k1", "k2").agg(F.collect_set("place").alias("places"))
+    asked = texts.select("k1", "k2", "text").join(shared, ["k1", "k2"])
+    runs = stored(asked.mapInArrow(run_rows, "k1 long, k2 int, begin int, end int, run long"), "word-runs")
+    again = runs.groupBy("run").count().where("count > 1").select("run")
+    return runs.join(again, "run").groupBy("k1", "k2").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
+
+
 def merged(spans: list[tuple[int, int]], size: int) -> list[tuple[int, int]]:
     """Maximal runs of covered bytes inside a text of ``size`` bytes."""
     out: list[list[int]] = []
@@ -280,11 +365,17 @@ def merged(spans: list[tuple[int, int]], size: int) -> list[tuple[int, int]]:
     return [(b, e) for b, e in out]
 
 
-def with_spans(docs: DataFrame, out: str, id_col: str = "doc_id", text_col: str = "text", group: int = GROUP) -> DataFrame:
-    """``docs`` with an array column ``out`` of the unmerged spans, null where nothing repeats."""
+def with_spans(
+    docs: DataFrame, out: str, id_col: str = "doc_id", text_col: str = "text", group: int = GROUP, words: int | None = None
+) -> DataFrame:
+    """``docs`` with an array column ``out`` of the unmerged spans, null where nothing repeats; with ``words``, also of runs of so many words."""
     k1, k2 = fresh(docs, "_k1"), fresh(docs, "_k2")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    spans = document_spans(docs, id_col, text_col, group).select(F.col("k1").alias(k1), F.col("k2").alias(k2), F.col("spans").alias(out))
+    spans = document_spans(docs, id_col, text_col, group)
+    if words is not None:
+        both = spans.unionByName(word_spans(keyed(docs, id_col, text_col), words))
+        spans = both.groupBy("k1", "k2").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    spans = spans.select(F.col("k1").alias(k1), F.col("k2").alias(k2), F.col("spans").alias(out))
     keys = docs.withColumns({k1: F.xxhash64(text), k2: F.hash(text, F.octet_length(text))})
     return keys.join(spans, [k1, k2], "left").drop(k1, k2)
 
@@ -316,10 +407,12 @@ def without(data: bytes, cut: list[tuple[int, int]]) -> bytes:
     return b"".join(data[b:e] for b, e in zip([0, *[e for _, e in cut]], [*[b for b, _ in cut], len(data)]))
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group: int = GROUP) -> DataFrame:
-    """``docs`` with repeated strings taken out of their texts, at whole characters; ``n_chars`` follows."""
+def without_repeats(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group: int = GROUP, words: int | None = None
+) -> DataFrame:
+    """``docs`` with repeated strings, and repeated runs of ``words`` words, taken out of their texts, at whole characters; ``n_chars`` follows."""
     out = fresh(docs, "_spans")
-    spanned = with_spans(docs, out, id_col, text_col, group)
+    spanned = with_spans(docs, out, id_col, text_col, group, words)
 
     @F.pandas_udf("string")
     def cleaned(text: pd.Series, spans: pd.Series) -> pd.Series:

@@ -25,8 +25,8 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def suffix_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the 400-byte strings that start elsewhere as well."""
-    return suffix_dedup.without_repeats(docs)
+    """Texts without the 400-byte strings and the passages of over 50 words that start elsewhere as well."""
+    return suffix_dedup.without_repeats(docs, words=51)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """Deduplication, scoring, sharding, neighbours and the pipeline against brute force."""
 
+import collections
 import random
 import sys
 import zlib
@@ -210,3 +211,50 @@ def test_pipeline(spark, tmp_path):
     assert set(packed.doc_id) == set(range(60)) and packed.groupby("sequence_id").length.sum().max() <= 2048
     run = corpus_pipeline.run(spark, str(tmp_path)).toPandas()
     assert sorted(run.ids_crc32) == sorted(packed.ids_crc32)
+
+
+def test_pipeline_takes_out_short_passages_and_toxic_documents(spark, tmp_path):
+    """Shared passages of over 50 words have less than 400 bytes here; one of 50 words stays."""
+    own = lambda k: " ".join(f"d{k}x{j}" for j in range(70))
+    passages = [" ".join(f"p{n}{j}" for j in range(n)) for n in (51, 55, 65)]
+    kept = " ".join(f"q{j}" for j in range(50))
+    assert all(len(p) < 400 for p in passages)
+    rows = [(10 * n + c, f"{own(10 * n + c)} {p} {own(1000 + 10 * n + c)}.") for n, p in enumerate(passages) for c in range(2)]
+    rows += [(100 + c, f"{own(100 + c)} {kept} {own(200 + c)}.") for c in range(2)]
+    rows.append((110, own(110) + " " + passages[0].replace(" ", "\n", 3) + " " + own(111) + "."))
+    left = {r.doc_id: r.text for r in corpus_pipeline.suffix_dedup_stage(spark, docs_table(spark, rows), "").collect()}
+    assert {k: t.split() for k, t in left.items() if k < 100 or k == 110} == {
+        **{10 * n + c: f"{own(10 * n + c)} {own(1000 + 10 * n + c)}.".split() for n in range(3) for c in range(2)}, 110: f"{own(110)} {own(111)}.".split()
+    }
+    assert {left[k] for k in (100, 101)} == {t for k, t in rows if k in (100, 101)}
+
+    toxic = [(1000 + k, own(30000 + k) + " nastyword " + own(40000 + k) + ".") for k in range(40)]
+    clean = [(2000 + k, own(9000 + k) + " fine " + own(20000 + k) + ".") for k in range(80)]
+    docs_table(spark, rows + toxic + clean).write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(k, 1) for k, _ in toxic] + [(k, 0) for k, _ in clean]
+    spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path))
+    end = {r.doc_id: r.text for r in docs.collect()}
+    assert not end.keys() & {k for k, _ in toxic}
+    assert end.keys() >= {k for k, _ in rows}
+    assert not any(p in t for p in passages for t in end.values())
+
+
+@pytest.mark.parametrize("words", [16, 20, 51])
+def test_word_spans(spark, words):
+    rows = [*copies(), (900, "again " * 300), (901, None)]
+    own = [brute.words(t and t.lower()) for _, t in rows]
+    seen = collections.Counter(tuple(w[k : k + words]) for w in own for k in range(len(w) - words + 1))
+    want = []
+    for w in own:
+        cut = {j for k in range(len(w) - words + 1) if seen[tuple(w[k : k + words])] > 1 for j in range(k, k + words)}
+        want.append(b" ".join(x for j, x in enumerate(w) if j not in cut))
+    docs = suffix_dedup.keyed(docs_table(spark, rows), "doc_id", "text")
+    found = {(r.k1, r.k2): r.spans for r in suffix_dedup.word_spans(docs, words).collect()}
+    got = []
+    for r in docs.collect():
+        data = r.text.encode()
+        got.append(b" ".join(suffix_dedup.without(data, suffix_dedup.merged([(s.begin, s.end) for s in found.get((r.k1, r.k2), ())], len(data))).split()))
+    assert sorted(got) == sorted(want) and got != [b" ".join(w) for w in own]
