@@ -129,5 +129,5 @@ def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pieces of all documents: their number, the sum of their ids, and how many stand for single bytes."""
+    """All documents encoded and decoded: number, sum and ordered crc32 of the ids, bytes among them, and whether the text comes back."""
     return sentencepiece_lattice.piece_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))

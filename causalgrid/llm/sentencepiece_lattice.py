@@ -14,7 +14,7 @@ An empty table gives an empty table. Decoding joins pieces, turns byte pieces in
 from __future__ import annotations
 
 import heapq
-import itertools
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +31,8 @@ BLANK = "▁"
 LONG_BITS = 62
 HELD_UNITS = 300_000
 EMIT = 400_000
+#: Stands for the ids of a unit that is not held.
+GAP = np.array(-1, "<i4").tobytes()
 
 
 def pieces_of(path: str) -> list[tuple[str, int, int]]:
@@ -149,101 +151,125 @@ def unit_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(counted, "unit string, c long").groupBy("unit").agg(F.sum("c").alias("c"))
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``row, doc_id, ids``: every document's ids in order; ``row`` numbers rows."""
-    arrow_batches(docs.sparkSession)
-    rows = stored(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text")), "texts")
+def with_ids(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", held_units: int = HELD_UNITS) -> DataFrame:
+    """``row, doc_id, text, ids``: every document with its ids in order; ``row`` numbers rows.
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in texts_of(batches, "text"):
-            own = [units_of(t.decode()) for t in texts]
-            sizes = [len(u) for u in own]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("row").take(pa.array(np.repeat(np.arange(len(own)), sizes))),
-                    pa.array(np.concatenate([np.arange(k) for k in sizes] or [np.empty(0)]).astype(np.int64)),
-                    pa.array(list(itertools.chain.from_iterable(own)), pa.string()),
-                ],
-                names=["row", "place", "unit"],
-            )
-
-    placed = rows.select("row", "text").mapInArrow(cut, "row long, place long, unit string")
-    units = stored(encoded_units(unit_counts(rows).select("unit"), path), "units")
-    ids = placed.join(units, "unit").groupBy("row").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("place", "ids"))), lambda x: x.ids)).alias("ids"))
-    return rows.select("row", "doc_id").join(ids, "row", "left").select("row", "doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
-
-
-def decode(rows: DataFrame, path: str) -> DataFrame:
-    """``row, text`` from ``row, ids``."""
-    spark, base = rows.sparkSession, byte_base(path)
-    ordinary = [(i, p.replace(BLANK, " ").encode()) for p, i, _ in pieces_of(path)]
-    table = spark.createDataFrame(ordinary + [(base + b, bytes([b])) for b in range(256)], "id int, bytes binary")
-    placed = rows.select("row", F.posexplode_outer("ids").alias("place", "id"))
-    joined = placed.join(F.broadcast(table), "id", "left").groupBy("row").agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("place", F.hex("bytes").alias("h")))), lambda x: x.h), "").alias("h")
-    )
-    return joined.select("row", F.expr("substring(decode(unhex(h), 'UTF-8'), 2)").alias("text"))
-
-
-def piece_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", held_units: int = HELD_UNITS) -> DataFrame:
-    """``doc_id, n_chars, n_pieces, ids_sum, n_byte_pieces`` of every document's encoding.
-
-    The most frequent units are held by every worker; the others are joined, once for each document that has them.
+    The most frequent units are held by every worker and leave gaps for the others, which are joined once for each document that has them.
     """
     spark = docs.sparkSession
     arrow_batches(spark)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    base = byte_base(path)
-    counts = unit_counts(rows)
-    bytes_ = F.size(F.filter("ids", lambda i: (i >= base) & (i < base + 256)))
-    sums = encoded_units(counts.select("unit", "c"), path).select(
-        "unit", F.size("ids").alias("n"), F.aggregate("ids", F.lit(0).cast("long"), lambda a, i: a + i).alias("total"), bytes_.alias("b")
-    )
-    units = stored(sums, "unit-sums")
-    top = counts.orderBy(F.desc("c"), "unit").limit(held_units).select("unit").join(units, "unit").toArrow()  # at most held_units rows
-    held = spark.sparkContext.broadcast((top.column("unit").to_pylist(), np.array([top.column(c).to_numpy() for c in ("n", "total", "b")], np.int64)))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
+    counts = stored(unit_counts(rows), "unit-counts")
+    units = stored(encoded_units(counts.select("unit"), path), "units")
+    most = counts.orderBy(F.desc("c"), "unit").limit(held_units).select("unit")
+    top = units.join(most, "unit").select("unit", "ids").toArrow()  # at most held_units rows
+    held = spark.sparkContext.broadcast((top.column("unit").to_pylist(), [np.array(x, "<i4").tobytes() for x in top.column("ids").to_pylist()]))
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, values = held.value
-        number = dict(zip(names, range(len(names))))
+        known = dict(zip(*held.value))
         row = TaskContext.get().partitionId() << 36
         for batch, texts in texts_of(batches, "text"):
-            sums, chars, rare_row, rare, times = [], [], [], [], []
+            ids, rare_row, rare, gaps = [], [], [], []
             for k, text in enumerate(texts):
-                text = text.decode()
-                found = list(map(number.get, own := units_of(text)))
-                at = np.array([i for i in found if i is not None], np.int64)
-                sums.append(values[:, at].sum(axis=1))
-                chars.append(len(text))
-                if len(at) < len(found):
-                    more: dict[str, int] = {}
-                    for u, i in zip(own, found):
-                        if i is None:
-                            more[u] = more.get(u, 0) + 1
+                own = units_of(text.decode())
+                found = list(map(known.get, own))
+                if None in found:
+                    more: dict[str, list[int]] = {}
+                    for n, at in enumerate(i for i, x in enumerate(found) if x is None):
+                        found[at] = GAP
+                        more.setdefault(own[at], []).append(n)
                     rare_row.extend([row + k] * len(more))
                     rare.extend(more)
-                    times.extend(more.values())
+                    gaps.extend(more.values())
+                ids.append(np.frombuffer(b"".join(found), "<i4"))
             n, m = len(texts), len(rare)
-            sums = np.array(sums, np.int64).reshape(n, 3)
-            kind = batch.column("doc_id").type
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.r_[np.arange(row, row + n), np.array(rare_row, np.int64)]),
-                    pa.concat_arrays([batch.column("doc_id"), pa.nulls(m, kind)]),
-                    pa.array(chars + [None] * m, pa.int64()),
-                    *[pa.array(sums[:, j].tolist() + [None] * m, pa.int64()) for j in range(3)],
+                    *[pa.concat_arrays([batch.column(c), pa.nulls(m, batch.column(c).type)]) for c in ("doc_id", "text")],
+                    pa.concat_arrays([pa.array(ids, pa.list_(pa.int32())), pa.nulls(m, pa.list_(pa.int32()))]),
                     pa.array([None] * n + rare, pa.string()),
-                    pa.array([None] * n + times, pa.int64()),
+                    pa.array([None] * n + gaps, pa.list_(pa.int32())),
                 ],
-                names=["row", "doc_id", "n_chars", "n", "total", "b", "unit", "times"],
+                names=["row", "doc_id", "text", "held", "unit", "gaps"],
             )
             row += n
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    made = stored(rows.mapInArrow(parts, f"row long, doc_id {kind}, n_chars long, n long, total long, b long, unit string, times long"), "unit-parts")
-    rare = made.where("unit IS NOT NULL").select("row", "unit", "times").join(units, "unit")
-    more = rare.groupBy("row").agg(*[F.sum(F.col(c) * F.col("times")).alias(f"more_{c}") for c in ("n", "total", "b")])
-    plus = lambda c: (F.col(c) + F.coalesce(f"more_{c}", F.lit(0))).cast("long")
-    return made.where("unit IS NULL").join(more, "row", "left").select(
-        "doc_id", "n_chars", plus("n").alias("n_pieces"), plus("total").alias("ids_sum"), plus("b").alias("n_byte_pieces")
-    )
+    made = stored(rows.mapInArrow(parts, f"row long, doc_id {kind}, text string, held array<int>, unit string, gaps array<int>"), "unit-parts")
+    rare = made.where("unit IS NOT NULL").select("row", "unit", "gaps").join(units, "unit")
+    more = rare.groupBy("row").agg(F.collect_list("gaps").alias("gaps"), F.collect_list("ids").alias("more"))
+
+    def filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for own, gaps, found in zip(*(batch.column(c).to_pylist() for c in ("held", "gaps", "more"))):
+                if gaps is not None:
+                    of_gap = {n: ids for places, ids in zip(gaps, found) for n in places}
+                    whole, n = [], 0
+                    for i in own:
+                        if i >= 0:
+                            whole.append(i)
+                        else:
+                            whole += of_gap[n]
+                            n += 1
+                    own = whole
+                out.append(own)
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("row", "doc_id", "text")], pa.array(out, pa.list_(pa.int32()))], names=["row", "doc_id", "text", "ids"])
+
+    both = made.where("unit IS NULL").select("row", "doc_id", "text", "held").join(more, "row", "left")
+    return both.mapInArrow(filled, f"row long, doc_id {kind}, text string, ids array<int>")
+
+
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", held_units: int = HELD_UNITS) -> DataFrame:
+    """``row, doc_id, ids``: every document's ids in order; ``row`` numbers rows."""
+    return with_ids(docs, path, id_col, text_col, held_units).select("row", "doc_id", "ids")
+
+
+def bytes_of_ids(path: str) -> dict[int, bytes]:
+    """What each id stands for."""
+    base = byte_base(path)
+    return {**{i: p.replace(BLANK, " ").encode() for p, i, _ in pieces_of(path)}, **{base + b: bytes([b]) for b in range(256)}}
+
+
+def decoded_text(ids: list[int], table: dict[int, bytes]) -> str:
+    """Without the blank that encoding puts first; ids without a piece stand for nothing."""
+    return b"".join([table.get(i, b"") for i in ids]).decode(errors="replace")[1:]
+
+
+def decode(rows: DataFrame, path: str) -> DataFrame:
+    """``row, text`` from ``row, ids``; every worker holds the pieces, which have the model's size."""
+
+    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = bytes_of_ids(path)
+        for batch in batches:
+            texts = [decoded_text(ids or [], table) for ids in batch.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], names=["row", "text"])
+
+    kind = rows.schema["row"].dataType.simpleString()
+    return rows.select("row", "ids").mapInArrow(decoded, f"row {kind}, text string")
+
+
+def piece_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", held_units: int = HELD_UNITS) -> DataFrame:
+    """``doc_id, n_chars, n_pieces, ids_sum, n_byte_pieces, ids_crc32, decodes`` of every document's encoding.
+
+    ``ids_crc32`` is of the ids in order as 32-bit little-endian numbers; ``decodes`` says whether decoding gives the text back, which
+    a text that holds the sign for blanks itself cannot.
+    """
+    rows = with_ids(docs, path, id_col, text_col, held_units)
+    base = byte_base(path)
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = bytes_of_ids(path)
+        for batch in batches:
+            out = []
+            for text, ids in zip(batch.column("text").to_pylist(), batch.column("ids").to_pylist()):
+                own = np.array(ids, "<i4")
+                same = decoded_text(ids, table) == text
+                out.append((len(text), len(own), int(own.sum(dtype=np.int64)), int(((own >= base) & (own < base + 256)).sum()), zlib.crc32(own.tobytes()), same))
+            columns = list(zip(*out)) or [()] * 6
+            made = [*[pa.array(x, pa.int64()) for x in columns[:5]], pa.array(columns[5], pa.bool_())]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *made], names=["doc_id", "n_chars", "n_pieces", "ids_sum", "n_byte_pieces", "ids_crc32", "decodes"])
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(digests, f"doc_id {kind}, n_chars long, n_pieces long, ids_sum long, n_byte_pieces long, ids_crc32 long, decodes boolean")

@@ -162,3 +162,13 @@ def test_sentencepiece(spark):
     for held in (5, 100_000):
         counts = by_id(sentencepiece_lattice.piece_counts(docs, PIECES, held_units=held))
         assert [(counts[k].n_pieces, counts[k].ids_sum) for k in range(len(texts))] == [(len(w), sum(w)) for w in want]
+
+
+@pytest.mark.parametrize("held", [5, 100_000])
+def test_sentencepiece_digests_see_order_and_decoding(spark, held):
+    texts = noise(4, 60) + [None, "", "b a", "a b", "rare " * 3 + "other rare", "a▁b"]
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    r = by_id(sentencepiece_lattice.piece_counts(docs_table(spark, list(enumerate(texts))), PIECES, held_units=held))
+    for k, t in enumerate(texts):
+        assert r[k].ids_crc32 == zlib.crc32(np.array(library.encode(t or ""), "<u4").tobytes())
+        assert r[k].decodes == ("▁" not in (t or ""))
