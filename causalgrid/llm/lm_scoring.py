@@ -202,8 +202,8 @@ def context_table(known: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             yield pa.record_batch([pa.array(part.astype(np.int32)), pa.array(zeros[part]), pa.array(ones[part])], names=["slot", "n0", "n1"])
 
     rows = known.select("word").mapInArrow(counted, "slot int, n0 long, n1 long").groupBy("slot").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    small = rows.selectExpr("slot", "cast(least(n0, 60000) as float) as n0", "cast(least(n1, 60000) as float) as n1")
-    zeros, ones = np.zeros(1 << SLOT_BITS, np.float16), np.zeros(1 << SLOT_BITS, np.float16)
+    small = rows.selectExpr("slot", "cast(n0 as float) as n0", "cast(n1 as float) as n1")
+    zeros, ones = np.zeros(1 << SLOT_BITS, np.float32), np.zeros(1 << SLOT_BITS, np.float32)
     table = small.toArrow()  # at most 2**SLOT_BITS rows
     if table.num_rows:
         at = table.column("slot").to_numpy()

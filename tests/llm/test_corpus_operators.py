@@ -139,6 +139,21 @@ def test_words_share_one_unit_of_probability():
     assert np.isclose(mixer.log10([b"a"])[0], 2 * np.log10(1 / 256), atol=1e-3)
 
 
+def test_context_counts_are_whole(spark):
+    """Slots with more than 60000 zeros and ones keep both, and so their ratio."""
+    words = [(b"%c%06d" % (c, k),) for k in range(70_000) for c in b"aA"]
+    zeros, ones = lm_scoring.context_table(spark.createDataFrame(words, "word binary"))
+    bits = lm_scoring.Bits([w for w, in words])
+    want = np.zeros((2, 1 << lm_scoring.SLOT_BITS))
+    for b in range(8):
+        bit, at = bits.bit(b)
+        for slots in at:
+            np.add.at(want[0], slots[~bit], 1)
+            np.add.at(want[1], slots[bit], 1)
+    assert ((want > 60_000).all(axis=0)).any()
+    assert (zeros == want[0]).all() and (ones == want[1]).all()
+
+
 def test_language_scores_of_nothing(spark):
     assert lm_scoring.language_scores(docs_table(spark, [])).count() == 0
 
