@@ -2,11 +2,12 @@
 
 A shard's graph is a hierarchy of levels held as flat neighbour arrays: one row of neighbour numbers for each
 member. It is built in batches of growing size: a batch is searched in the graph so far and linked, with diverse neighbours
-preferred, then searched by the next. Graphs are written out, then every shard meets the queries in blocks of a bounded size; queries walk in step. Shards are as many as
+preferred, then searched by the next. Graphs are written out, then every shard meets the queries in blocks of a bounded size; queries walk in step. Shards are about as many as
 ``SHARDS`` until they would pass ``SHARD_ROWS`` members, so the work of a search grows as queries do. Every shard returns its best ``k``
 for each query; merging them keeps the best ``k`` of all.
 
-Vectors are scaled to length one and given one more component, so that inner products of any lengths become nearness on a sphere.
+A shard holds vectors whose lengths differ by less than a factor of two. They are scaled by the longest of them and given one more
+component, so that inner products of any lengths become nearness on a sphere, which single precision can tell whatever other lengths occur.
 Vectors that are null, zero, or hold a null or a non-finite component take no part. Only vectors of equal
 dimension are compared. Equal vectors tie and are ordered by id; the query's own id is no candidate. Rows with
 a null id take no part. Fewer candidates than ``k`` are all returned. An empty table gives an empty table.
@@ -184,17 +185,26 @@ def distinct_vectors(data: DataFrame, keep: int) -> DataFrame:
     return ranked.groupBy("dim", "v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
 
 
-def shard_graphs(vectors: DataFrame, shards: int) -> DataFrame:
+def shard_graphs(vectors: DataFrame) -> DataFrame:
     """``dim, shard, graph``: the vectors, ids and flat neighbour arrays of each shard, as bytes."""
-    # the longest vector of a dimension gives the scale that puts all on one sphere
-    longest = vectors.groupBy("dim").agg(F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)).alias("square"))
-    scales = {r["dim"]: r["square"] for r in longest.collect()}  # a row for each dimension
-    dealt = vectors.withColumn("shard", F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int"))
+    most = F.array_max(F.transform("v", F.abs))
+    of_most = F.sqrt(F.aggregate(F.transform("v", lambda x: x / most), F.lit(0.0), lambda a, x: a + x * x))
+    banded = vectors.withColumn("band", F.floor(F.log2(most) + F.log2(of_most)).cast("int"))
+    # a row for each dimension and power of two: some thousands for each dimension whatever the vectors
+    counts = banded.groupBy("dim", "band").count()
+    all_ = Window.partitionBy("dim")
+    share = F.greatest(F.ceil(F.col("count") * SHARDS / F.sum("count").over(all_)), F.ceil(F.col("count") / SHARD_ROWS)).cast("int")
+    before = F.coalesce(F.sum("shards").over(all_.orderBy("band").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    bands = counts.withColumn("shards", share).withColumn("first", before).select("dim", "band", "shards", "first")
+    dealt = banded.join(F.broadcast(bands), ["dim", "band"]).select(
+        "dim", "v", "ids", (F.col("first") + F.pmod(F.xxhash64("v"), F.col("shards"))).cast("int").alias("shard")
+    )
 
     def built(key, own: pd.DataFrame) -> pd.DataFrame:
         own = own.iloc[np.argsort([i[0] for i in own["ids"]], kind="stable")]
         v = np.stack(own["v"].to_numpy())
-        scaled = v / np.sqrt(scales[key[0]])
+        scaled = v / np.abs(v).max()
+        scaled /= np.sqrt((scaled**2).sum(axis=1).max())
         last = np.sqrt(np.maximum(0.0, 1.0 - (scaled**2).sum(axis=1)))
         graph = SmallWorld(np.column_stack([scaled, last]))
         held = (v, [np.asarray(i) for i in own["ids"]], graph.x, graph.order, graph.counts, graph.links)
@@ -210,9 +220,8 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec
     """
     vectors = stored(distinct_vectors(usable(rows, id_col, vector_col), k + 1), "vectors")
     asked = stored(usable(queries, id_col, vector_col), "query-vectors")
-    shards = max(SHARDS, -(-vectors.count() // SHARD_ROWS))
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    graphs = stored(shard_graphs(vectors, shards), "graphs")
+    graphs = stored(shard_graphs(vectors), "graphs")
     kind = asked.schema["vec_id"].dataType.simpleString()
     # every shard meets every block of queries: shards x blocks graphs, each with its block
     meeting = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
@@ -230,7 +239,8 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec
             q_all, q_ids = np.stack(asks["v"].to_numpy()), asks["vec_id"].to_numpy()
             for at in range(0, len(q_all), STEP):
                 q, qi = q_all[at : at + STEP], q_ids[at : at + STEP]
-                unit = q / np.linalg.norm(q, axis=1, keepdims=True)
+                unit = q / np.abs(q).max(axis=1, keepdims=True)
+                unit /= np.linalg.norm(unit, axis=1, keepdims=True)
                 near = world.search(np.column_stack([unit, np.zeros(len(q))]).astype(np.float32), max(width, k + 1))
                 for j in range(len(q)):
                     nodes = near[j][near[j] >= 0]

@@ -201,6 +201,26 @@ def test_nearest(spark):
     assert same == neighbours(v[ids != 220], ids[ids != 220], v[220], 10)
 
 
+@pytest.mark.parametrize("outliers", [[], [1e4], [1e9, 1e-9]])
+def test_nearest_beside_outliers(spark, monkeypatch, outliers):
+    """Few outlying lengths leave the others' neighbours alone, also in shards far larger than a beam."""
+    monkeypatch.setattr(ann, "SHARDS", 1)
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(60, 32))
+    v = centres[rng.integers(0, 60, 4000)] + 0.4 * rng.normal(size=(4000, 32))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    for k, x in enumerate(outliers):
+        v[k] *= x
+    table = spark.createDataFrame([(k, x.tolist()) for k, x in enumerate(v)], "vec_id long, embedding array<double>")
+    got = ann.nearest(table, table.where("vec_id % 40 = 7"), 10).toPandas()
+    ids, hits, n = np.arange(len(v)), 0, 0
+    for q in range(7, 4000, 40):
+        other = ids != q
+        hits += len(set(neighbours(v[other], ids[other], v[q], 10)) & set(got[got.query_id == q].vec_id))
+        n += 10
+    assert len(got) == n and hits / n >= 0.95
+
+
 def test_nearest_of_few(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert ann.nearest(empty, empty).count() == 0
