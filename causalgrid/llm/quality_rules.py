@@ -22,6 +22,8 @@ BOILERPLATE = (
 )
 
 
+#: The phrases as words of their own.
+PHRASES = r"(?<![\p{L}\p{N}_])(?:" + "|".join(BOILERPLATE) + r")(?![\p{L}\p{N}_])"
 SYMBOLS = r"[#*$%&|<>]+"
 
 
@@ -37,6 +39,14 @@ class LineRules:
     lost_percent: int = 50  # a document that loses more of its word characters is rejected
     words_at_least: int = 50
     repeated_percent: int = 50
+    #: Lines of more words than this fail by boilerplate only if phrases make up ``phrase_percent`` of the words; phrases then
+    #: count between word borders alone. None: any occurrence fails any line.
+    phrase_line_words: int | None = None
+    phrase_percent: int = 20
+
+
+#: For prose, where a long line may mention a phrase.
+PROSE = LineRules(phrase_line_words=20)
 
 
 def has_boilerplate(small: Column) -> Column:
@@ -44,6 +54,16 @@ def has_boilerplate(small: Column) -> Column:
     return reduce(lambda a, b: a | b, [small.contains(x) for x in BOILERPLATE])
 
 
+def boilerplate_line(line: Column, n: Column, rules: LineRules) -> Column:
+    """True where phrases fail a line of ``n`` words."""
+    small = F.lower(line)
+    if rules.phrase_line_words is None:
+        return has_boilerplate(small)
+    found = F.regexp_extract_all(small, F.lit(PHRASES), F.lit(0))
+    share = F.size(F.split(F.array_join(found, " "), " ")) * 100 >= n * rules.phrase_percent
+    return has_boilerplate(small) & (F.size(found) > 0) & ((n <= rules.phrase_line_words) | share)
+
+
 def signs(text: Column, pattern: str) -> Column:
     return F.length(text) - F.length(F.regexp_replace(text, pattern, ""))
 
@@ -64,7 +84,7 @@ def failing_line(line: Column, words: Column, rules: LineRules, marked: Column,
         | (shouted & (signs(line, "!+") * 100 > n * rules.shouts_per_100_words))
         | unfinished
         | repeated
-        | (boiler & has_boilerplate(F.lower(line)))
+        | (boiler & boilerplate_line(line, n, rules))
     )
 
 

@@ -11,7 +11,7 @@ from causalgrid.llm.common import stored
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line rules keep, without their failed lines."""
-    return quality_rules.keep_good(docs)
+    return quality_rules.keep_good(docs, rules=quality_rules.PROSE)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,6 +14,7 @@ from tokenizers import Tokenizer
 sys.path.insert(0, str(Path(__file__).parent))
 from brute import NASTY, docs_table, prose  # noqa: E402
 
+import corpus_pipeline  # noqa: E402
 from causalgrid.llm import packing, quality_rules, sentencepiece_lattice, token_counts, toxicity  # noqa: E402
 
 BYTES, WORDS, PIECES = P.path("byte_bpe_50k.json"), P.path("word_bpe_49k.json"), P.path("piece_bpe_32k.model")
@@ -58,6 +59,16 @@ def test_quality_keeps_columns_and_cleans(spark):
     assert {r.doc_id: r.text for r in kept.collect()} == {1: good, 2: good}
 
 
+def test_quality_stage_keeps_prose_that_mentions_phrases(spark):
+    own = lambda k: " ".join(f"word{k}x{j}" for j in range(40))
+    clean = [f"{own(k)} {x} {own(k + 50)}." for k, x in enumerate(["design in", "catalog in", "dialog in", "analog in", "a privacy policy", "they log in"])]
+    rows = [*enumerate(clean), (10, own(10) + "\nlong words follow here in the " + clean[0]), (11, f"{own(11)} {own(12)}.\nSign in, or click here to log in!")]
+    rows.append((12, f"{own(13)} {own(14)}.\nThis work is licensed under the GNU General Public License, version 3."))
+    rows.append((13, "Sign in. Log in. Privacy policy. Terms of use. Click here. " * 12))
+    kept = {r.doc_id: r.text for r in corpus_pipeline.quality_stage(spark, docs_table(spark, rows), "").collect()}
+    assert kept == {**{k: t for k, t in rows if k < 11}, 11: f"{own(11)} {own(12)}.", 12: f"{own(13)} {own(14)}."}
+
+
 def test_quality_on_odd_rows(spark):
     assert quality_rules.quality_verdicts(docs_table(spark, NASTY)).count() == len(NASTY)
     assert quality_rules.quality_verdicts(docs_table(spark, NASTY)).where("kept").count() == 0
