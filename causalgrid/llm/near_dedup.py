@@ -269,8 +269,8 @@ def links_across(buckets: DataFrame, classes: DataFrame, sets: DataFrame, percen
     return known.groupBy("band_key", "x", "y").applyInPandas(compare, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``.
+def row_components(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, text_key, n_shingles, label, component_id`` for every row of ``docs``; ``label`` names a component even without ids.
 
     Links are pairs with 100 * intersection >= percent * union of the shingle sets.
     """
@@ -305,17 +305,31 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     if labels is not None:
         owner = classes.select("id", "least_doc").join(labels, "id", "left").select("id", "least_doc", F.coalesce("label", "id").alias("label"))
     least = owner.groupBy("label").agg(F.min("least_doc").alias("component_id"))
-    of_class = owner.join(least, "label").select(F.col("id").alias("set_key"), "component_id")
-    member = full.select("doc_id", "n_shingles", "set_key").join(of_class, "set_key").select("doc_id", "n_shingles", "component_id")
-    alone = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return member.union(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    of_class = owner.join(least, "label").select(F.col("id").alias("set_key"), "label", "component_id")
+    columns = ("doc_id", "text_key", "n_shingles", "label", "component_id")
+    member = full.select("doc_id", "text_key", "n_shingles", "set_key").join(of_class, "set_key").select(*columns)
+    alone = rows.where("n_shingles = 0").withColumns({"label": F.lit(None).cast("long"), "component_id": F.col("doc_id")})
+    return member.union(alone.select(*columns))
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``."""
+    found = row_components(docs, width, percent, id_col, text_col).select("doc_id", "n_shingles", "component_id")
+    return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def without_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each component; of repeated rows one stays."""
-    dropped = near_duplicates(docs, width, percent, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias(id_col)).distinct()
-    left = docs.join(dropped, id_col, "left_anti").select(*docs.columns)
-    if not docs.groupBy(id_col).count().where("count > 1").limit(1).count():
-        return left
-    key = fresh(docs, "_text_key")
-    return left.withColumn(key, F.xxhash64(text_col)).dropDuplicates([id_col, key]).drop(key)
+    """``docs`` with one row of each component, that of the least id and, of equal ids, the least hash of the text; null ids come last.
+
+    Rows are named by id and text, so rows of one id may stay or go each by itself; of repeated rows one stays.
+    """
+    found = stored(row_components(docs, width, percent, id_col, text_col).where("label IS NOT NULL"), "row-components")
+    named = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
+    best = found.groupBy("label").agg(F.min(named).alias("best"))
+    id_, of_text, key = (fresh(docs, c) for c in ("_near_id", "_near_text", "_text_key"))
+    dropped = found.join(best, "label").where(~named.eqNullSafe(F.col("best"))).select(F.col("doc_id").alias(id_), F.col("text_key").alias(of_text)).distinct()
+    rows = docs.withColumn(key, F.xxhash64(text_col))
+    left = rows.join(dropped, (F.col(key) == F.col(of_text)) & F.col(id_col).eqNullSafe(F.col(id_)), "left_anti")
+    if docs.groupBy(id_col).count().where("count > 1").limit(1).count():
+        left = left.dropDuplicates([id_col, key])
+    return left.select(*docs.columns)

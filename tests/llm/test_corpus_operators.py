@@ -106,6 +106,17 @@ def test_near_duplicates_of_odd_rows(spark):
     assert left.where("text = 'one'").count() == 1
 
 
+def test_near_duplicates_are_dropped_by_row(spark):
+    a, b, c = (prose(k, 80, 5000) for k in (1, 2, 3))
+    near = lambda t: t.replace(" ", " new ", 1)
+    rows = [(1, a), (7, near(a)), (7, b), (None, c), (None, near(c)), (None, c)]
+    left = near_dedup.without_near_duplicates(docs_table(spark, rows)).collect()
+    assert {(r.doc_id, r.text) for r in left if r.doc_id is not None} == {(1, a), (7, b)}
+    assert [r.text in (c, near(c)) for r in left if r.doc_id is None] == [True]
+    mixed = [(None, a), (4, near(a))]
+    assert [r.doc_id for r in near_dedup.without_near_duplicates(docs_table(spark, mixed)).collect()] == [4]
+
+
 def test_estimates_follow_similarity():
     rng = np.random.default_rng(3)
     for common, own in ((900, 50), (300, 300), (20, 1)):
