@@ -12,6 +12,10 @@ others are the model's frequent words counted anew over the training documents o
 most frequent words leads. The experts' weights follow the document, which is the exact Bayesian mixture. All counts are sums over all training documents. The context
 table has a fixed number of slots and the words kept in each worker are a fixed number of the most frequent; other words are joined.
 
+Beside the score stands the bits per byte of a second mixer of the same kind over running bytes: its contexts, up to six bytes that reach
+into earlier words, count all bytes of all training documents, its weights and map learn from all of them, and it predicts every bit of every
+text and of its end.
+
 A null or empty text is its end token alone; a null id is held out or not as an empty id. Equal texts get equal scores. Texts of any
 length are scored whole. Without training documents N and V are 0 and the byte model is uniform. An empty table gives an empty table.
 """
@@ -21,7 +25,7 @@ from __future__ import annotations
 import itertools
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +36,8 @@ from pyspark.sql import functions as F
 from causalgrid.llm.common import arrow_batches, is_fold, stored, texts_of
 
 ORDERS = 5
+#: Bytes in each context of running text.
+RUNNING = (1, 2, 3, 4, 6)
 SLOT_BITS = 22
 GATES = 8 * (ORDERS + 1)
 MAP_BINS = 33
@@ -112,6 +118,44 @@ class Bits:
         return ((self.data >> np.uint64(7 - b)) & np.uint64(1)).astype(bool), at
 
 
+class RunningBits(Bits):
+    """The bits of consecutive bytes of texts; ``into`` has the bytes of the text before each, and the first ``lead`` bytes are context alone."""
+
+    def __init__(self, data: np.ndarray, into: np.ndarray, lead: int):
+        context = np.zeros(len(data), np.uint64)
+        self.contexts = []
+        for k in range(1, RUNNING[-1] + 1):
+            before = np.zeros(len(data), np.uint64)
+            before[k:] = data[:-k]
+            before[into < k] = 256  # before the text
+            context = context * np.uint64(257) + before + np.uint64(1)
+            if k in RUNNING:
+                self.contexts.append(((context + np.uint64(k)) * np.uint64(0x9E3779B97F4A7C15))[lead:])
+        self.data = data[lead:].astype(np.uint64)
+
+
+def running(texts: list[bytes], most: int = 1 << 15) -> Iterator[tuple[RunningBits, np.ndarray]]:
+    """Bits of all texts, each with its end, about ``most`` bytes at a time, and the number of each byte's text."""
+    for begin, part in parts_of(texts):
+        data = np.frombuffer(b"\0".join(part) + b"\0", np.uint8)
+        sizes = np.fromiter(map(len, part), np.int64, len(part)) + 1
+        of = np.repeat(np.arange(begin, begin + len(part)), sizes)
+        into = np.arange(len(data)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        for at in range(0, len(data), most):
+            first = max(0, at - RUNNING[-1])
+            yield RunningBits(data[first : at + most], into[first : at + most], at - first), of[at : at + most]
+
+
+def word_bits(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[Bits]:
+    yield from map(Bits, batched(batches, size))
+
+
+def text_bits(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[Bits]:
+    for _, texts in texts_of(batches, "text"):
+        for bits, _ in running(texts):
+            yield bits
+
+
 class Mixer:
     """Context counts, mixing weights by gate, and the adaptive map."""
 
@@ -140,12 +184,11 @@ class Mixer:
     def logits(self, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
         return np.clip(np.einsum("kn,nk->n", x, self.weights[gate]), -12, 12)
 
-    def learn(self, words: list[bytes], seen: np.ndarray) -> None:
-        """One online step for every gate from a batch of training words.
+    def learn(self, bits: Bits, seen: np.ndarray) -> None:
+        """One online step for every gate from the bits of a batch of training words, or of running text.
 
         ``seen`` gathers bits and ones by gate and bin of the mixed logit, as predicted before the step.
         """
-        bits = Bits(words)
         for b in range(8):
             bit, at = bits.bit(b)
             x, gate = self.inputs(b, bit, at, True)
@@ -166,6 +209,17 @@ class Mixer:
     def log10(self, words: list[bytes]) -> np.ndarray:
         """log10 probability of each word, its end included."""
         bits = Bits(words)
+        return np.add.reduceat(self.log10_of(bits), bits.starts)
+
+    def text_bits(self, texts: list[bytes]) -> np.ndarray:
+        """Bits of each text and its end."""
+        total = np.zeros(len(texts))
+        for bits, of in running(texts):
+            total += np.bincount(of, weights=self.log10_of(bits), minlength=len(texts))
+        return -total / math.log10(2)
+
+    def log10_of(self, bits: Bits) -> np.ndarray:
+        """log10 probability of each byte."""
         total = np.zeros(len(bits.data))
         for b in range(8):
             bit, at = bits.bit(b)
@@ -174,7 +228,7 @@ class Mixer:
             p = 0.5 / (1 + np.exp(-z)) + 0.5 * self.refined[gate, self.bins(z)]
             p = np.clip(p, 1e-6, 1 - 1e-6)
             total += np.log10(np.where(bit, p, 1 - p))
-        return np.add.reduceat(total, bits.starts)
+        return total
 
 
 def batched(batches: Iterator[pa.RecordBatch], size: int = 10_000) -> Iterator[list[bytes]]:
@@ -184,13 +238,12 @@ def batched(batches: Iterator[pa.RecordBatch], size: int = 10_000) -> Iterator[l
             yield words[k : k + size]
 
 
-def context_table(known: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Zeros and ones of all slots over the different training words; the size is fixed."""
+def context_table(known: DataFrame, column: str = "word", bits_of: Callable = word_bits) -> tuple[np.ndarray, np.ndarray]:
+    """Zeros and ones of all slots over the different training words, or over running texts; the size is fixed."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         zeros, ones = np.zeros(1 << SLOT_BITS, np.int64), np.zeros(1 << SLOT_BITS, np.int64)
-        for words in batched(batches):
-            bits = Bits(words)
+        for bits in bits_of(batches, 10_000):
             for b in range(8):
                 bit, at = bits.bit(b)
                 for slots in at:
@@ -201,7 +254,7 @@ def context_table(known: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             part = full[k : k + EMIT]
             yield pa.record_batch([pa.array(part.astype(np.int32)), pa.array(zeros[part]), pa.array(ones[part])], names=["slot", "n0", "n1"])
 
-    rows = known.select("word").mapInArrow(counted, "slot int, n0 long, n1 long").groupBy("slot").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    rows = known.select(column).mapInArrow(counted, "slot int, n0 long, n1 long").groupBy("slot").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     small = rows.selectExpr("slot", "cast(n0 as float) as n0", "cast(n1 as float) as n1")
     zeros, ones = np.zeros(1 << SLOT_BITS, np.float32), np.zeros(1 << SLOT_BITS, np.float32)
     table = small.toArrow()  # at most 2**SLOT_BITS rows
@@ -211,23 +264,23 @@ def context_table(known: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return zeros, ones
 
 
-def trained(known: DataFrame) -> Mixer:
-    """The mixer after one online pass over all training words; the partitions' weights are averaged by their words."""
-    mixer = Mixer(*context_table(known))
+def trained(known: DataFrame, column: str = "word", bits_of: Callable = word_bits) -> Mixer:
+    """The mixer after one online pass over all training words or texts; the partitions' weights are averaged by their bytes."""
+    mixer = Mixer(*context_table(known, column, bits_of))
     held = known.sparkSession.sparkContext.broadcast(mixer.arrays())
 
     def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         zeros, ones, weights, refined = held.value
         own, n = Mixer(zeros, ones, weights.copy(), refined), 0
         seen = np.zeros((2, GATES * MAP_BINS))
-        for words in batched(batches, 2_000):
-            own.learn(words, seen)
-            n += len(words)
+        for bits in bits_of(batches, 2_000):
+            own.learn(bits, seen)
+            n += len(bits.data)
         if n:
             yield pa.record_batch([pa.array([n]), pa.array([own.weights.ravel().tolist()]), pa.array([seen.ravel().tolist()])], names=["n", "weights", "seen"])
 
     # a row for each partition, of a few kilobytes
-    rows = known.select("word").mapInArrow(learned, "n long, weights array<double>, seen array<double>").collect()
+    rows = known.select(column).mapInArrow(learned, "n long, weights array<double>, seen array<double>").collect()
     if not rows:
         return mixer
     n = np.array([r["n"] for r in rows], float)
@@ -305,14 +358,16 @@ def class_tables(docs: DataFrame, names: list[bytes], logs: np.ndarray) -> tuple
     return np.log10((1 - rare) * own), np.log10(rare[:, 0] / other)
 
 
-def document_parts(docs: DataFrame, top: tuple[list[bytes], np.ndarray, np.ndarray], norm: float, classes: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+def document_parts(docs: DataFrame, top: tuple[list[bytes], np.ndarray, np.ndarray], norm: float, classes: tuple[np.ndarray, np.ndarray], spelling: Mixer) -> DataFrame:
     """Rows of two kinds. Documents: ``row``, their columns, and sums over words held in the worker. Other words, once in a
     document: ``row, word`` and ``again``, the shares of earlier words at each repetition."""
     spark = docs.sparkSession
     held = spark.sparkContext.broadcast((*top, *classes))
+    spelled_by = spark.sparkContext.broadcast(spelling.arrays())
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, counts, logs, class_logs, class_rest = held.value
+        spelling = Mixer(*spelled_by.value)
         number = dict(zip(names, itertools.count()))
         base = np.log10((counts + 0.5) / norm)
         plain = 10.0**logs
@@ -349,6 +404,7 @@ def document_parts(docs: DataFrame, top: tuple[list[bytes], np.ndarray, np.ndarr
                     add(counts[wc] > 0),
                     add(base[wc]),
                     np.array(experts).T,
+                    spelling.text_bits(part) / np.array([len(t) + 1 for t in part]),
                 )
                 o = order[~common[order]]
                 if len(o):
@@ -362,19 +418,19 @@ def document_parts(docs: DataFrame, top: tuple[list[bytes], np.ndarray, np.ndarr
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.mapInArrow(
         parts,
-        f"row long, doc_id {kind}, train boolean, n_tokens long, n_known double, base double, experts array<double>, word binary, again array<double>",
+        f"row long, doc_id {kind}, train boolean, n_tokens long, n_known double, base double, experts array<double>, bits_per_byte double, word binary, again array<double>",
     )
 
 
-FIELDS = ("row", "doc_id", "train", "n_tokens", "n_known", "base", "experts", "word", "again")
+FIELDS = ("row", "doc_id", "train", "n_tokens", "n_known", "base", "experts", "bits_per_byte", "word", "again")
 
 
-def rows_of(row, doc_id, train, lengths, known, base, experts) -> pa.RecordBatch:
+def rows_of(row, doc_id, train, lengths, known, base, experts, bits) -> pa.RecordBatch:
     n = len(row)
     return pa.RecordBatch.from_arrays(
         [
             pa.array(row, pa.int64()), doc_id, train, pa.array(lengths, pa.int64()), pa.array(known, pa.float64()), pa.array(base, pa.float64()),
-            pa.array(list(experts), pa.list_(pa.float64())), pa.nulls(n, pa.binary()), pa.nulls(n, pa.list_(pa.float64())),
+            pa.array(list(experts), pa.list_(pa.float64())), pa.array(bits, pa.float64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.list_(pa.float64())),
         ],
         names=list(FIELDS),
     )
@@ -382,14 +438,14 @@ def rows_of(row, doc_id, train, lengths, known, base, experts) -> pa.RecordBatch
 
 def words_of(kind, row, words, again) -> pa.RecordBatch:
     n = len(words)
-    empty = [pa.nulls(n, t) for t in (kind, pa.bool_(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.float64()))]
+    empty = [pa.nulls(n, t) for t in (kind, pa.bool_(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.float64()), pa.float64())]
     return pa.RecordBatch.from_arrays(
         [pa.array(row, pa.int64()), *empty, pa.array(words, pa.binary()), pa.array(again, pa.list_(pa.float64()))], names=list(FIELDS)
     )
 
 
 def language_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_words: int = HELD_WORDS) -> DataFrame:
-    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for every document.
+    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte`` for every document.
 
     Documents whose crc32(id as text) mod 5 is 1 are held out.
     """
@@ -405,7 +461,7 @@ def language_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     top = (most.column("word").to_pylist(), most.column("c").to_numpy().astype(float), most.column("p").to_numpy())
     norm = total + 0.5 * (distinct + 1)
     classes = class_tables(rows, top[0], top[2])
-    parts = stored(document_parts(rows, top, norm, classes), "parts")
+    parts = stored(document_parts(rows, top, norm, classes, trained(rows.where("train"), "text", text_bits)), "parts")
 
     p, log_p = F.pow(F.lit(10.0), F.col("p")), F.col("p")
     first = lambda s: log_p + math.log10(1 - s)
@@ -418,7 +474,7 @@ def language_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         (F.log10((F.col("c") + 0.5) / norm) * (1 + F.size("again"))).alias("base"),
         *[(first(s) + F.when(repeats, later(s)).otherwise(0.0)).alias(f"e{k}") for k, s in enumerate(SHARES)],
     )
-    local = parts.where("word IS NULL").select("row", "doc_id", "train", "n_tokens", "n_known", "base", "experts", *[F.col("experts")[k].alias(f"e{k}") for k in range(len(SHARES))])
+    local = parts.where("word IS NULL").select("row", "doc_id", "train", "n_tokens", "n_known", "base", "experts", "bits_per_byte", *[F.col("experts")[k].alias(f"e{k}") for k in range(len(SHARES))])
     names = ("n_known", "base", *[f"e{k}" for k in range(len(SHARES))])
     more = sums.groupBy("row").agg(*[F.sum(c).alias(f"more_{c}") for c in names])
     both = local.join(more, "row", "left").withColumns({c: F.col(c) + F.coalesce(f"more_{c}", F.lit(0.0)) for c in names})
@@ -438,4 +494,5 @@ def language_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.lit(total).cast("long").alias("train_tokens"),
         F.col("base").alias("base_score"),
         mixed.alias("score"),
+        "bits_per_byte",
     )

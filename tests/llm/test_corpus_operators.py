@@ -165,6 +165,22 @@ def test_context_counts_are_whole(spark):
     assert (zeros == want[0]).all() and (ones == want[1]).all()
 
 
+def test_bits_per_byte_follow_running_text(spark):
+    """The same words cost more bits in an order that was not learned, and no cut of the texts changes a byte's contexts."""
+    rows = [(k, prose(k, 60, 40)) for k in range(150)]
+    rows += [(1000 + k, "alpha beta gamma delta " * 40) for k in range(20)]
+    rows += [(2000 + k, "alpha delta gamma beta " * 40) for k in range(20) if brute.zlib.crc32(str(2000 + k).encode()) % 5 == 1] + [(3000, None)]
+    got = lm_scoring.language_scores(docs_table(spark, rows)).toPandas().set_index("doc_id")
+    assert np.isfinite(got.bits_per_byte).all() and (got.bits_per_byte > 0).all()
+    held = got[got.held_out].bits_per_byte
+    assert held[(held.index >= 1000) & (held.index < 2000)].max() < 0.8 * held[(held.index >= 2000) & (held.index < 3000)].min()
+    assert held[held.index < 1000].mean() < 3.5
+
+    texts = [(t or "").encode() for _, t in rows]
+    whole = [np.concatenate([c for b, _ in lm_scoring.running(texts, most) for c in b.bit(3)[1][4:]]) for most in (7, 1 << 20)]
+    assert (whole[0] == whole[1]).all() and len(whole[0]) == sum(len(t) + 1 for t in texts)
+
+
 def test_language_scores_of_nothing(spark):
     assert lm_scoring.language_scores(docs_table(spark, [])).count() == 0
 
