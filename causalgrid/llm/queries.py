@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from causalgrid.llm import ann, lm_scoring, near_dedup, packing, quality_rules, sentencepiece_lattice, sharding, suffix_dedup, token_counts, toxicity
+from causalgrid.llm import ann, lexical, lm_scoring, near_dedup, packing, passages, quality_rules, sentencepiece_lattice, sharding, spelling, suffix_dedup, token_counts, toxicity
 from causalgrid.session import pin_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,3 +131,54 @@ def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded and decoded: number, sum and ordered crc32 of the ids, bytes among them, and whether the text comes back."""
     return sentencepiece_lattice.piece_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query()
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All frequent words of the documents with their near words, forms and roots."""
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"), damage=199)
+
+
+@query(
+    r"""
+with parts as (
+  select doc_id, row_number() over () as r, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') as words
+  from documents),
+windows as (
+  select r, doc_id, i, array_to_string(words[i:i + 49], ' ') as w from (select r, doc_id, words, unnest(range(1, len(words) - 48)) as i from parts)),
+first as (select w, min(doc_id) as least from windows group by w),
+again as (select r, i from windows join first using (w) where least < doc_id),
+gone as (select distinct r, p from (select r, unnest(range(i, i + 50)) as p from again)),
+kept as (
+  select r, string_agg(word, ' ' order by p) as t, count(*) as n
+  from (select r, unnest(words) as word, unnest(range(1, len(words) + 1)) as p from parts) anti join gone using (r, p) group by r)
+select doc_id, len(words)::bigint as n_words, (len(words) - coalesce(n, 0))::bigint as n_removed, sha256(coalesce(t, '')) as kept_sha256
+from parts left join kept using (r)"""
+)
+def op12_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the windows of 50 words that an earlier document has."""
+    return passages.without_passages(table(spark, sf_dir, "documents")).drop("kept")
+
+
+@query(
+    r"""
+with terms as (
+  select doc_id, row_number() over () as r,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as own
+  from documents),
+totals as (select count(*)::bigint as n_docs, sum(len(own))::bigint as n_terms from terms where len(own) > 0),
+asked as (
+  select item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from benchmark),
+counted as (select r, doc_id, n, term, count(*)::bigint as tf from (select r, doc_id, len(own)::bigint as n, unnest(own) as term from terms) group by all),
+weighted as (
+  select term, floor(1000 * ln((2 * n_docs + 2)::double / (2 * count(*) + 1)))::bigint as w from counted, totals group by term, n_docs),
+scored as (
+  select item_id, doc_id, r, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms))))::bigint as score
+  from asked join counted using (term) join weighted using (term), totals group by item_id, doc_id, r),
+best as (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from scored where score > 0)
+select item_id, rank::int as rank, doc_id, score from best where rank <= 10"""
+)
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best documents of each benchmark item."""
+    return lexical.ranked(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"), k=10)
