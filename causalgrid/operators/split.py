@@ -13,37 +13,45 @@ INDEX, TOTAL = "row_index", "n_rows"
 def with_row_index(df: DataFrame, grid: Grid = Grid()) -> DataFrame:
     """Number the rows of each key in time order from 0 and add their count.
 
-    Rows are numbered inside chunks; the chunks' counts, one row each, give the offsets.
+    Rows are numbered inside chunks; the chunks' counts, one row each, give the offsets. NULL is a key like any
+    other; rows without a time have no place in an order and are left out (``regular.unplaced`` has them).
     """
-    placed = grid.placed(df)
+    placed = grid.placed(df.where(F.col(grid.ts).isNotNull()))
     counts = placed.groupBy(*grid.keys, CHUNK).agg(F.count("*").alias("_n"))
     order = Window.partitionBy(*grid.keys).orderBy(CHUNK)
+    own = [F.col(k).alias(f"_own_{k}") for k in grid.keys]
     offsets = counts.select(
-        *grid.keys,
-        CHUNK,
+        *own,
+        F.col(CHUNK).alias("_own_chunk"),
         F.coalesce(F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"),
         F.sum("_n").over(Window.partitionBy(*grid.keys)).alias(TOTAL),
     )
-    joined = placed.join(offsets, [*grid.keys, CHUNK])
+    same = F.col(CHUNK) == F.col("_own_chunk")
+    for k in grid.keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_own_{k}"))
+    joined = placed.join(offsets, same).drop("_own_chunk", *[f"_own_{k}" for k in grid.keys])
     here = F.row_number().over(Window.partitionBy(*grid.keys, CHUNK).orderBy(POS, grid.ts)) - 1
     return joined.withColumn(INDEX, F.col("_offset") + here).drop("_offset", POS, CHUNK)
 
 
+def marked(indexed: DataFrame, test_rows: int) -> DataFrame:
+    """Add ``split``: ``test`` for the last ``test_rows`` rows of a key, ``train`` before, NULL where a key has fewer than twice as many."""
+    role = F.when(F.col(INDEX) >= F.col(TOTAL) - test_rows, "test").otherwise("train")
+    return indexed.withColumn("split", F.when(F.col(TOTAL) >= 2 * test_rows, role))
+
+
 def temporal_split(df: DataFrame, test_rows: int = 168, grid: Grid = Grid(), strict: bool = True) -> DataFrame:
-    """Add ``split``: the last ``test_rows`` ready rows of each key are ``test``.
+    """Ready rows with ``split`` (see ``marked``).
 
-    A key with fewer than twice as many rows is an error, or dropped with ``strict=False``.
+    A key with too few rows to split is an error; with ``strict=False`` its rows stay and have none.
     """
     ready = df.where("feature_ready") if "feature_ready" in df.columns else df
-    indexed = with_row_index(ready, grid)
-    enough = F.col(TOTAL) >= 2 * test_rows
-    if strict:
-        keys = F.concat_ws("/", *[F.col(k) for k in grid.keys])
-        message = F.concat(F.lit("too few rows to split: "), keys)
-        indexed = indexed.where(F.when(enough, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
-    else:
-        indexed = indexed.where(enough)
-    return indexed.withColumn("split", F.when(F.col(INDEX) >= F.col(TOTAL) - test_rows, "test").otherwise("train"))
+    indexed = marked(with_row_index(ready, grid), test_rows)
+    if not strict:
+        return indexed
+    keys = F.concat_ws("/", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in grid.keys])
+    message = F.concat(F.lit("too few rows to split: "), keys)
+    return indexed.withColumn("split", F.when(F.col("split").isNotNull(), F.col("split")).otherwise(F.raise_error(message)))
 
 
 def fold_bounds(fold: Column, folds: int, gap: int) -> tuple[Column, Column, Column]:
