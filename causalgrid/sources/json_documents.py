@@ -76,22 +76,35 @@ def cube_regions(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     return pairs.groupBy("region_code").agg(F.max(text.strip_code_suffix(F.col("region_name"))).alias("region_name"))
 
 
-def rate_rows(payloads: DataFrame, payload: str = "payload") -> DataFrame:
-    """Observations of a rate series in any of three shapes, missing ones left out."""
+def rate_records(payloads: DataFrame, payload: str = "payload") -> DataFrame:
+    """Every observation of a rate series in any of three shapes: typed, or with ``reject_reason``; a document without any has one row."""
     wrapped, bare = F.from_json(payload, RATES), F.from_json(payload, _OBS)
     grouped = F.flatten(F.transform(wrapped["groups"], lambda g: F.coalesce(g["observations"], F.array().cast(_OBS))))
     found = F.coalesce(F.when(F.size(grouped) > 0, grouped), wrapped["observations"], bare)
-    rows = payloads.select(*_others(payloads, payload), F.inline(found))
+    others = _others(payloads, payload)
+    empty = (F.coalesce(F.size(found), F.lit(0)) <= 0).alias("_empty")
+    rows = payloads.select(*others, empty, F.inline_outer(found))
     shown = F.upper(F.trim(F.coalesce("value", F.lit("NA"))))
-    rows = rows.where((F.length(F.coalesce("date", F.lit(""))) > 0) & ~shown.isin(*NO_RATE))
     rate = text.locale_double(F.col("value"))
-    typed = rows.select(
-        *_others(payloads, payload),
+    reason = (
+        F.when(F.col("_empty"), "unreadable")
+        .when(F.length(F.coalesce("date", F.lit(""))) == 0, "no_date")
+        .when(shown.isin(*NO_RATE), "missing")
+        .when(rate.isNull(), "bad_value")
+    )
+    return rows.select(
+        *others,
         F.col("date").alias("raw_date_str"),
         periods.day_start(F.col("date")).alias("effective_date_utc"),
         rate.alias("policy_rate_pct"),
+        F.col("value").alias("raw_value"),
+        reason.alias("reject_reason"),
     )
-    return typed.where(F.col("policy_rate_pct").isNotNull())
+
+
+def rate_rows(payloads: DataFrame, payload: str = "payload") -> DataFrame:
+    """The observations that can be read; ``rate_records`` has the others too."""
+    return rate_records(payloads, payload).where("reject_reason is null").drop("raw_value", "reject_reason")
 
 
 def weather_rows(payloads: DataFrame, payload: str = "payload") -> DataFrame:

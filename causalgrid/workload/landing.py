@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 
 from causalgrid.session import scratch_path
 from causalgrid.streaming import landing
+from causalgrid.sources import market_xml
+from causalgrid.workload.fixtures import with_views
 from causalgrid.workload.registry import query
+from causalgrid.workload.sources import _UNREADABLE, DAMAGED, READABLE, damaged_documents
 
 
 @query(
@@ -25,3 +28,29 @@ def incremental_landing(spark, sf_dir):
         points = landing.read_points(spark, sf_dir, schema, "events.parquet").select(zone, hour, "event_id", "value")
         landing.land(points, path, scratch_path(spark, "offsets"), ["event_id"]).awaitTermination()
     return spark.read.parquet(path)
+
+
+@query(
+    with_views(
+        f"""select 'landed' as kind, zone, count(*) as n, sum(round(load_mw, 2)) as total from ({READABLE}) group by zone
+            union all select reason, zone, count(*), null from ({_UNREADABLE}) group by 1, 2""",
+        "grid_hourly",
+        damaged=DAMAGED,
+    ),
+    doubles="total",
+    digits=1,
+)
+def raw_incremental_landing(spark, sf_dir):
+    """R-01 on raw documents: parsed, checked and landed in the stream; the drop comes twice, the second time as a stream of its own."""
+    drop, path, rejects = (scratch_path(spark, x) for x in ("drop", "landed", "rejects"))
+    docs = damaged_documents(spark, sf_dir)
+    # one document a file, in folders that say zone and day; zones are taken from the path
+    docs.repartition("zone", "day").write.partitionBy("zone", "day").text(drop)
+    for _ in range(2):
+        raw = landing.read_documents(spark, drop, "*.txt", files_per_batch=50)
+        zone = F.regexp_extract("file_path", "/zone=([^/]+)/", 1)
+        named = raw.select("file_name", "file_path", "payload", zone.alias("zone"), F.lit("2024-03-01T00:00Z").alias("ingested"))
+        landing.land_documents(named, market_xml.LOAD, path, rejects, scratch_path(spark, "offsets")).awaitTermination()
+    landed = spark.read.parquet(path).groupBy(F.lit("landed").alias("kind"), "zone").agg(F.count("*").alias("n"), F.sum("load_mw").alias("total"))
+    bad = spark.read.parquet(rejects).groupBy(F.col("reject_reason").alias("kind"), "zone").agg(F.count("*").alias("n"))
+    return landed.unionByName(bad.withColumn("total", F.lit(None).cast("double")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from causalgrid.functions import text
-from causalgrid.session import scratch_path
+from causalgrid.session import materialize, scratch_path
 from causalgrid.sources import json_documents, market_xml, payloads, tables
 from causalgrid.workload import fixtures as fx
 from causalgrid.workload.fixtures import table, with_views
@@ -91,6 +91,83 @@ def price_files(spark, sf_dir):
     return market_xml.points(market_xml.read_series(spark, path, market_xml.PRICE), market_xml.PRICE)
 
 
+def damaged_documents(spark, sf_dir):
+    """Load documents of which every tenth day is damaged in some way: no start, cut short, an error, no period, no points."""
+    day = F.dayofmonth("day") % 10
+    hour = F.hour("timestamp_utc") + 1
+    g = fx.grid_hourly(spark, sf_dir).where("load_mw is not null")
+    position = F.when(hour == 7, F.lit("x")).otherwise(hour.cast("string"))
+    value = F.when(hour == 5, F.lit("n/a")).otherwise(F.round("load_mw", 2).cast("decimal(18,2)").cast("string"))
+    point = F.concat(F.lit("<Point><position>"), position, F.lit("</position><quantity>"), value, F.lit("</quantity></Point>"))
+    days = g.groupBy("zone", F.date_trunc("day", "timestamp_utc").alias("day")).agg(F.array_join(F.array_sort(F.collect_list(point)), "").alias("points"))
+    start = F.when(day == 3, F.lit("soon")).otherwise(F.date_format("day", "yyyy-MM-dd'T'HH:mm'Z'"))
+    inside = F.when(day == 7, F.lit("")).otherwise(F.col("points"))
+    period = F.concat(F.lit("<Period><timeInterval><start>"), start, F.lit("</start></timeInterval><resolution>PT60M</resolution>"), inside, F.lit("</Period>"))
+    later = F.when(day == 8, F.replace(period, F.lit("<position>"), F.lit("<position>9"))).otherwise(F.lit(""))
+    series = F.concat(F.lit("<TimeSeries>"), F.when(day == 6, F.lit("<mRID>1</mRID>")).otherwise(F.concat(period, later)), F.lit("</TimeSeries>"))
+    whole = F.concat(F.lit('<?xml version="1.0"?><MarketDocument>'), series, F.lit("</MarketDocument>"))
+    error = F.lit('<?xml version="1.0"?><Ack><Reason><code>999</code><text>none</text></Reason></Ack>')
+    payload = F.when(day == 4, F.expr("left(payload, length(payload) div 2)")).when(day == 5, error).otherwise(F.col("payload"))
+    return days.withColumn("payload", whole).select("zone", "day", payload.alias("payload"))
+
+
+DAMAGED = """
+    select zone, timestamp_utc, load_mw, day(timestamp_utc) % 10 as d, hour(timestamp_utc) as h, date_trunc('day', timestamp_utc) as day
+    from grid_hourly where load_mw is not null"""
+READABLE = "select zone, timestamp_utc, load_mw from damaged where d not in (3, 4, 5, 6, 7) and h not in (4, 6)"
+_UNREADABLE = """
+    select 'point' as level, case when d = 3 then 'no_start' when h = 6 then 'bad_position' else 'bad_value' end as reason, zone, day
+    from damaged where d = 3 or (d not in (4, 5, 6, 7) and h in (4, 6))
+    union all select case when d in (6, 7) then 'series' else 'document' end, case d when 4 then 'unreadable' when 5 then 'error_document' when 6 then 'no_period' else 'no_points' end, zone, day
+    from (select distinct d, zone, day from damaged where d in (4, 5, 6, 7))"""
+
+
+@query(
+    with_views(
+        f"select 'load' as source, level, reason, count(*) as n from ({_UNREADABLE}) group by all union all select 'load', 'accepted', null, count(*) from ({READABLE})",
+        "grid_hourly",
+        damaged=DAMAGED,
+    )
+)
+def reject_counts(spark, sf_dir):
+    """S-01, S-04 and S-07: accepted and rejected points, series and documents add up; the counts are observed while rows are written."""
+    series = market_xml.parse_series(damaged_documents(spark, sf_dir), market_xml.LOAD)
+    rows, seen = market_xml.counted(market_xml.point_rows(series, market_xml.LOAD), "load")
+    stored = materialize(rows, "load-points")
+    told = [("load", "accepted", None, seen.get["accepted"])]
+    counts = stored.where("reject_reason is not null").groupBy(F.lit("load").alias("source"), F.col("reject_level").alias("level"), F.col("reject_reason").alias("reason"))
+    return counts.agg(F.count("*").alias("n")).unionByName(spark.createDataFrame(told, "source string, level string, reason string, n long"))
+
+
+@query(
+    with_views(
+        "select zone, timestamp_utc, round(load_mw, 2) as load_mw, 60 as resolution_minutes from damaged where d = 8 and h not in (4, 6)",
+        "grid_hourly",
+        damaged=DAMAGED,
+    ),
+    doubles="load_mw",
+    digits=2,
+)
+def first_period_only(spark, sf_dir):
+    """S-05: documents with two periods give the points of the first."""
+    two = damaged_documents(spark, sf_dir).where(F.dayofmonth("day") % 10 == 8).drop("day")
+    return market_xml.points(market_xml.parse_series(two, market_xml.LOAD), market_xml.LOAD)
+
+
+@query(
+    """select event_id, case when event_id % 3 < 2 then 'A65' else '' end as document, case when event_id % 3 < 2 then 'SE' || (user_id % 4 + 1) else '' end as zone,
+              case when event_id % 3 < 2 then strftime(ts, '%Y-%m-%dT%H:%M') else '' end as period_from, case when event_id % 3 < 2 then '2024-02-01' else '' end as period_to,
+              case when event_id % 3 < 2 then '2024-03-01T00:00:00Z' else '' end as ingested from events"""
+)
+def file_name_parts(spark, sf_dir):
+    """S-06: document, zone and periods from file names, zipped or not; other names give nothing."""
+    e = table(spark, sf_dir, "events")
+    zone = F.concat(F.lit("SE"), (F.col("user_id") % 4 + 1).cast("string"))
+    ending = F.element_at(F.array(F.lit(".xml"), F.lit(".xml.gz"), F.lit(".csv")), (F.col("event_id") % 3 + 1).cast("int"))
+    name = F.concat(F.lit("A65_"), zone, F.lit("_"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm"), F.lit("_2024-02-01_2024-03-01T00:00:00Z"), ending)
+    return e.select("event_id", *[c.alias(n) for n, c in payloads.name_parts(name).items()])
+
+
 @query("select doc_id, doc_id % 3 = 0 as is_error from documents")
 def error_documents(spark, sf_dir):
     """S-07: every third document gives a reason with a code behind its whole text; the others hold both words apart."""
@@ -162,14 +239,36 @@ def cube_metadata(spark, sf_dir):
 )
 def rate_documents(spark, sf_dir):
     """S-10: three shapes of answer, missing marks and decimal commas."""
+    return json_documents.rate_rows(rate_payloads(spark, sf_dir))
+
+
+@query(
+    with_views(
+        """select case when month(effective_date_utc) = 6 then 'missing' when month(effective_date_utc) = 7 then 'bad_value' when month(effective_date_utc) = 8 then 'no_date' end as reason,
+                  count(*) as n from policy_rate group by 1 union all select 'unreadable', 2""",
+        "policy_rate",
+    )
+)
+def rate_rejects(spark, sf_dir):
+    """S-10: observations that cannot be read, by reason, beside those that can."""
+    odd = spark.createDataFrame([("{broken",), (None,)], "payload string")
+    rows = json_documents.rate_records(rate_payloads(spark, sf_dir, damaged=True).unionByName(odd))
+    return rows.groupBy(F.col("reject_reason").alias("reason")).agg(F.count("*").alias("n"))
+
+
+def rate_payloads(spark, sf_dir, damaged=False):
     r = fx.policy_rate(spark, sf_dir)
     missing = F.when(F.year("effective_date_utc") % 2 == 0, " n/a ").otherwise("..")
     shown = F.when(F.month("effective_date_utc") == 6, missing).otherwise(F.replace(F.col("policy_rate_pct").cast("string"), F.lit("."), F.lit(",")))
-    obs = F.struct(F.date_format("effective_date_utc", "yyyy-MM-dd").alias("date"), shown.alias("value"))
+    date = F.date_format("effective_date_utc", "yyyy-MM-dd")
+    if damaged:
+        shown = F.when(F.month("effective_date_utc") == 7, F.lit("1,2,3x")).otherwise(shown)
+        date = F.when(F.month("effective_date_utc") == 8, F.lit("")).otherwise(date)
+    obs = F.struct(date.alias("date"), shown.alias("value"))
     years = r.groupBy((F.year("effective_date_utc") % 3).alias("shape"), F.year("effective_date_utc").alias("y")).agg(F.collect_list(obs).alias("observations"))
     grouped = F.to_json(F.struct(F.array(F.struct(F.lit("x").alias("seriesId"), "observations")).alias("groups")))
     payload = F.when(F.col("shape") == 0, grouped).when(F.col("shape") == 1, F.to_json(F.struct("observations"))).otherwise(F.to_json("observations"))
-    return json_documents.rate_rows(years.select(payload.alias("payload")))
+    return years.select(payload.alias("payload"))
 
 
 @query(

@@ -8,7 +8,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from causalgrid.operators import validate
-from causalgrid.plans import training
 from causalgrid.sources import json_documents as docs
 from causalgrid.sources import market_xml as mx
 from causalgrid.sources import payloads, sinks, tables
@@ -147,11 +146,70 @@ def test_landing_merges_restated_hours_of_any_age(spark, tmp_path):
     assert sorted(r.x for r in out.where("version = 2").collect()) == [1003.0, 1059.0]
 
 
-def test_a_failing_zone_does_not_stop_the_others():
-    def work(zone):
-        if zone == "SE2":
-            raise ValueError("no data")
-        return zone.lower()
-
-    done, failed = training.per_zone(["SE1", "SE2", "SE3"], work, 2)
-    assert done == {"SE1": "se1", "SE3": "se3"} and failed == {"SE2": "ValueError: no data"}
+# --- what cannot be read ---------------------------------------------------------------------------
+
+
+def test_every_point_is_accounted_for(spark):
+    whole = document()
+    rows = [
+        ("a", whole),
+        ("b", document(start="soon")),
+        ("c", whole[: len(whole) // 2]),
+        ("d", None),
+        ("e", "<Ack><Reason><code>999</code></Reason></Ack>"),
+        ("f", "<Doc><TimeSeries><mRID>1</mRID></TimeSeries></Doc>"),
+        ("g", document(points="")),
+        ("h", document(points="<Point><position>x</position><quantity>1</quantity></Point><Point><position>2</position></Point>")),
+        ("i", ""),
+    ]
+    df = spark.createDataFrame([("SE3", i, x) for i, x in rows], "zone string, name string, payload string")
+    out, seen = mx.counted(mx.point_rows(mx.parse_series(df, mx.LOAD), mx.LOAD), "points")
+    got = sorted((r.name, r.reject_level or "", r.reject_reason or "") for r in out.collect())
+    assert got == [
+        ("a", "", ""), ("a", "", ""), ("a", "", ""), ("a", "point", "bad_value"),
+        ("b", "point", "no_start"), ("b", "point", "no_start"), ("b", "point", "no_start"), ("b", "point", "no_start"),
+        ("c", "document", "unreadable"), ("d", "document", "no_payload"), ("e", "document", "error_document"),
+        ("f", "series", "no_period"), ("g", "series", "no_points"), ("h", "point", "bad_position"), ("h", "point", "bad_value"), ("i", "document", "unreadable"),
+    ]
+    assert seen.get == {"accepted": 3, "rejected_point": 7, "rejected_series": 2, "rejected_document": 4}
+    assert mx.points(mx.parse_series(df, mx.LOAD), mx.LOAD).count() == 3
+    assert mx.rejects(mx.parse_series(df, mx.LOAD), mx.LOAD).count() == 13
+
+
+def test_rate_records_say_why(spark):
+    rows = [json.dumps([{"date": "2024-01-02", "value": "4,00"}, {"date": "", "value": "1"}, {"value": "2"}, {"date": "2024-01-03", "value": "x"}, {"date": "2024-01-04"}]), "{", None, "[]"]
+    got = docs.rate_records(spark.createDataFrame([(x,) for x in rows], "payload string")).collect()
+    assert sorted((r.reject_reason or "", r.policy_rate_pct or 0.0) for r in got)[0] == ("", 4.0)
+    assert sorted(r.reject_reason or "" for r in got) == ["", "bad_value", "missing", "no_date", "no_date", "unreadable", "unreadable", "unreadable"]
+
+
+def test_raw_documents_landed_twice_are_landed_once(spark, tmp_path):
+    drop, path, rejects = (str(tmp_path / x) for x in ("drop", "landed", "rejects"))
+
+    def put(folder, name, text):
+        (tmp_path / "drop" / folder).mkdir(parents=True, exist_ok=True)
+        with (gzip.open if name.endswith("gz") else open)(tmp_path / "drop" / folder / name, "wt") as f:
+            f.write(text)
+
+    def run(checkpoint):
+        raw = landing.read_documents(spark, drop, "*.xml*", files_per_batch=2)
+        landing.land_documents(raw, mx.LOAD, path, rejects, str(tmp_path / checkpoint)).awaitTermination()
+        points = spark.read.parquet(path).select("zone", "timestamp_utc", "load_mw").collect()
+        bad = spark.read.parquet(rejects).select("zone", "file_name", "reject_level", "reject_reason").collect()
+        return sorted(map(tuple, points)), sorted((tuple(r) for r in bad), key=str)
+
+    put("a", "A65_SE1_2024-01-15T0000Z_2024-01-16T0000Z_2024-01-20T0000Z.xml", document())
+    put("a", "A65_SE2_2024-01-15T0000Z_2024-01-16T0000Z_2024-01-20T0000Z.xml.gz", document())
+    put("a", "other.xml", document())
+    put("a", "A65_SE3_2024-01-15T0000Z_2024-01-16T0000Z_2024-01-20T0000Z.xml", "<Doc")
+    first = run("one")
+    assert len(first[0]) == 6 and len(first[1]) == 1 + 1 + 4 + 1
+    assert [r[3] for r in first[1]].count("no_zone") == 3
+    assert run("one") == first
+    # the same files once more, from another folder and to a stream of its own
+    put("b", "A65_SE1_2024-01-15T0000Z_2024-01-16T0000Z_2024-01-20T0000Z.xml", document())
+    assert run("two") == first
+    # a later document restates an hour
+    put("c", "A65_SE1_2024-01-15T0000Z_2024-01-16T0000Z_2024-01-21T0000Z.xml", document(points="<Point><position>1</position><quantity>7</quantity></Point>"))
+    again = run("one")
+    assert ("SE1", T0, 7.0) in again[0] and len(again[0]) == 6 and again[1] == first[1]
