@@ -2,9 +2,9 @@
 
 Three ways, all exact:
 
-* ``asof_join`` puts both sides into one sorted stream per (key, chunk of time) and carries the
-  last right row over chunk borders. A chunk with more left rows than a task should hold is dealt
-  out to several tasks, each with the chunk's right rows. Any size, any skew, no pairs of rows.
+* ``asof_join`` puts both sides into one sorted stream per (key, range of time) and carries the
+  last right row over the borders. Ranges are parts of calendar chunks that hold about as many rows of both sides
+  as a task should, however many there are in a chunk. Any size, any skew, no pairs of rows.
 * ``asof_calendar`` is for national series with at most one value a day (policy rate, weekly
   reservoir level). Its broadcast map has one row per day between the first and last value, so
   its size is bounded by the calendar, not by the data.
@@ -20,9 +20,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from causalgrid.operators.chunks import CHUNK, DAY, chunk_edges
+from causalgrid.operators.chunks import CHUNK, DAY
+from causalgrid.operators.keys import with_facts
 
-_TS, _SIDE = "_ts", "_side"
+_TS, _SIDE, _BUCKET, _RANGE = "_ts", "_side", "_bucket", "_range"
+#: Parts of a chunk whose rows are counted; ranges begin at their borders.
+BUCKETS = 4_096
 
 
 @dataclass(frozen=True)
@@ -52,8 +55,40 @@ class Series:
 
 
 def _chunked(df: DataFrame, chunk_seconds: int) -> DataFrame:
+    """Stretches of time, and the part of its stretch a row lies in."""
     width = chunk_seconds * 1_000_000
-    return df.withColumn(CHUNK, F.expr(f"(unix_micros({_TS}) - pmod(unix_micros({_TS}), {width}L)) div {width}L"))
+    since = f"pmod(unix_micros({_TS}), {width}L)"
+    part = F.expr(f"cast(floor({since} / {width / BUCKETS!r}) as int)")
+    return df.withColumns({CHUNK: F.expr(f"(unix_micros({_TS}) - {since}) div {width}L"), _BUCKET: part})
+
+
+def _range_facts(both: DataFrame, by: Sequence[str], slots: Sequence[str], nearest: bool, rows_per_task: int) -> DataFrame:
+    """One row per (key, chunk): its ranges of buckets, each with the last right rows before it, the first ones after it, and its shares.
+
+    Ranges come from the counts of both sides together, so each has ``rows_per_task`` rows and one bucket more at most. Everything
+    here works on one row a bucket, made by one aggregation.
+    """
+    last = [F.max(s).alias(f"_b{s}") for s in slots]
+    first = [F.min(s).alias(f"_a{s}") for s in slots] if nearest else []
+    per_bucket = both.groupBy(*by, CHUNK, _BUCKET).agg(F.count("*").alias("_n"), F.count_if(F.col(_SIDE) == 1).alias("_lefts"), *last, *first)
+    so_far = Window.partitionBy(*by, CHUNK).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    number = F.floor(F.coalesce(F.sum("_n").over(so_far), F.lit(0)) / rows_per_task)
+    per_range = per_bucket.withColumn(_RANGE, number).groupBy(*by, CHUNK, _RANGE).agg(
+        F.min(_BUCKET).alias("start"),
+        F.sum("_lefts").alias("_lefts"),
+        *[F.max(f"_b{s}").alias(f"_b{s}") for s in slots],
+        *([F.min(f"_a{s}").alias(f"_a{s}") for s in slots] if nearest else []),
+    )
+    order = Window.partitionBy(*by)
+    earlier = order.orderBy(CHUNK, _RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    later = order.orderBy(F.col(CHUNK).desc(), F.col(_RANGE).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    ends = [F.last(f"_b{s}", ignorenulls=True).over(earlier).alias(f"_b{s}") for s in slots]
+    if nearest:
+        ends += [F.last(f"_a{s}", ignorenulls=True).over(later).alias(f"_a{s}") for s in slots]
+    shares = F.greatest(F.lit(1), F.ceil(F.col("_lefts") / rows_per_task)).cast("int").alias("shares")
+    edges = per_range.select(*by, CHUNK, _RANGE, "start", shares, *ends)
+    one = F.struct(_RANGE, "start", "shares", *[f"_b{s}" for s in slots], *([f"_a{s}" for s in slots] if nearest else []))
+    return edges.groupBy(*by, CHUNK).agg(F.sort_array(F.collect_list(one)).alias("_ranges"))
 
 
 def asof_join(
@@ -70,7 +105,7 @@ def asof_join(
 
     Several series share one shuffle of the left side. A matched right row whose value is NULL
     wins over an older value. ``nearest`` takes the closer of both neighbours, on a tie the
-    earlier one. A NULL key matches nothing, wherever its rows lie.
+    earlier one. A NULL key matches nothing, wherever its rows lie, and neither does a NULL time.
     """
     rights = [series] if isinstance(series, Series) else list(series)
     by = list(by)
@@ -85,28 +120,25 @@ def asof_join(
 
     slots = [f"_r{i}" for i in range(len(rights))]
     nearest = direction == "nearest"
-    edges = chunk_edges(
-        both,
-        by,
-        before={f"_b{s}": F.col(s) for s in slots},
-        after={f"_a{s}": F.col(s) for s in slots} if nearest else {},
-        own={"_lefts": F.count_if(F.col(_SIDE) == 1)},
-    )
-    shares = F.coalesce(F.ceil(F.col("_lefts") / rows_per_task), F.lit(1)).cast("int")
-    joined = both.join(edges, [*by, CHUNK], "left").withColumn("_shares", F.greatest(F.lit(1), shares))
-    everywhere = F.sequence(F.lit(0), F.col("_shares") - 1)
-    one = F.array(F.pmod(F.col("_deal"), F.col("_shares")).cast("int"))
-    joined = joined.withColumn("_share", F.explode(F.when(F.col(_SIDE) == 0, everywhere).otherwise(one)))
-    part = [*by, CHUNK, "_share"]
+    joined = with_facts(both, _range_facts(both, by, slots, nearest, rows_per_task), [*by, CHUNK])
+    began = F.size(F.filter("_ranges", lambda r: F.coalesce(r["start"], F.lit(-1)) <= F.coalesce(F.col(_BUCKET), F.lit(-1))))
+    joined = joined.withColumn("_r", F.element_at("_ranges", began)).drop("_ranges")
+    # left rows of one moment may be many: they are dealt out, each share with the range's right rows
+    everywhere = F.sequence(F.lit(0), F.col("_r.shares") - 1)
+    one = F.array(F.pmod(F.col("_deal"), F.col("_r.shares")).cast("int"))
+    joined = joined.withColumn("_share", F.explode(F.when(F.col(_SIDE) == 0, everywhere).otherwise(one))).withColumn(_RANGE, F.col(f"_r.{_RANGE}"))
+    part = [*by, CHUNK, _RANGE, "_share"]
+    # a join by (key, chunk) would satisfy the windows as it is and keep all ranges of a chunk in one task
+    joined = joined.repartition(*part)
     up = Window.partitionBy(*part).orderBy(_TS, _SIDE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     found = joined.select(
-        "*", *[F.coalesce(F.last(s, ignorenulls=True).over(up), F.col(f"_b{s}")).alias(f"_m{s}") for s in slots]
+        "*", *[F.coalesce(F.last(s, ignorenulls=True).over(up), F.col(f"_r._b{s}")).alias(f"_m{s}") for s in slots]
     )
     if nearest:
         down = Window.partitionBy(*part).orderBy(F.col(_TS).desc(), F.col(_SIDE).desc())
         down = down.rowsBetween(Window.unboundedPreceding, -1)
         found = found.select(
-            "*", *[F.coalesce(F.last(s, ignorenulls=True).over(down), F.col(f"_a{s}")).alias(f"_x{s}") for s in slots]
+            "*", *[F.coalesce(F.last(s, ignorenulls=True).over(down), F.col(f"_r._a{s}")).alias(f"_x{s}") for s in slots]
         )
     out = found.where(F.col(_SIDE) == 1)
     picked: list[Column] = []
@@ -114,8 +146,10 @@ def asof_join(
         match = F.col(f"_m{s}")
         if nearest:
             match = _closer(F.col(f"_m{s}"), F.col(f"_x{s}"))
+        timed = F.col(_TS).isNotNull()
         if tolerance_seconds is not None:
-            match = F.when(_distance(match["at"]) <= tolerance_seconds * 1_000_000, match)
+            timed = timed & (_distance(match["at"]) <= tolerance_seconds * 1_000_000)
+        match = F.when(timed, match)
         picked += [match[n].alias(n) for n in r.names]
     return out.select("_left.*", *picked)
 
