@@ -35,6 +35,10 @@ def _replaced(c: Column, table: dict[str, str]) -> Column:
     return reduce(lambda acc, kv: F.replace(acc, F.lit(kv[0]), F.lit(kv[1])), table.items(), c)
 
 
+# Ranges without characters that normalisation changes or moves.
+MAY_COMPOSE = r"[^\x{0000}-\x{02FF}\x{2002}-\x{20CF}]"
+
+
 def repair_mojibake(c: Column) -> Column:
     # all of them begin with the same letter, and most texts have none of it
     return F.when(F.contains(c, F.lit("Ã")), _replaced(c, MOJIBAKE)).otherwise(c)
@@ -54,11 +58,20 @@ def compose(c: Column) -> Column:
 
 
 @F.pandas_udf(StringType())
-def compose_any(names: pd.Series) -> pd.Series:
-    """NFC for any script; Spark has no built-in for it."""
+def _composed(names: pd.Series) -> pd.Series:
     return names.str.normalize("NFC")
 
 
+def compose_any(c: Column) -> Column:
+    """NFC for any script; Spark has no built-in for it.
+
+    Letters below U+0300 stay as they are under NFC, and so do dashes, quotes and currency signs, so only texts
+    with another character are handed to Python.
+    """
+    c = F.col(c) if isinstance(c, str) else c
+    return F.coalesce(_composed(F.when(c.rlike(MAY_COMPOSE), c)), c)
+
+
 def clean_name(c: Column, any_script: bool = False) -> Column:
     repaired = repair_latin1(repair_mojibake(c))
     return compose_any(repaired) if any_script else compose(repaired)

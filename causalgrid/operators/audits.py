@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from causalgrid.operators.chunks import CHUNK, Grid, chunk_edges
+from causalgrid.operators.chunks import CHUNK, POS, Grid, chunk_edges
+from causalgrid.operators.keys import null_safe_join
 
 
 def coverage(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ("zone",), warn_below: float = 80.0) -> DataFrame:
@@ -35,21 +36,28 @@ def rows_before_first(df: DataFrame, column: str, by: Sequence[str] = ("zone",))
 def gap_audit(df: DataFrame, grid: Grid) -> DataFrame:
     """Steps of more than one and a half units, the largest step, and the rows a full grid lacks.
 
-    Copies of a timestamp are counted together first. Steps are taken inside chunks; the step into
-    a chunk comes from the edge of the ones before.
+    Copies of a timestamp are counted together first, and all times of one step of the grid become one row: its first and last time and the
+    longest way between two. Steps are taken inside chunks of such rows, so data finer than the grid makes no chunk longer; the step into a
+    chunk comes from the edge of the ones before.
     """
     placed = grid.placed(df.groupBy(*grid.keys, grid.ts).agg(F.count("*").alias("_copies")))
-    edges = chunk_edges(placed, grid.keys, before={"_edge": F.col(grid.ts)})
-    w = Window.partitionBy(*grid.keys, CHUNK).orderBy(grid.ts)
-    joined = placed.join(edges, [*grid.keys, CHUNK], "left")
-    earlier = F.coalesce(F.lag(grid.ts).over(w), F.col("_edge"))
-    steps = joined.withColumn("_step", (F.unix_micros(grid.ts) - F.unix_micros(earlier)) / grid.step_micros)
-    span = (F.unix_micros(F.max(grid.ts)) - F.unix_micros(F.min(grid.ts))) / grid.step_micros
+    here = Window.partitionBy(*grid.keys, CHUNK, POS).orderBy(grid.ts)
+    micros = F.unix_micros(F.col(grid.ts))
+    ways = placed.withColumn("_inside", micros - F.lag(micros).over(here))
+    per_step = ways.groupBy(*grid.keys, CHUNK, POS).agg(
+        F.sum("_copies").alias("_copies"), F.count("*").alias("_times"), F.max("_inside").alias("_inside"), F.min(micros).alias("_first"), F.max(micros).alias("_last")
+    )
+    edges = chunk_edges(per_step, grid.keys, before={"_edge": F.col("_last")})
+    w = Window.partitionBy(*grid.keys, CHUNK).orderBy(POS)
+    joined = null_safe_join(per_step, edges, [*grid.keys, CHUNK], "left")
+    before = F.col("_first") - F.coalesce(F.lag("_last").over(w), F.col("_edge"))
+    steps = joined.withColumn("_before", before)
+    unit = grid.step_micros
     return steps.groupBy(*grid.keys).agg(
         F.sum("_copies").alias("n_rows"),
-        F.count_if(F.col("_step") > 1.5).alias("n_gaps"),
-        F.max("_step").alias("largest_gap_h"),
-        (F.floor(span) + 1 - F.count("*")).alias("implicit_gap_hours"),
+        F.count_if(F.col("_before") / unit > 1.5).alias("n_gaps"),
+        (F.max(F.greatest("_before", "_inside")) / unit).alias("largest_gap_h"),
+        (F.floor((F.max("_last") - F.min("_first")) / unit) + 1 - F.sum("_times")).alias("implicit_gap_hours"),
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from causalgrid.functions import labels
+from causalgrid.operators.keys import null_safe_join, with_facts
 from causalgrid.operators.quantiles import exact_quantiles
 
 ERROR_QUANTILES = {"medae": 0.5, "p90_error": 0.9, "p50_error": 0.5}
@@ -41,7 +42,7 @@ def regression_metrics(df: DataFrame, y: str = "y", pred: str = "y_pred", by: Se
     ]
     if bounded:
         return rows.groupBy(*by).agg(*plain, *[F.percentile("abs_error", q).alias(n) for n, q in ERROR_QUANTILES.items()])
-    return rows.groupBy(*by).agg(*plain).join(exact_quantiles(rows, "abs_error", ERROR_QUANTILES, by), by, "left")
+    return null_safe_join(rows.groupBy(*by).agg(*plain), exact_quantiles(rows, "abs_error", ERROR_QUANTILES, by), by, "left")
 
 
 def baseline_metrics(test: DataFrame, y: str = "y", lag: int = 24, by: Sequence[str] = ("zone",)) -> DataFrame:
@@ -64,7 +65,7 @@ def baseline_metrics(test: DataFrame, y: str = "y", lag: int = 24, by: Sequence[
 
 def improvement(metrics: DataFrame, baseline: DataFrame, by: Sequence[str] = ("zone",)) -> DataFrame:
     gain = F.try_divide(F.col("baseline_mae") - F.col("mae"), F.col("baseline_mae")) * 100
-    return metrics.join(baseline, list(by), "left").withColumn("mae_improvement_pct", gain)
+    return null_safe_join(metrics, baseline, list(by), "left").withColumn("mae_improvement_pct", gain)
 
 
 def residual_summary(df: DataFrame, by: Sequence[str] = ("zone",)) -> DataFrame:
@@ -75,14 +76,17 @@ def residual_summary(df: DataFrame, by: Sequence[str] = ("zone",)) -> DataFrame:
 
 
 def residual_histogram(df: DataFrame, by: Sequence[str] = ("zone",)) -> DataFrame:
-    """Equal bins from least to greatest; their number grows with the rows, from 20 to 80."""
+    """Equal bins from least to greatest; their number grows with the rows, from 20 to 80.
+
+    Each key's span is sent to the residuals where keys are few, so that only counts of bins are shuffled.
+    """
     by = list(by)
     bins = F.least(F.lit(80), F.greatest(F.lit(20), F.floor(F.col("_n") / 200))).cast("int")
     span = df.groupBy(*by).agg(F.count("error").alias("_n"), F.min("error").alias("_lo"), F.max("error").alias("_hi"))
     span = span.select(*by, "_lo", "_hi", bins.alias("n_bins"))
     share = F.try_divide(F.col("error") - F.col("_lo"), F.col("_hi") - F.col("_lo"))
     index = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * F.col("n_bins")), F.col("n_bins") - 1).cast("int")
-    binned = df.where(F.col("error").isNotNull()).join(span, by).withColumn("bin", index)
+    binned = with_facts(df.where(F.col("error").isNotNull()), span, by).withColumn("bin", index)
     left = F.col("_lo") + F.col("bin") * (F.col("_hi") - F.col("_lo")) / F.col("n_bins")
     return binned.groupBy(*by, "bin", left.alias("bin_from"), "n_bins").agg(F.count("*").alias("n"))
 

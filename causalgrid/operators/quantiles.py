@@ -12,20 +12,22 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from causalgrid.operators.keys import null_safe_join
+
 STRETCHES = 128
 
 
 def exact_quantiles(df: DataFrame, value: str, quantiles: Mapping[str, float], by: Sequence[str] = ("zone",)) -> DataFrame:
     """One row per key with a column per quantile, linear between the two nearest ranks.
 
-    Equal values are counted together before anything is ranked. NULL values are left out.
+    Equal values are counted together before anything is ranked. NULL values are left out; a NULL key is a key.
     """
     by = list(by)
     counted = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
     steps = [i / STRETCHES for i in range(1, STRETCHES)]
     splitters = counted.groupBy(*by).agg(F.percentile_approx("_v", steps, 10_000).alias("_split"))
     # one row per key on the right: small, or split by the adaptive skew join
-    placed = counted.join(splitters, by).select(
+    placed = null_safe_join(counted, splitters, by).select(
         *by, "_v", "_n", F.size(F.filter("_split", lambda s: s < F.col("_v"))).alias("_stretch")
     )
     per_stretch = placed.groupBy(*by, "_stretch").agg(F.sum("_n").alias("_rows"))
@@ -40,10 +42,10 @@ def exact_quantiles(df: DataFrame, value: str, quantiles: Mapping[str, float], b
     targets = targets.withColumn("_at", F.explode(ends))
     targets = targets.where((F.col("_at") >= F.col("_before")) & (F.col("_at") < F.col("_before") + F.col("_rows")))
 
-    hit = placed.join(targets.select(*by, "_stretch", "_before").distinct(), [*by, "_stretch"])
+    hit = null_safe_join(placed, targets.select(*by, "_stretch", "_before").distinct(), [*by, "_stretch"])
     up = Window.partitionBy(*by, "_stretch").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = hit.select(*by, "_stretch", "_v", "_n", (F.col("_before") + F.sum("_n").over(up)).alias("_until"))
-    found = ranked.join(targets.drop("_before", "_rows"), [*by, "_stretch"])
+    found = null_safe_join(ranked, targets.drop("_before", "_rows", "_total"), [*by, "_stretch"])
     found = found.where((F.col("_at") < F.col("_until")) & (F.col("_at") >= F.col("_until") - F.col("_n")))
     pairs = found.groupBy(*by, "name").agg(
         F.min_by("_v", "_at").alias("_a"), F.max_by("_v", "_at").alias("_b"), F.max(F.col("_rank") - F.col("_lo")).alias("_w")

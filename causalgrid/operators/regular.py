@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from causalgrid.operators.chunks import CHUNK, POS, Grid, chunk_edges
+from causalgrid.operators.keys import null_safe_join, with_facts
 
 SO_FAR = (Window.unboundedPreceding, Window.currentRow)
 STRICTLY_BEFORE = (Window.unboundedPreceding, -1)
@@ -105,6 +108,32 @@ def _filled(value: Column, at: Column, name: str, limit: int | None, interpolate
     return F.coalesce(value, F.when(within, guess))
 
 
+def _misplaced(grid: Grid) -> Column:
+    no_key = reduce(or_, [F.col(k).isNull() for k in grid.keys], F.lit(False))
+    return F.when(no_key, "no_key").when(F.col(grid.ts).isNull(), "no_time")
+
+
+def unplaced(df: DataFrame, grid: Grid) -> DataFrame:
+    """The rows that have no place on a regular grid, with ``unplaced_reason``: ``no_key``, ``no_time``, or ``off_phase``.
+
+    ``regularize`` makes its series from the others; both together are all rows. The phase of a key is its first timestamp's.
+    """
+    phases = df.groupBy(*grid.keys).agg(F.pmod(F.unix_micros(F.min(grid.ts)), F.lit(grid.step_micros)).alias("_phase"))
+    why = F.coalesce(_misplaced(grid), F.when(grid.offset() != F.col("_phase"), "off_phase"))
+    return with_facts(df, phases, grid.keys).withColumn("unplaced_reason", why).where("unplaced_reason is not null").drop("_phase")
+
+
+def unplaced_counts(df: DataFrame, grid: Grid) -> DataFrame:
+    """How many rows of each key have no place, by reason: the side table of ``regularize``.
+
+    Rows are counted by key and phase before anything is joined.
+    """
+    counted = df.groupBy(*grid.keys, _misplaced(grid).alias("_why"), grid.offset().alias("_off")).agg(F.count("*").alias("_n"), F.min(grid.ts).alias("_first"))
+    first = counted.groupBy(*grid.keys).agg(F.pmod(F.unix_micros(F.min("_first")), F.lit(grid.step_micros)).alias("_phase"))
+    why = F.coalesce("_why", F.when(F.col("_off") != F.col("_phase"), "off_phase")).alias("unplaced_reason")
+    return null_safe_join(counted, first, grid.keys).groupBy(*grid.keys, why).agg(F.sum("_n").alias("n")).where("unplaced_reason is not null")
+
+
 def regularize(
     df: DataFrame,
     grid: Grid,
@@ -122,8 +151,8 @@ def regularize(
     first *n* steps of a gap (a trailing gap repeats the last value), ``ffill`` columns the
     last value for the first *n* steps; ``None`` is without limit. ``flags`` become false on
     new rows and where NULL. ``imputed_flag`` marks rows where ``imputed_from`` was NULL
-    before any filling. Rows off the key's grid, whose phase is its first timestamp, go; with
-    ``check_phase=False`` the caller vouches that there are none. Expects one row per (key,
+    before any filling. Rows off the key's grid, whose phase is its first timestamp, and rows
+    without key or time are left to ``unplaced``; with ``check_phase=False`` the caller vouches that there are none off it. Expects one row per (key,
     timestamp).
     """
     linear, ffill = dict(linear or {}), dict(ffill or {})

@@ -11,7 +11,7 @@ from causalgrid import schemas
 from causalgrid.functions import periods
 from causalgrid.operators import asof, regular, rollup, validate
 from causalgrid.operators.asof import Series
-from causalgrid.operators.chunks import Grid
+from causalgrid.operators.chunks import HOUR, Grid
 from causalgrid.session import materialize
 
 HOUSING = ("smahus_construction_index", "smahus_price_index")
@@ -81,9 +81,14 @@ def see_hydro(hourly: DataFrame, weekly: DataFrame) -> DataFrame:
     return asof.asof_calendar(hourly, known, "_published", [FILL], drop_nulls=False)
 
 
+def _steps(grid: Grid, hours: int) -> int:
+    """Hours as whole steps of the grid."""
+    return hours * HOUR // grid.step_seconds
+
+
 def align_hydro(hourly: DataFrame, weekly: DataFrame, grid: Grid = Grid(), max_interpolated_weeks: int = 2) -> DataFrame:
     """As seen, with gaps drawn as lines for some weeks and held after that."""
-    return regular.fill_gaps(see_hydro(hourly, weekly), grid, linear={FILL: max_interpolated_weeks * WEEK}, hold=[FILL])
+    return regular.fill_gaps(see_hydro(hourly, weekly), grid, linear={FILL: _steps(grid, max_interpolated_weeks * WEEK)}, hold=[FILL])
 
 
 def see_weather(hourly: DataFrame, weather: DataFrame) -> DataFrame:
@@ -157,7 +162,7 @@ def build_silver(
         df = see_hydro(df, hydro)
     gaps = {c: max_weather_gap for c in WEATHER} if weather is not None else {}
     if hydro is not None:
-        gaps[FILL] = max_interpolated_weeks * WEEK
+        gaps[FILL] = _steps(grid, max_interpolated_weeks * WEEK)
     if gaps:
         df = regular.fill_gaps(stage(df, "silver-seen"), grid, linear=gaps, hold=[FILL])
     df = validate.quarantine(df)

@@ -249,6 +249,35 @@ def merge_weather_parameters(spark, sf_dir):
     return rollup.merge_parameters(*hourly, ["zone", "timestamp_utc"])
 
 
+@query(
+    with_views(
+        """select coalesce(t.zone, w.zone) as zone, coalesce(t.hour, w.hour) as timestamp_utc, temperature_c, wind_speed_ms,
+                  coalesce(t.a, false) or coalesce(w.a, false) as is_anomaly, t.q as quality_flag_temp, w.q as quality_flag_wind, coalesce(t.s, w.s) as station_id
+           from (select zone, date_trunc('hour', timestamp_utc) as hour, avg(temperature_c) as temperature_c, bool_or(is_anomaly) as a,
+                        max(case when event_id % 5 > 0 then 'G' else 'Y' end) as q, min(event_id % 9)::int as s
+                 from weather_obs where event_id % 3 > 0 group by 1, 2) t
+           full join (select zone, date_trunc('hour', timestamp_utc) as hour, avg(wind_speed_ms) as wind_speed_ms, bool_or(is_anomaly) as a,
+                        max(case when event_id % 4 > 0 then 'G' else 'R' end) as q, max(event_id % 9)::int as s
+                 from weather_obs where event_id % 3 < 2 group by 1, 2) w on t.zone = w.zone and t.hour = w.hour""",
+        "weather_obs",
+    ),
+    doubles="temperature_c wind_speed_ms",
+)
+def merge_weather_quality(spark, sf_dir):
+    """J-07: both quality flags and the station survive, whichever side an hour comes from."""
+    obs = fx.weather_obs(spark, sf_dir).withColumn("timestamp_utc", F.date_trunc("hour", "timestamp_utc"))
+
+    def hourly(part, value, quality, pick):
+        by = obs.where(part).groupBy("zone", "timestamp_utc")
+        flag = F.max(F.when(quality > 0, "G").otherwise("Y" if value == "temperature_c" else "R"))
+        station = pick(F.col("event_id") % 9).cast("int").alias("station_id")
+        return by.agg(F.avg(value).alias(value), F.bool_or("is_anomaly").alias("is_anomaly"), flag.alias("quality_flag"), station)
+
+    temperature = hourly("event_id % 3 > 0", "temperature_c", F.col("event_id") % 5, F.min)
+    wind = hourly("event_id % 3 < 2", "wind_speed_ms", F.col("event_id") % 4, F.max)
+    return rollup.merge_parameters(temperature, wind, ["zone", "timestamp_utc"])
+
+
 @query(
     with_views("select h.*, bidding_zone from housing_kommun h left join kommun_zone using (kommunkod)", "housing_kommun", "kommun_zone"),
     doubles="smahus_construction_index smahus_price_index",

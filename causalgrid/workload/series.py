@@ -75,6 +75,20 @@ def calendar_fill(spark, sf_dir):
     return filled_grid(spark, sf_dir)
 
 
+@query(
+    """select zone, why as unplaced_reason, count(*) as n from (
+         select zone, case when zone is null then 'no_key' when ts is null then 'no_time' when epoch_us(ts) % 60000000 <> epoch_us(min(ts) over (partition by zone)) % 60000000 then 'off_phase' end as why
+         from (select case when event_id % 7 > 0 then 'SE' || (user_id % 4 + 1)::varchar end as zone, case when event_id % 11 > 0 then ts end as ts from events))
+       where why is not null group by all"""
+)
+def unplaced_rows(spark, sf_dir):
+    """W-10: events on a grid of minutes; rows without zone or time, and those off their zone's grid, are counted by reason."""
+    e = fx.table(spark, sf_dir, "events")
+    zone = F.when(F.col("event_id") % 7 > 0, F.concat(F.lit("SE"), (F.col("user_id") % 4 + 1).cast("string")))
+    rows = e.select(zone.alias("zone"), F.when(F.col("event_id") % 11 > 0, F.col("ts")).alias("timestamp_utc"))
+    return regular.unplaced_counts(rows, Grid(step_seconds=60))
+
+
 @query(
     with_views(
         """select zone, count(*) as n_rows, count_if(gap > 1.5) as n_gaps, max(gap) as largest_gap_h,

@@ -279,7 +279,85 @@ def test_split_refuses_short_zones(spark):
     assert split.temporal_split(df, 5).where("split = 'test'").count() == 5
     with pytest.raises(PySparkException, match="too few rows"):
         split.temporal_split(df, 6).collect()
-    assert split.temporal_split(df, 6, strict=False).count() == 0
+    kept = split.temporal_split(df, 6, strict=False)
+    assert kept.count() == 10 and kept.where("split is null").count() == 10
+
+
+def test_row_index_has_null_keys_and_leaves_out_null_times(spark):
+    rows = [(z, T0 + i * HOUR) for z in ("SE1", None) for i in range(7)] + [("SE1", None), (None, None)]
+    df = frame(spark, rows, "zone string, timestamp_utc timestamp")
+    got = split.with_row_index(df, Grid(chunk_steps=3)).collect()
+    assert sorted((r.zone or "", r.row_index, r.n_rows) for r in got) == sorted((z, i, 7) for z in ("SE1", "") for i in range(7))
+    lost = {(r.zone, r.unplaced_reason): r.n for r in regular.unplaced_counts(df, Grid()).collect()}
+    assert lost == {(None, "no_key"): 8, ("SE1", "no_time"): 1}
+
+
+def test_rows_without_a_place_are_counted(spark):
+    off = dt.timedelta(minutes=7)
+    rows = [("SE1", T0 + off), ("SE1", T0 + HOUR), ("SE1", T0 + HOUR + off), ("SE2", T0 + HOUR), (None, T0), ("SE1", None), (None, None)]
+    df = frame(spark, rows, "zone string, timestamp_utc timestamp").withColumn("v", F.lit(1.0))
+    bad = regular.unplaced(df, Grid()).collect()
+    assert sorted((r.zone or "", r.unplaced_reason) for r in bad) == [("", "no_key"), ("", "no_key"), ("SE1", "no_time"), ("SE1", "off_phase")]
+    counted = {(r.zone, r.unplaced_reason): r.n for r in regular.unplaced_counts(df, Grid()).collect()}
+    assert counted == {(None, "no_key"): 2, ("SE1", "no_time"): 1, ("SE1", "off_phase"): 1}
+    assert regular.regularize(df, Grid()).where("v is not null").count() + len(bad) == len(rows)
+
+
+def test_asof_join_splits_right_rows_of_one_chunk(spark):
+    """Many right rows of one key and chunk are dealt to ranges; no range holds many more than asked for."""
+    n = 20_000
+    left = spark.range(500).select(F.lit("SE1").alias("zone"), F.timestamp_seconds(F.col("id") * 5_000 + 17).alias("timestamp_utc"))
+    right = spark.range(n).select(F.lit("SE1").alias("zone"), F.timestamp_seconds(F.col("id") * 130).alias("t"), F.col("id").alias("v"))
+    for direction in ("backward", "nearest"):
+        got = asof.asof_join(left, Series(right, "t", ("v",)), direction=direction, rows_per_task=1_000).collect()
+        near = (lambda s: s // 130) if direction == "backward" else (lambda s: s // 130 + (s % 130 > 65))
+        assert len(got) == 500
+        for r in got:
+            s = int(r.timestamp_utc.replace(tzinfo=dt.timezone.utc).timestamp())
+            assert r.v == min(n - 1, near(s))
+    both = asof._chunked(left.select("zone", F.col("timestamp_utc").alias("_ts"), F.lit(1).alias("_side"), F.lit(None).cast("int").alias("_r0")).unionByName(
+        right.select("zone", F.col("t").alias("_ts"), F.lit(0).alias("_side"), F.col("v").cast("int").alias("_r0"))), 90 * 86_400)
+    ranges = asof._range_facts(both, ["zone"], ["_r0"], False, 1_000).select(F.explode("_ranges")).count()
+    assert ranges >= 18
+
+
+def test_gap_audit_of_data_finer_than_the_grid(spark):
+    minutes = [0, 1, 2, 59, 60, 200, 200, 201, 620]
+    df = frame(spark, [("SE1", T0 + dt.timedelta(minutes=m)) for m in minutes], "zone string, timestamp_utc timestamp")
+    from causalgrid.operators import audits
+
+    r = audits.gap_audit(df, Grid(chunk_steps=2)).first()
+    assert (r.n_rows, r.n_gaps, round(r.largest_gap_h, 6), r.implicit_gap_hours) == (9, 2, round(419 / 60, 6), 10 + 1 - 8)
+
+
+def test_quantiles_of_a_null_key(spark):
+    rows = [(z, float(v)) for z in ("SE1", None) for v in range(101)]
+    from causalgrid.operators.quantiles import exact_quantiles
+
+    got = {r.zone: (r.a, r.b) for r in exact_quantiles(frame(spark, rows, "zone string, x double"), "x", {"a": 0.5, "b": 0.9}).collect()}
+    assert got == {"SE1": (50.0, 90.0), None: (50.0, 90.0)}
+
+
+def test_composition_asks_python_only_for_what_may_change(spark):
+    from causalgrid.functions import text
+
+    every = [chr(c) for c in range(0x20, 0x30000) if not 0xD800 <= c < 0xE000]
+    import re
+    import unicodedata
+
+    asked = re.compile(text.MAY_COMPOSE.replace("\\x{", "\\u").replace("}", ""))
+    assert all(asked.search(c) for c in every if unicodedata.normalize("NFC", c) != c or unicodedata.combining(c))
+    want = {"e\u0301": "\u00e9", "caf\u00e9 \u2013": "caf\u00e9 \u2013", "\u212b": "\u00c5", None: None, "": ""}
+    df = frame(spark, [(t,) for t in want], "t string")
+    assert dict(map(tuple, df.select("t", text.compose_any(F.col("t"))).collect())) == want
+
+
+def test_settled_station_follows_an_order(spark):
+    rows = [("SE1", T0, 1.0, 2.0, False, 9, 1), ("SE1", T0, 3.0, None, None, 4, 2), ("SE1", T0, None, None, True, 1, None)]
+    df = frame(spark, rows, "zone string, timestamp_utc timestamp, temperature_c double, wind_speed_ms double, is_anomaly boolean, station_id int, seen int")
+    assert rollup.settle_weather(df).first().station_id == 1
+    r = rollup.settle_weather(df, order=["seen"]).first()
+    assert (r.station_id, r.temperature_c, r.wind_speed_ms, r.is_anomaly) == (9, 2.0, 2.0, True)
 
 
 def test_outage_expansion_clips(spark):
