@@ -49,7 +49,9 @@ def raw_incremental_landing(spark, sf_dir):
     for _ in range(2):
         raw = landing.read_documents(spark, drop, "*.txt", files_per_batch=50)
         zone = F.regexp_extract("file_path", "/zone=([^/]+)/", 1)
-        named = raw.select("file_name", "file_path", "payload", zone.alias("zone"), F.lit("2024-03-01T00:00Z").alias("ingested"))
+        # the writer calls the files of one task alike, so the folders belong to the name
+        name = F.regexp_extract("file_path", "([^/]+/[^/]+/[^/]+)$", 1).alias("file_name")
+        named = raw.select(name, "file_path", "payload", zone.alias("zone"), F.lit("2024-03-01T00:00Z").alias("ingested"))
         landing.land_documents(named, market_xml.LOAD, path, rejects, scratch_path(spark, "offsets")).awaitTermination()
     landed = spark.read.parquet(path).groupBy(F.lit("landed").alias("kind"), "zone").agg(F.count("*").alias("n"), F.sum("load_mw").alias("total"))
     bad = spark.read.parquet(rejects).groupBy(F.col("reject_reason").alias("kind"), "zone").agg(F.count("*").alias("n"))

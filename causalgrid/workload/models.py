@@ -18,7 +18,7 @@ from causalgrid.workload.registry import query
 from causalgrid.workload.scoring import SCORED, predicted, residuals
 
 #: A month of hours per zone: shorter slices and a faster rate than a year asks for; rows, features and the rule to stop are whole.
-MONTH = TrainConfig(test_rows=72, folds=3, gap=24, trees=200, patience=5, learning_rate=0.3, depth=4, min_leaf_rows=10)
+MONTH = TrainConfig(test_rows=72, folds=3, gap=24, trees=40, patience=5, learning_rate=0.3, depth=4, min_leaf_rows=10)
 
 
 def gold_table(spark, sf_dir):
