@@ -157,7 +157,9 @@ def keep_good(docs: DataFrame, text_col: str = "text", rules: LineRules = LineRu
     A column ``n_chars`` follows the text where lines were taken out.
     """
     out = fresh(docs, "_quality")
-    kept = with_verdict(docs, out, text_col, rules).where(F.col(out).kept)
+    judged = with_verdict(docs, out, text_col, rules)
+    # a condition on the verdict would be pushed below it and bring copies of its whole expression; it stops at a generator
+    kept = judged.withColumn(out, F.explode(F.array(out))).where(F.col(out).kept)
     changed = F.col(out).failed_lines > 0
     new = {text_col: F.when(changed, F.col(out).clean_text).otherwise(F.col(text_col))}
     if "n_chars" in docs.columns:
