@@ -39,16 +39,11 @@ class LineRules:
     lost_percent: int = 50  # a document that loses more of its word characters is rejected
     words_at_least: int = 50
     repeated_percent: int = 50
-    #: Lines of more words than this fail by boilerplate only if phrases make up ``phrase_percent`` of the words; phrases then
-    #: count between word borders alone. None: any occurrence fails any line.
-    phrase_line_words: int | None = None
+    #: A line of more words than this may mention a phrase; it fails only if phrases make up ``phrase_percent`` of its words.
+    phrase_line_words: int = 20
     phrase_percent: int = 20
 
 
-#: For prose, where a long line may mention a phrase.
-PROSE = LineRules(phrase_line_words=20)
-
-
 def has_boilerplate(small: Column) -> Column:
     """Of a lower-case text."""
     return reduce(lambda a, b: a | b, [small.contains(x) for x in BOILERPLATE])
@@ -57,8 +52,6 @@ def has_boilerplate(small: Column) -> Column:
 def boilerplate_line(line: Column, n: Column, rules: LineRules) -> Column:
     """True where phrases fail a line of ``n`` words."""
     small = F.lower(line)
-    if rules.phrase_line_words is None:
-        return has_boilerplate(small)
     found = F.regexp_extract_all(small, F.lit(PHRASES), F.lit(0))
     share = F.size(F.split(F.array_join(found, " "), " ")) * 100 >= n * rules.phrase_percent
     return has_boilerplate(small) & (F.size(found) > 0) & ((n <= rules.phrase_line_words) | share)

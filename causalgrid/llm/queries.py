@@ -48,7 +48,13 @@ judged as (
       or (len(list_filter(regexp_split_to_array(l, '[\x20\x09-\x0D]+'), lambda w: w <> '')) >= 10
           and len(list_distinct(list_filter(regexp_split_to_array(l, '[\x20\x09-\x0D]+'), lambda w: w <> ''))) * 100
               < 20 * len(list_filter(regexp_split_to_array(l, '[\x20\x09-\x0D]+'), lambda w: w <> '')))
-      or regexp_matches(lower(l), 'all rights reserved|cookie policy|privacy policy|terms of service|terms of use|accept cookies|use cookies|enable javascript|click here|sign in|log in|subscribe to our newsletter|licensed under|powered by')
+      or (regexp_matches(lower(l), '(^|[^\pL\pN_])(all rights reserved|cookie policy|privacy policy|terms of service|terms of use|accept cookies|use cookies|enable javascript|click here|sign in|log in|subscribe to our newsletter|licensed under|powered by)([^\pL\pN_]|$)')
+          and (len(list_filter(regexp_split_to_array(l, '[\x20\x09-\x0D]+'), lambda w: w <> '')) <= 20
+            or 100 * list_sum(list_transform(
+                 regexp_extract_all(regexp_replace(lower(l), '([^\pL\pN_])', '\1\1', 'g'),
+                   '(^|[^\pL\pN_])(all  rights  reserved|cookie  policy|privacy  policy|terms  of  service|terms  of  use|accept  cookies|use  cookies|enable  javascript|click  here|sign  in|log  in|subscribe  to  our  newsletter|licensed  under|powered  by)([^\pL\pN_]|$)', 2),
+                 lambda x: len(string_split(x, '  '))))
+               >= 20 * len(list_filter(regexp_split_to_array(l, '[\x20\x09-\x0D]+'), lambda w: w <> ''))))
     )) as good
   from parts),
 windows as (

@@ -69,6 +69,32 @@ def test_quality_stage_keeps_prose_that_mentions_phrases(spark):
     assert kept == {**{k: t for k, t in rows if k < 11}, 11: f"{own(11)} {own(12)}.", 12: f"{own(13)} {own(14)}."}
 
 
+def test_quality_plan_holds_the_verdict_once(spark):
+    """A condition on the verdict is not pushed below it, which would copy its expression."""
+    df = docs_table(spark, [(1, "a b c.")])
+    plan = lambda x: x._jdf.queryExecution().optimizedPlan().toString()
+    judged, kept = plan(quality_rules.quality_verdicts(df)), plan(quality_rules.keep_good(df))
+    for part in ("filter(", "split(", "aggregate("):
+        assert kept.count(part) <= judged.count(part) + 1
+
+
+def test_quality_rule_and_its_sql_agree_on_phrases(spark):
+    import duckdb
+
+    from causalgrid.llm import queries
+
+    own = " ".join(f"word{k}" for k in range(30))
+    lines = ["design in dialog in", "sign in", "Sign in log in click here", f"{own} privacy policy.", f"{own[:60]} sign in log in sign in, sign in log in.", "catalog in", "we use cookies_now here", "we use cookies!"]
+    rows = [(k, f"{own} {own} x{k}.\n{line}\n{own} y{k}.") for k, line in enumerate(lines)] + [(99, None), (98, "")]
+    got = {r.doc_id: (r.failed_lines, r.lost_chars, r.kept) for r in quality_rules.quality_verdicts(docs_table(spark, rows)).collect()}
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", rows)
+    sql = queries.ORACLE["op10_quality_rules"]
+    want = {r[0]: r[1:] for r in con.execute(f"select doc_id, failed_lines, lost_chars, kept from ({sql})").fetchall()}
+    assert got == want and [got[k][0] for k in range(8)] == [0, 1, 1, 0, 1, 1, 0, 1]
+
+
 def test_quality_on_odd_rows(spark):
     assert quality_rules.quality_verdicts(docs_table(spark, NASTY)).count() == len(NASTY)
     assert quality_rules.quality_verdicts(docs_table(spark, NASTY)).where("kept").count() == 0
