@@ -38,6 +38,23 @@ SHARDS_AT_LEAST = 64
 FULL_ENOUGH = 0.995
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in the vocabulary: printable ones for themselves, the others from U+0100 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(0x100 + k) for k, b in enumerate(others)}
+
+
+LETTERS = byte_letters()
+
+
+def spelled(word: str) -> str:
+    """A word as the model reads it: a letter for each byte of its UTF-8."""
+    if word.isascii() and word.isprintable():
+        return word
+    return word.encode().decode("latin-1").translate(LETTERS)
+
+
 class WordIds:
     """Ids of texts; the library encodes each different word once.
 
@@ -56,18 +73,9 @@ class WordIds:
         if len(self.words) + len(new) > REMEMBERED:
             self.words = {}
             new = list(words)
-        # many words in one call; the library numbers the words that it finds
-        lines = [new[k : k + 64] for k in range(0, len(new), 64)]
-        for at in range(0, len(lines), 200):
-            some = lines[at : at + 200]
-            for line, e in zip(some, self.tokenizer.encode_batch([" ".join(w) for w in some], add_special_tokens=False)):
-                ids, number = np.array(e.ids, "<u4"), np.array(e.word_ids, np.int64)
-                begins = np.flatnonzero(np.r_[True, number[1:] != number[:-1]])
-                if len(begins) != len(line):
-                    found = [np.array(x.ids, "<u4") for x in self.tokenizer.encode_batch(line, add_special_tokens=False)]
-                else:
-                    found = np.split(ids, begins[1:])
-                self.words.update((w, x.tobytes()) for w, x in zip(line, found))
+        # a word is one pre-token, so the model alone gives its ids, without the rest of the library's work on a text
+        pieces = self.tokenizer.model.tokenize
+        self.words.update((w, np.array([t.id for t in pieces(spelled(w))], "<u4").tobytes()) for w in new)
 
     def learn(self, chunks: set[str]) -> None:
         """Ids for what stands between white space, in lower case."""
