@@ -320,3 +320,28 @@ def test_word_spans(spark, words):
         data = r.text.encode()
         got.append(b" ".join(suffix_dedup.without(data, suffix_dedup.merged([(s.begin, s.end) for s in found.get((r.k1, r.k2), ())], len(data))).split()))
     assert sorted(got) == sorted(want) and got != [b" ".join(w) for w in own]
+
+
+def test_pipeline_on_odd_rows(spark, tmp_path):
+    """Null and repeated ids through all stages: rows are documents of their own, copies go, and no document is lost with another of its id."""
+    good = [prose(900 + k, 120, 3000) + "." for k in range(4)]
+    rows = [*NASTY, (5, good[0]), (5, good[1]), (None, good[2]), (None, good[2]), (None, good[3]), (5, good[0])]
+    spark.createDataFrame([(1, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs, kept = docs_table(spark, rows), []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        columns = docs.columns
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == columns, name
+        docs.write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        kept.append(sorted((-1 if r.doc_id is None else r.doc_id, r.text) for r in docs.collect()))
+    whole = sorted([(5, good[0]), (5, good[1]), (-1, good[2]), (-1, good[3])])
+    assert [len(x) for x in kept] == [6, 6, 4, 4] and kept[-1] == whole
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect()
+    assert len(packed) == 4 and {r.doc_id for r in packed} == {5, None}
+
+
+def test_pipeline_of_nothing(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs_table(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
