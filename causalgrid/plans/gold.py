@@ -283,18 +283,17 @@ def market_columns(cfg: FeatureConfig, columns: Sequence[str]) -> dict[str, Colu
     return out
 
 
-MARKET_FEATURES = tuple(
-    "nuclear_outage_vs_demand_ratio outage_mw_roll_mean_24h outage_mw_roll_mean_168h is_major_nuclear_outage "
-    "outage_mw_diff_1h outage_mw_diff_24h scheduled_flow_stress_abs net_position_roll_mean_24h net_position_roll_mean_168h "
-    "net_position_roll_std_24h net_position_roll_std_168h scheduled_flow_stress_metric scheduled_flow_stress_x_seasonal "
-    "net_position_diff_1h net_position_diff_24h reservoir_fill_diff_1w reservoir_fill_diff_4w reservoir_fill_diff_12w "
-    "hydro_depletion_velocity reservoir_fill_roll_mean_4w reservoir_fill_roll_mean_12w".split()
-)
+#: Inputs that market features are made of.
+MARKET_INPUTS = ("outage_mw", "scheduled_net_position_mw", "reservoir_fill_ratio")
+#: Features that only zones with a reservoir basin have values of.
 HYDRO_ZONE_FEATURES = ("hydro_depletion_x_imbalance_lag1h", "hydro_depletion_x_imbalance_lag24h", "is_hydro_crunch")
 
 
-def expected_market_features(zone: str) -> list[str]:
-    return sorted(MARKET_FEATURES + (HYDRO_ZONE_FEATURES if zone in HYDRO_ZONES else ()))
+def expected_market_features(zone: str, cfg: FeatureConfig = FeatureConfig(), inputs: Sequence[str] = MARKET_INPUTS) -> list[str]:
+    """Names of the market features that a zone has where these inputs exist, from what makes them."""
+    columns = [*inputs, "day_of_year"]
+    made = {*market_shift_columns(cfg, Grid().window(), columns), *(s.name for s in market_rolling_specs(cfg, columns)), *market_columns(cfg, columns)}
+    return sorted(made - set(() if zone in HYDRO_ZONES else HYDRO_ZONE_FEATURES))
 
 
 # --- unbounded look-backs, one row per chunk -------------------------------------------------

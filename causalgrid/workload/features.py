@@ -206,6 +206,44 @@ def gold_with_market_features(spark, sf_dir):
     return gold_hourly(spark, sf_dir)
 
 
+_NOT = ", ".join(f"'{c}'" for c in sorted(gold.NOT_FEATURES))
+
+
+@query(
+    f"""select column_name as feature from (describe select * from ({with_views(_body, *HOURLY_INPUTS, **SILVER_VIEWS, **_views)}))
+        where column_name not in ({_NOT})"""
+)
+def feature_names(spark, sf_dir):
+    """P-20: the columns of a feature table that a model may use, with the aligned table's own ones left out."""
+    names = gold.feature_columns(gold_hourly(spark, sf_dir))
+    return spark.createDataFrame([(n,) for n in names], "feature string")
+
+
+# Market features by the input they come from, and those of reservoir zones.
+_MARKET = {
+    "outage_mw": "outage_mw_diff_1h outage_mw_diff_24h outage_mw_roll_mean_24h outage_mw_roll_mean_168h nuclear_outage_vs_demand_ratio is_major_nuclear_outage",
+    "scheduled_net_position_mw": "net_position_diff_1h net_position_diff_24h net_position_roll_mean_24h net_position_roll_mean_168h net_position_roll_std_24h "
+    "net_position_roll_std_168h scheduled_flow_stress_abs scheduled_flow_stress_metric scheduled_flow_stress_x_seasonal",
+    "reservoir_fill_ratio": "reservoir_fill_diff_1w reservoir_fill_diff_4w reservoir_fill_diff_12w reservoir_fill_roll_mean_4w reservoir_fill_roll_mean_12w "
+    "hydro_depletion_velocity",
+}
+_BASIN = "hydro_depletion_x_imbalance_lag1h hydro_depletion_x_imbalance_lag24h is_hydro_crunch"
+
+
+@query(
+    with_views(
+        f"""select zone, unnest(string_split('{" ".join(_MARKET.values())}', ' ')) as feature from (select distinct zone from grid_hourly)
+            union all select zone, unnest(string_split('{_BASIN}', ' ')) from (select distinct zone from grid_hourly) where zone in ('SE1', 'SE2')""",
+        "grid_hourly",
+    )
+)
+def market_feature_names(spark, sf_dir):
+    """P-21: the market features that each zone is expected to have."""
+    zones = fx.grid_hourly(spark, sf_dir).select("zone").distinct()
+    names = spark.createDataFrame([(z, gold.expected_market_features(z)) for z in ("SE1", "SE2", "SE3", "SE4")], "zone string, names array<string>")
+    return zones.join(names, "zone").select("zone", F.explode("names").alias("feature"))
+
+
 _body_d, _views_d, _doubles_d = gold_sql("silver_daily", DAYS, hydro_sql(DAYS), SILVER_COLUMNS + ["reservoir_fill_ratio"])
 
 

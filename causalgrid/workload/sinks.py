@@ -53,6 +53,15 @@ def market_snapshot(spark, sf_dir):
     return tables.read_table(spark, path)
 
 
+@query(with_views("select zone, timestamp_utc, load_mw, imbalance_mwh, price_eur_mwh, is_anomaly from grid_hourly", "grid_hourly"), doubles="load_mw imbalance_mwh price_eur_mwh")
+def csv_snapshot(spark, sf_dir):
+    """S-14: an aligned table kept as CSV, read with its schema; numbers, flags and times come back as they were."""
+    path = f"{scratch_path(spark, 'silver')}.csv"
+    g = fx.grid_hourly(spark, sf_dir)
+    g.write.option("header", True).csv(path)
+    return tables.read_table(spark, path, g.schema)
+
+
 @query(
     with_views(
         """select zone, count(*) as records_total, count_if(is_anomaly) as records_anomalous, min(timestamp_utc) as period_from, max(timestamp_utc) as period_to,

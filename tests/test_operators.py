@@ -389,6 +389,13 @@ def test_validation_names_every_failure(spark):
     assert got == {"SE5": ["zone", "timestamp_utc", "load_mw", "resolution_minutes"], "SE2": ["load_mw"]}
 
 
+def test_missing_columns_are_named(spark):
+    df = frame(spark, [(1, 2)], "a int, b int")
+    validate.require_columns(df, ["a", "b"])
+    with pytest.raises(ValueError, match=r"feature table lacks \['c', 'd'\]; it has \['a', 'b'\]"):
+        validate.require_columns(df, ["d", "a", "c"], "feature table")
+
+
 def test_anomaly_bounds(spark):
     df = frame(spark, [(99_999.0, 9_999.0, -650.0), (5_000.0, 10.0, 50.0)], "load_mw double, imbalance_mwh double, price_eur_mwh double")
     checks = {**validate.load_anomaly(), **validate.imbalance_anomaly(), **validate.price_anomaly()}
