@@ -12,7 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from causalgrid.operators.keys import null_safe_join
+from causalgrid.operators.keys import null_safe_join, with_facts
+from causalgrid.session import materialize
 
 STRETCHES = 128
 
@@ -24,10 +25,11 @@ def exact_quantiles(df: DataFrame, value: str, quantiles: Mapping[str, float], b
     """
     by = list(by)
     counted = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
+    counted = materialize(counted, "counted")  # read by the sketch, the counts and the ranks
     steps = [i / STRETCHES for i in range(1, STRETCHES)]
     splitters = counted.groupBy(*by).agg(F.percentile_approx("_v", steps, 10_000).alias("_split"))
-    # one row per key on the right: small, or split by the adaptive skew join
-    placed = null_safe_join(counted, splitters, by).select(
+    # one row per key on the right: sent to the values where keys are few, so that a hot key's values stay where they are
+    placed = with_facts(counted, splitters, by).select(
         *by, "_v", "_n", F.size(F.filter("_split", lambda s: s < F.col("_v"))).alias("_stretch")
     )
     per_stretch = placed.groupBy(*by, "_stretch").agg(F.sum("_n").alias("_rows"))

@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from causalgrid.operators import chunks, regular, validate
+from causalgrid.operators import audits, chunks, regular, validate
 from causalgrid.operators.chunks import Grid
 from causalgrid.operators.rolling import rolling
 from causalgrid.plans import gold, silver
@@ -318,6 +318,23 @@ def feature_readiness(spark, sf_dir):
     return joined.select("zone", "timestamp_utc", gold.ready(HOURS, base.columns).alias("feature_ready"))
 
 
+@query(
+    with_views(
+        f"""select zone, count(*) as n_rows, 100 * avg(ready::int) as feature_ready_pct, 100 * avg(is_quarantined::int) as is_quarantined_pct,
+                   100 * avg(is_quarantined::int) > 5 as is_high from (select *, {READY} as ready from silver_grid) group by zone""",
+        "grid_hourly",
+        **GRID_CLEAN,
+    ),
+    doubles="feature_ready_pct is_quarantined_pct",
+)
+def readiness_rates(spark, sf_dir):
+    """G-12: how many rows of a zone a model may use, and how many are quarantined."""
+    base = validate.quarantine(filled_grid(spark, sf_dir))
+    edges = gold.zone_edges(HOURLY.placed(base), HOURLY, None)
+    joined = HOURLY.placed(base).join(edges, ["zone", chunks.CHUNK])
+    return audits.flag_rates(joined.withColumn("feature_ready", gold.ready(HOURS, base.columns)), ["feature_ready", "is_quarantined"])
+
+
 @query(
     with_views(
         """select zone, timestamp_utc, riksbank_policy_rate_pct,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from causalgrid.functions import text
+from causalgrid.operators import audits
 from causalgrid.session import materialize, scratch_path
 from causalgrid.sources import json_documents, market_xml, payloads, tables
 from causalgrid.workload import fixtures as fx
@@ -211,6 +212,21 @@ def cube_cells(spark, sf_dir):
     return json_documents.with_region_name(rows, labels).select("kommunkod", "period_utc", "smahus_construction_index", "reject_reason", "region_name")
 
 
+@query(
+    with_views(
+        """select coalesce(reject_reason, 'accepted') as outcome, count(*) as n, count(distinct kommunkod) as n_kommunkod, count(distinct quarter) as n_raw_quarter_str
+           from (select case when k <> 5 then k end as kommunkod, case k when 7 then null when 6 then replace(raw_quarter_str, 'K', 'M') else raw_quarter_str end as quarter,
+                        case k when 3 then 'suppressed' when 4 then 'bad_value' when 5 then 'bad_code' when 6 then 'bad_quarter' when 7 then 'short_row' end as reject_reason
+                 from (select *, kommunkod as k from housing_kommun)) group by 1""",
+        "housing_kommun",
+    )
+)
+def cube_ingest_report(spark, sf_dir):
+    """G-09 on parsed cubes: cells by the reason they were rejected for, with the municipalities and quarters they are about."""
+    rows = json_documents.cube_rows(cube_documents(spark, sf_dir), "smahus_construction_index")
+    return audits.ingest_report(rows, different=["kommunkod", "raw_quarter_str"])
+
+
 @query(
     """select 'Region' as variable, lpad(n_nationkey::varchar, 4, '0') as code, n_name as label from nation
        union all select distinct 'Tid', year(o_orderdate) || 'K' || quarter(o_orderdate), null from orders"""
