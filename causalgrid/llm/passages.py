@@ -188,22 +188,26 @@ def repeated_spans(items: DataFrame, window: int) -> DataFrame:
 
 def all_spans(items: DataFrame, window: int, group: int) -> DataFrame:
     """``node, spans`` of all items with spans: small groups by an index, larger ones narrowed first."""
-    sizes = items.groupBy("group").agg(F.count("*").alias("items"))
-    sized = stored(items.join(sizes, "group"), "passage-items")
+    items = stored(items, "passage-items")
+    sizes = items.groupBy("group").agg(F.count("*").alias("items")).withColumn("rows", F.col("items"))
+    sized = keyed_join(items, sizes, ["group"], items.count())
     own = stored(repeated_spans(sized.where((F.col("items") <= group) & (F.col("items") > 1)), window), "passage-spans")
     large = sized.where(F.col("items") > group)
     if not large.limit(1).count():
         return own
     parts = stored(narrowed(large, window), "passage-parts")
     # equal parts of one group are one item of the least owner; the others lose it whole
-    merged = parts.groupBy("node").agg(*[F.first(c).alias(c) for c in ("group", "low", "high", "left", "words")], F.min("owner").alias("owner"))
+    merged = parts.groupBy("node").agg(
+        *[F.first(c).alias(c) for c in ("group", "low", "high", "left", "words")], F.min("owner").alias("owner"), F.count("*").alias("parents")
+    )
     merged = stored(merged, "passage-merged")
     below = all_spans(merged, window, group)
     size = F.size(F.split(F.col("words").cast("string"), " "))
     whole = F.array(F.struct((-F.col("left")).alias("begin"), (size - F.col("left")).alias("end"))).cast(SPANS)
-    found = merged.select("node", "owner", whole.alias("whole")).join(below, "node", "left")
+    found = merged.select("node", "owner", F.col("parents").alias("rows"), whole.alias("whole")).join(below, "node", "left")
     spans = F.when(F.col("parent_owner") > F.col("owner"), F.col("whole")).otherwise(F.col("spans"))
-    up = parts.select("parent", "parent_owner", "node").join(found, "node").select(F.col("parent").alias("node"), spans.alias("spans"))
+    placed = keyed_join(parts.select("parent", "parent_owner", "node"), found, ["node"], parts.count())
+    up = placed.select(F.col("parent").alias("node"), spans.alias("spans"))
     return own.union(up.where("spans is not null").groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans")))
 
 
@@ -218,8 +222,8 @@ def passage_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     shared = stored(keyed_join(rows, anchors.where("first < last").select("anchor", "rows"), ["anchor"], rows.count()), "passage-shared")
     facts = shared.groupBy("anchor", "segment").agg(F.count("*").alias("rows"), F.min(F.struct("doc_id", "k", "place")).alias("rep"))
     facts = stored(facts, "passage-segments")
-    several = facts.groupBy("anchor").count().where("count > 1").select("anchor")
-    items = segment_words(facts.join(several, "anchor", "left_semi").select("anchor", "segment", "rep"), texts, window)
+    several = facts.groupBy("anchor").agg(F.count("*").alias("rows")).where("rows > 1")
+    items = segment_words(keyed_join(facts.select("anchor", "segment", "rep"), several, ["anchor"], facts.count()), texts, window)
     spans = all_spans(items, window, group)
     judged = facts.withColumn("node", F.xxhash64("anchor", "segment")).join(spans, "node", "left")
     judged = stored(judged.select("anchor", "segment", "rows", F.col("rep.doc_id").alias("owner"), "spans"), "passage-judged")
