@@ -147,7 +147,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
-    prior = math.log((n1 + 0.5) / (n0 + 0.5))
+    # where no label is known, nothing is called toxic
+    prior = math.log((n1 + 0.5) / (n0 + 1.0))
     if not n1 or not n0:
         return Lexicon({}, {}, (prior, 0.0, 0.0))
     counts = known.mapInArrow(counted, "term string, toxic long, harmless long").groupBy("term").agg(

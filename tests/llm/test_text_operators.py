@@ -118,6 +118,26 @@ def test_toxicity_learns_words_and_beginnings(spark):
     assert left.columns == docs_table(spark, []).columns and 290 <= left.count() <= 310
 
 
+def test_toxicity_matches_as_a_plain_search_does():
+    """The automaton's matches are those of looking for every term at every place."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abc") for _ in range(rng.randrange(1, 6)))
+    for _ in range(200):
+        text = toxicity.folded(" ".join(word() for _ in range(rng.randrange(0, 40))))
+        weights = {rng.choice([f" {w} ", f" {w}"]): rng.uniform(0.1, 5) for w in (word() for _ in range(rng.randrange(1, 12)))}
+        exceptions = {p: 1.0 for p in (f" {word()} {word()} " for _ in range(rng.randrange(0, 6))) if p not in weights}
+        covered = {k for p in exceptions for at in range(len(text)) if text.startswith(p, at) for k in range(at, at + len(p) - 1)}
+        want = {}
+        for at in range(len(text)):
+            found = [w for t, w in weights.items() if text.startswith(t, at)]
+            if found and at not in covered:
+                want[at] = max(found)
+        lexicon = toxicity.Lexicon(weights, exceptions, (0.0, 1.0, 1.0))
+        assert lexicon.matches(text) == want
+        total, words = sum(want.values()), max(1, len(text.split()))
+        assert lexicon.inputs(text) == pytest.approx((np.log1p(total), np.log1p(100 * total / words)))
+
+
 def test_toxicity_without_labels(spark):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     r = toxicity.toxicity_scores(docs_table(spark, NASTY), labels).collect()
