@@ -7,11 +7,13 @@ import unicodedata
 from collections.abc import Sequence
 from functools import reduce
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from causalgrid.session import small_batches
+
 # UTF-8 letters that were read as Windows-1252 or Latin-1.
 MOJIBAKE = {
     "Ã…": "Å",
@@ -57,17 +59,26 @@ def compose(c: Column) -> Column:
     return _replaced(c, DECOMPOSED)
 
 
-@F.pandas_udf(StringType())
-def _composed(names: pd.Series) -> pd.Series:
-    return names.str.normalize("NFC")
+# Fixed value: texts that are held as Python strings at a time.
+TEXTS_AT_A_TIME = 100
+
+
+@F.arrow_udf(StringType())
+def _composed(texts: pa.Array) -> pa.Array:
+    def part(begin: int) -> pa.Array:
+        own = texts.slice(begin, TEXTS_AT_A_TIME).to_pylist()
+        return pa.array([t if t is None else unicodedata.normalize("NFC", t) for t in own], pa.string())
+
+    return pa.concat_arrays([part(k) for k in range(0, max(1, len(texts)), TEXTS_AT_A_TIME)])
 
 
 def compose_any(c: Column) -> Column:
     """NFC for any script; Spark has no built-in for it.
 
     Letters below U+0300 stay as they are under NFC, and so do dashes, quotes and currency signs, so only texts
-    with another character are handed to Python.
+    with another character are handed to Python, in batches that are bounded by their bytes.
     """
+    small_batches(SparkSession.active())
     c = F.col(c) if isinstance(c, str) else c
     return F.coalesce(_composed(F.when(c.rlike(MAY_COMPOSE), c)), c)
 

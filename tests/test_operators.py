@@ -352,6 +352,22 @@ def test_composition_asks_python_only_for_what_may_change(spark):
     assert dict(map(tuple, df.select("t", text.compose_any(F.col("t"))).collect())) == want
 
 
+def test_composition_batches_are_bounded_by_bytes(spark, monkeypatch):
+    import pyarrow as pa
+
+    from causalgrid.functions import text
+
+    @F.arrow_udf("string")
+    def batch_bytes(x):
+        return pa.array([str(x.nbytes)] * len(x))
+
+    monkeypatch.setattr(text, "_composed", batch_bytes)
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    df = spark.range(0, 400, 1, 1).select(F.repeat(F.lit("e\u0301"), 50_000).alias("t"))  # 60 MB
+    most = df.select(text.compose_any(F.col("t")).cast("long").alias("n")).agg(F.max("n")).first()[0]
+    assert 150_000 <= most < 12 << 20
+
+
 def test_settled_station_follows_an_order(spark):
     rows = [("SE1", T0, 1.0, 2.0, False, 9, 1), ("SE1", T0, 3.0, None, None, 4, 2), ("SE1", T0, None, None, True, 1, None)]
     df = frame(spark, rows, "zone string, timestamp_utc timestamp, temperature_c double, wind_speed_ms double, is_anomaly boolean, station_id int, seen int")
