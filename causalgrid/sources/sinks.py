@@ -5,17 +5,22 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 MONTHLY, YEARLY = ("zone", "year", "month"), ("zone", "year")
 
 
+#: Bytes of a file that one row of the raw table holds; a longer file is several rows.
+PART_BYTES = 1 << 20
+
+
 def land_raw(spark: SparkSession, source_path: str, table_path: str, source: str, ingest_date: str) -> None:
     """Files as they are, hashed, before anything is parsed; a file known by name and content is not stored again.
 
-    What is new is settled on names and hashes; contents join it by path, so they are shuffled
-    only where the new paths are too many to be sent to every executor.
+    A row holds at most ``PART_BYTES`` of a file, numbered by ``part`` from 0; empty files are not read. What is new is
+    settled on names and hashes. The new paths, fewer than the listing of the source that the driver has, are sent to every
+    executor, so contents are read by one task each and never shuffled.
     """
     files = spark.read.format("binaryFile").load(source_path)
     named = files.select(
@@ -34,8 +39,37 @@ def land_raw(spark: SparkSession, source_path: str, table_path: str, source: str
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
-    rows = named.join(new.select("path"), "path", "left_semi").drop("path")
-    rows.write.mode("append").option("compression", "gzip").partitionBy("source", "ingest_date").parquet(table_path)
+    rows = named.join(F.broadcast(new.select("path")), "path", "left_semi").drop("path")
+    last = F.ceil(F.octet_length("content") / PART_BYTES).cast("int") - 1
+    parts = rows.withColumn("part", F.explode(F.sequence(F.lit(0), last)))
+    content = F.substring("content", F.col("part") * PART_BYTES + 1, F.lit(PART_BYTES))
+    out = parts.select("file_name", "part", content.alias("content"), "content_sha256", "source", "ingest_date")
+    writer = out.write.mode("append").option("compression", "gzip")
+    # sizes are looked at every few rows, as rows are large, and a reader takes a row group at a time
+    writer = writer.option("parquet.block.size", 16 << 20).option("parquet.page.size.row.check.min", 4).option("parquet.page.size.row.check.max", 16)
+    writer.partitionBy("source", "ingest_date").parquet(table_path)
+
+
+def raw_lines(landed: DataFrame) -> DataFrame:
+    """``source, ingest_date, file_name, content_sha256, line`` of stored files: their lines as bytes, those that parts cut put together.
+
+    Only what stands before the first and after the last line end of a part is shuffled. What follows a file's last line end
+    is a line, if there is any.
+    """
+    file = ["source", "ingest_date", "file_name", "content_sha256"]
+    # one character for each byte, as a cut may lie within a letter
+    pieces = landed.select(*file, "part", F.split(F.decode("content", "ISO-8859-1"), "\n").alias("pieces"))
+    n = F.size("pieces")
+    whole = pieces.select(*file, F.explode(F.slice("pieces", F.lit(2), F.greatest(n - 2, F.lit(0)))).alias("piece"))
+    first = F.struct(F.lit(0).alias("at"), F.get("pieces", F.lit(0)).alias("piece"))
+    last = F.struct(F.lit(1).alias("at"), F.get("pieces", n - 1).alias("piece"))
+    cut = pieces.select(*file, "part", F.inline(F.when(n > 1, F.array(first, last)).otherwise(F.array(first))))
+    # after a part's first piece a new line begins
+    cut = cut.withColumn("number", F.sum("at").over(Window.partitionBy(*file).orderBy("part", "at")))
+    pieces_of = F.transform(F.array_sort(F.collect_list(F.struct("part", "at", "piece"))), lambda x: x["piece"])
+    joined = cut.groupBy(*file, "number").agg(F.concat_ws("", pieces_of).alias("piece"), F.max("number").over(Window.partitionBy(*file)).alias("last"))
+    ended = joined.where("number < last or piece <> ''").select(*file, "piece")
+    return whole.unionByName(ended).select(*file, F.encode("piece", "ISO-8859-1").alias("line"))
 
 
 def write_snapshot(df: DataFrame, path: str) -> None:

@@ -114,12 +114,12 @@ def raw_landing(spark, sf_dir):
     """K-01: two drops of equal bytes under different names both land; landing again stores nothing twice."""
     source, target = scratch_path(spark, "drop"), scratch_path(spark, "raw")
     docs = table(spark, sf_dir, "documents").select("text")
-    # one document per row group of lines would change the text, so each row is kept as one JSON string
+    # one document per row group of lines would change the text, so each row is kept as one JSON string; a drop has many files of bounded length
     for drop in ("se1", "se2"):
-        docs.select(F.to_json(F.struct("text"))).write.text(f"{source}/{drop}")
+        docs.select(F.to_json(F.struct("text"))).write.option("maxRecordsPerFile", 1_000).text(f"{source}/{drop}")
     for day in ("2024-01-01", "2024-01-02"):
         sinks.land_raw(spark, f"{source}/*", target, "documents", day)
     landed = spark.read.parquet(target).where("source = 'documents'")
-    lines = landed.select(F.explode(F.split(F.decode("content", "UTF-8"), "\n")).alias("line")).where("line <> ''")
+    lines = sinks.raw_lines(landed).select(F.decode("line", "UTF-8").alias("line")).where("line <> ''")
     texts = lines.select(F.from_json("line", "text string")["text"].alias("content"))
     return texts.groupBy(F.md5("content").alias("digest")).agg(F.count("*").alias("n"))

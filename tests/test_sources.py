@@ -2,6 +2,7 @@
 
 import datetime as dt
 import gzip
+import hashlib
 import json
 
 import pytest
@@ -213,3 +214,25 @@ def test_raw_documents_landed_twice_are_landed_once(spark, tmp_path):
     put("c", "A65_SE1_2024-01-15T0000Z_2024-01-16T0000Z_2024-01-21T0000Z.xml", document(points="<Point><position>1</position><quantity>7</quantity></Point>"))
     again = run("one")
     assert ("SE1", T0, 7.0) in again[0] and len(again[0]) == 6 and again[1] == first[1]
+
+
+def test_long_files_land_in_parts_and_give_their_lines_back(spark, tmp_path, monkeypatch):
+    held = {"a": "ett\ntvå åäö 日本 långa rader\n\nslut", "c": "\n\n", "d": "en rad utan slut, längre än en del", "e": "x\r\ny\n", "f": "1234567\n"}
+    (tmp_path / "drop").mkdir()
+    for name, content in held.items():
+        (tmp_path / "drop" / name).write_bytes(content.encode())
+    monkeypatch.setattr(sinks, "PART_BYTES", 7)
+    path = str(tmp_path / "raw")
+    for day in ("2024-01-01", "2024-01-02"):
+        sinks.land_raw(spark, str(tmp_path / "drop"), path, "drop", day)
+    landed = spark.read.parquet(path)
+    rows = sorted(landed.select("file_name", "part", "content", "content_sha256").collect())
+    assert max(len(r.content) for r in rows) == 7
+    for name, content in held.items():
+        own = [r for r in rows if r.file_name == name]
+        assert [r.part for r in own] == list(range(max(1, -(-len(content.encode()) // 7))))
+        assert b"".join(r.content for r in own) == content.encode()
+        assert {r.content_sha256 for r in own} == {hashlib.sha256(content.encode()).hexdigest()}
+    lines = sorted((r.file_name, r.line.decode()) for r in sinks.raw_lines(landed).collect())
+    want = {name: content.split("\n") for name, content in held.items()}
+    assert lines == sorted((name, line) for name, own in want.items() for line in (own if own[-1] else own[:-1]))
