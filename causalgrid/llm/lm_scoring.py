@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -164,8 +165,9 @@ class Mixer:
         self.weights = np.full((GATES, ORDERS), 0.3) if weights is None else weights
         self.refined = np.tile(1 / (1 + np.exp(-(np.arange(MAP_BINS) - MAP_BINS // 2) / 2)), (GATES, 1)) if refined is None else refined
 
-    def arrays(self) -> tuple[np.ndarray, ...]:
-        return self.zeros, self.ones, self.weights, self.refined
+    def __reduce__(self) -> tuple:
+        # most slots hold nothing or a small count, and every executor keeps a copy on its disk
+        return unpacked, (*[zlib.compress(x.astype(np.float32, copy=False), 1) for x in (self.zeros, self.ones)], self.weights, self.refined)
 
     def inputs(self, b: int, bit: np.ndarray, at: list[np.ndarray], without_own: bool) -> tuple[np.ndarray, np.ndarray]:
         """Logits of the contexts, and the gates."""
@@ -231,6 +233,10 @@ class Mixer:
         return total
 
 
+def unpacked(zeros: bytes, ones: bytes, weights: np.ndarray, refined: np.ndarray) -> Mixer:
+    return Mixer(*[np.frombuffer(zlib.decompress(x), np.float32) for x in (zeros, ones)], weights, refined)
+
+
 def batched(batches: Iterator[pa.RecordBatch], size: int = 10_000) -> Iterator[list[bytes]]:
     for batch in batches:
         words = batch.column("word").to_pylist()
@@ -267,11 +273,10 @@ def context_table(known: DataFrame, column: str = "word", bits_of: Callable = wo
 def trained(known: DataFrame, column: str = "word", bits_of: Callable = word_bits) -> Mixer:
     """The mixer after one online pass over all training words or texts; the partitions' weights are averaged by their bytes."""
     mixer = Mixer(*context_table(known, column, bits_of))
-    held = known.sparkSession.sparkContext.broadcast(mixer.arrays())
+    held = known.sparkSession.sparkContext.broadcast(mixer)
 
     def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        zeros, ones, weights, refined = held.value
-        own, n = Mixer(zeros, ones, weights.copy(), refined), 0
+        own, n = Mixer(held.value.zeros, held.value.ones, held.value.weights.copy(), held.value.refined), 0
         seen = np.zeros((2, GATES * MAP_BINS))
         for bits in bits_of(batches, 2_000):
             own.learn(bits, seen)
@@ -291,11 +296,11 @@ def trained(known: DataFrame, column: str = "word", bits_of: Callable = word_bit
 
 def scored_words(words: DataFrame, mixer: Mixer, total: int, distinct: int, discount: float) -> DataFrame:
     """``word, c, p``: log10 probability of every word under the model."""
-    held = words.sparkSession.sparkContext.broadcast(mixer.arrays())
+    held = words.sparkSession.sparkContext.broadcast(mixer)
     left = discount * distinct / total if total else 1.0
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mixer = Mixer(*held.value)
+        mixer = held.value
         for batch in batches:
             own, c = batch.column("word").to_pylist(), batch.column("c").to_numpy()
             spelled = np.concatenate([mixer.log10(own[k : k + 10_000]) for k in range(0, len(own), 10_000)]) if own else np.empty(0)
@@ -363,11 +368,11 @@ def document_parts(docs: DataFrame, top: tuple[list[bytes], np.ndarray, np.ndarr
     document: ``row, word`` and ``again``, the shares of earlier words at each repetition."""
     spark = docs.sparkSession
     held = spark.sparkContext.broadcast((*top, *classes))
-    spelled_by = spark.sparkContext.broadcast(spelling.arrays())
+    spelled_by = spark.sparkContext.broadcast(spelling)
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, counts, logs, class_logs, class_rest = held.value
-        spelling = Mixer(*spelled_by.value)
+        spelling = spelled_by.value
         number = dict(zip(names, itertools.count()))
         base = np.log10((counts + 0.5) / norm)
         plain = 10.0**logs

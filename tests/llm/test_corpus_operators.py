@@ -1,6 +1,7 @@
 """Deduplication, scoring, sharding, neighbours and the pipeline against brute force."""
 
 import collections
+import pickle
 import random
 import sys
 import zlib
@@ -165,6 +166,16 @@ def test_context_counts_are_whole(spark):
     assert (zeros == want[0]).all() and (ones == want[1]).all()
 
 
+def test_mixer_travels_as_small_as_what_it_counted():
+    zeros, ones = np.zeros((2, 1 << lm_scoring.SLOT_BITS), np.float32)
+    zeros[::1000], ones[5::1000] = 3, 70_000
+    sent = pickle.dumps(lm_scoring.Mixer(zeros, ones, np.full((lm_scoring.GATES, lm_scoring.ORDERS), 0.7)))
+    assert len(sent) < 1 << 20
+    mixer = pickle.loads(sent)
+    assert (mixer.zeros == zeros).all() and (mixer.ones == ones).all() and (mixer.weights == 0.7).all()
+    assert mixer.log10([b"abc"]) == lm_scoring.Mixer(zeros, ones, mixer.weights.copy()).log10([b"abc"])
+
+
 def test_bits_per_byte_follow_running_text(spark):
     """The same words cost more bits in an order that was not learned, and no cut of the texts changes a byte's contexts."""
     rows = [(k, prose(k, 60, 40)) for k in range(150)]
