@@ -30,6 +30,8 @@ BLANK = "▁"
 #: Characters that the borders of a path in a long can hold.
 LONG_BITS = 62
 HELD_UNITS = 300_000
+#: Different units whose edges one task groups, in memory.
+UNITS_A_SHARD = 30_000
 EMIT = 400_000
 #: Stands for the ids of a unit that is not held.
 GAP = np.array(-1, "<i4").tobytes()
@@ -160,7 +162,8 @@ def with_ids(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     arrow_batches(spark)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
     counts = stored(unit_counts(rows), "unit-counts")
-    units = stored(encoded_units(counts.select("unit").repartition("unit"), path), "units")
+    shards = max(1, -(-counts.count() // UNITS_A_SHARD))
+    units = stored(encoded_units(counts.select("unit").repartition(shards, "unit"), path), "units")
     most = counts.orderBy(F.desc("c"), "unit").limit(held_units).select("unit")
     top = units.join(most, "unit").select("unit", "ids").toArrow()  # at most held_units rows
     held = spark.sparkContext.broadcast((top.column("unit").to_pylist(), [np.array(x, "<i4").tobytes() for x in top.column("ids").to_pylist()]))

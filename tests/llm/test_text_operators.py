@@ -221,6 +221,21 @@ def test_sentencepiece(spark):
         assert [(counts[k].n_pieces, counts[k].ids_sum) for k in range(len(texts))] == [(len(w), sum(w)) for w in want]
 
 
+def test_lattice_tasks_grow_in_number_not_in_units(spark, monkeypatch):
+    made = []
+
+    def seen(units, path, encoded=sentencepiece_lattice.encoded_units):
+        made.append(units.rdd.glom().map(len).collect())
+        return encoded(units, path)
+
+    monkeypatch.setattr(sentencepiece_lattice, "encoded_units", seen)
+    monkeypatch.setattr(sentencepiece_lattice, "UNITS_A_SHARD", 20, raising=False)
+    texts = [f"ord{k} och ord{k + 1}" for k in range(400)]
+    r = by_id(sentencepiece_lattice.piece_counts(docs_table(spark, list(enumerate(texts))), PIECES, held_units=5))
+    assert all(x["decodes"] for x in r.values())
+    assert sum(made[0]) == 402 and len(made[0]) == 21 and max(made[0]) < 60
+
+
 @pytest.mark.parametrize("held", [5, 100_000])
 def test_sentencepiece_digests_see_order_and_decoding(spark, held):
     texts = noise(4, 60) + [None, "", "b a", "a b", "rare " * 3 + "other rare", "a▁b"]
