@@ -27,6 +27,7 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,12 @@ ORDERS = 5
 #: Bytes in each context of running text.
 RUNNING = (1, 2, 3, 4, 6)
 SLOT_BITS = 22
+#: The table of contexts is sent in so many blocks, as a power of two.
+BLOCK_BITS = 8
+#: Bytes of running text in one step of learning.
+STEP = 1 << 15
+#: The bits of a negative zero, which stands for a context without counts.
+UNKNOWN = np.iinfo(np.int32).min
 GATES = 8 * (ORDERS + 1)
 MAP_BINS = 33
 #: Words with the highest counts that every worker holds; the rest is joined.
@@ -89,8 +96,31 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(counted, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def slots_of(context: np.ndarray, data: np.ndarray, b: int) -> np.ndarray:
+    """The slot of a context with the first ``b`` bits of the byte that follows it."""
+    node = (np.uint64(1) << np.uint64(b)) | (data >> np.uint64(8 - b))
+    x = (context ^ (node * np.uint64(0xC2B2AE3D27D4EB4F))) * np.uint64(0xD6E8FEB86659FD93)
+    return ((x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
+def bit_of(data: np.ndarray, b: int) -> np.ndarray:
+    """Bit ``b`` from the top of every byte."""
+    return ((data >> np.uint64(7 - b)) & np.uint64(1)).astype(bool)
+
+
+def hashed(before: list[np.ndarray], k: int) -> np.ndarray:
+    """The context of the last ``k`` bytes, of which ``before`` has the nearest first."""
+    context = np.zeros(len(before[0]), np.uint64)
+    for x in before[:k]:
+        context = context * np.uint64(257) + x.astype(np.uint64) + np.uint64(1)
+    odd = np.uint64(0x9E3779B97F4A7C15)
+    return (context + np.uint64(k)) * odd if k else context + odd
+
+
 class Bits:
-    """The bits of a batch of words, each followed by a blank, with the slots of their contexts."""
+    """The bits of a batch of words, each followed by a blank; ``before`` has the bytes before each, nearest first."""
+
+    orders = tuple(range(ORDERS))
 
     def __init__(self, words: list[bytes]):
         joined = b" ".join(words) + b" "
@@ -98,46 +128,76 @@ class Bits:
         sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
         self.starts = np.cumsum(sizes) - sizes
         into = np.arange(len(data)) - np.repeat(self.starts, sizes)  # bytes of the word before this one
-        context = np.zeros(len(data), np.uint64)
-        self.contexts = [context + np.uint64(0x9E3779B97F4A7C15)]
+        self.before = []
         for k in range(1, ORDERS):
-            before = np.zeros(len(data), np.uint64)
-            before[k:] = data[:-k] if k else data
+            before = np.zeros(len(data), np.uint16)
+            before[k:] = data[:-k]
             before[into < k] = 32  # a word begins after a blank
             before[into < k - 1] = 0
-            context = context * np.uint64(257) + before + np.uint64(1)
-            self.contexts.append((context + np.uint64(k)) * np.uint64(0x9E3779B97F4A7C15))
-        self.data = data.astype(np.uint64)
+            self.before.append(before)
+        self.data = data
+        self.step = len(data)
 
     def bit(self, b: int) -> tuple[np.ndarray, list[np.ndarray]]:
         """Of every byte: bit ``b`` from the top, and a slot for each order."""
-        node = (np.uint64(1) << np.uint64(b)) | (self.data >> np.uint64(8 - b))
-        at = []
-        for c in self.contexts:
-            x = (c ^ (node * np.uint64(0xC2B2AE3D27D4EB4F))) * np.uint64(0xD6E8FEB86659FD93)
-            at.append(((x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(64 - SLOT_BITS)).astype(np.int64))
-        return ((self.data >> np.uint64(7 - b)) & np.uint64(1)).astype(bool), at
+        return bit_of(self.data, b), [slots_of(hashed(self.before, k), self.data, b) for k in self.orders]
 
 
 class RunningBits(Bits):
     """The bits of consecutive bytes of texts; ``into`` has the bytes of the text before each, and the first ``lead`` bytes are context alone."""
 
+    orders = RUNNING
+
     def __init__(self, data: np.ndarray, into: np.ndarray, lead: int):
-        context = np.zeros(len(data), np.uint64)
-        self.contexts = []
+        self.before = []
         for k in range(1, RUNNING[-1] + 1):
-            before = np.zeros(len(data), np.uint64)
+            before = np.zeros(len(data), np.uint16)
             before[k:] = data[:-k]
             before[into < k] = 256  # before the text
-            context = context * np.uint64(257) + before + np.uint64(1)
-            if k in RUNNING:
-                self.contexts.append(((context + np.uint64(k)) * np.uint64(0x9E3779B97F4A7C15))[lead:])
-        self.data = data[lead:].astype(np.uint64)
+            self.before.append(before[lead:])
+        self.data = data[lead:]
+        self.step = STEP
 
 
-def running(texts: list[bytes], most: int = 1 << 15) -> Iterator[tuple[RunningBits, np.ndarray]]:
-    """Bits of all texts, each with its end, about ``most`` bytes at a time, and the number of each byte's text."""
-    for begin, part in parts_of(texts):
+class Windows:
+    """What the model sees of a batch of bits, each thing once.
+
+    A window is a byte and the bytes of its longest context. ``of`` numbers the window of every byte. Windows are sorted, byte first and
+    then the nearest byte, so those that agree for a shorter context lie together: ``groups`` numbers them for each order.
+    """
+
+    def __init__(self, bits: Bits):
+        key = bits.data.astype(np.uint64)
+        for x in bits.before:
+            key <<= np.uint64(9)
+            key |= x
+        order = np.argsort(key)
+        key = key[order]
+        new = np.r_[True, key[1:] != key[:-1]]
+        windows = key[new]
+        self.of = np.empty(len(key), np.int32)
+        self.of[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
+        self.often = np.diff(np.flatnonzero(np.r_[new, True]))
+        deep = len(bits.before)
+        self.data = windows >> np.uint64(9 * deep)
+        self.groups, self.own = [], []
+        for k in bits.orders:
+            short = windows >> np.uint64(9 * (deep - k))
+            new = np.r_[True, short[1:] != short[:-1]]
+            short = short[new]
+            before = [(short >> np.uint64(9 * (k - j))) & np.uint64(511) for j in range(1, k + 1)] or [short]
+            self.groups.append(np.cumsum(new, dtype=np.int32) - np.int32(1))
+            self.own.append((hashed(before, k), short >> np.uint64(9 * k)))
+
+    def slots(self, b: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each order the bit and the slot of every group."""
+        for context, data in self.own:
+            yield bit_of(data, b), slots_of(context, data, b)
+
+
+def running(texts: list[bytes], most: int = 1 << 21) -> Iterator[tuple[RunningBits, np.ndarray]]:
+    """Bits of all texts, each with its end, at most ``most`` bytes at a time, and the number of each byte's text."""
+    for begin, part in parts_of(texts, most):
         data = np.frombuffer(b"\0".join(part) + b"\0", np.uint8)
         sizes = np.fromiter(map(len, part), np.int64, len(part)) + 1
         of = np.repeat(np.arange(begin, begin + len(part)), sizes)
@@ -169,44 +229,64 @@ class Mixer:
         # most slots hold nothing or a small count, and every executor keeps a copy on its disk
         return unpacked, (*[zlib.compress(x.astype(np.float32, copy=False), 1) for x in (self.zeros, self.ones)], self.weights, self.refined)
 
-    def inputs(self, b: int, bit: np.ndarray, at: list[np.ndarray], without_own: bool) -> tuple[np.ndarray, np.ndarray]:
-        """Logits of the contexts, and the gates."""
-        x = np.empty((ORDERS, len(bit)), np.float32)
-        known = np.zeros(len(bit), np.int64)
-        for k, slots in enumerate(at):
-            n0, n1 = self.zeros[slots].astype(np.float32), self.ones[slots].astype(np.float32)
-            if without_own:
-                n1 = np.maximum(n1 - bit, 0)
-                n0 = np.maximum(n0 - ~bit, 0)
-            n = n0 + n1
-            x[k] = np.log((n1 + 0.4) / (n0 + 0.4)) * (n / (n + 0.5))
-            known[n > 0] = k + 1
-        return x, known * 8 + b
-
-    def logits(self, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
-        return np.clip(np.einsum("kn,nk->n", x, self.weights[gate]), -12, 12)
-
-    def learn(self, bits: Bits, seen: np.ndarray) -> None:
-        """One online step for every gate from the bits of a batch of training words, or of running text.
-
-        ``seen`` gathers bits and ones by gate and bin of the mixed logit, as predicted before the step.
+    @cached_property
+    def stretched(self) -> np.ndarray:
+        """The logit of every slot."""
+        return stretch(self.zeros.astype(np.float32), self.ones.astype(np.float32))
+
+    @cached_property
+    def stretched_without(self) -> np.ndarray:
+        """The logit of every slot without one zero, and without one one, by turns."""
+        n0, n1 = self.zeros.astype(np.float32), self.ones.astype(np.float32)
+        return np.stack([stretch(np.maximum(n0 - 1, 0), n1), stretch(n0, np.maximum(n1 - 1, 0))], axis=1).ravel()
+
+    @staticmethod
+    def known(tables: list[np.ndarray], groups: list[np.ndarray]) -> np.ndarray:
+        """The longest known context of every window, from the logits of its groups."""
+        known = np.zeros(len(groups[0]), np.int8)
+        for k, (own, group) in enumerate(zip(tables, groups)):
+            np.copyto(known, np.int8(k + 1), where=(own.view(np.int32) != UNKNOWN)[group])
+        return known
+
+    @staticmethod
+    def logits(x: np.ndarray, place: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """The logits mixed by the weights that the gate chooses: ``weights`` has a row for each number of known contexts, ``place`` points into rows and windows."""
+        z = (weights @ x).ravel().take(place)
+        return np.clip(z, -12, 12, out=z)
+
+    def learn(self, bits: Bits, seen: np.ndarray, logits_of: np.ndarray) -> None:
+        """Online steps, of ``bits.step`` bytes each, for every gate from the bits of training words or of running text.
+
+        ``logits_of`` are those of ``stretched_without``: a byte's own count is left out. ``seen`` gathers bits and ones by gate and bin
+        of the mixed logit, as predicted before the step. Equal windows of a step count once, times their number.
         """
-        for b in range(8):
-            bit, at = bits.bit(b)
-            x, gate = self.inputs(b, bit, at, True)
-            z = self.logits(x, gate)
-            cell = gate * MAP_BINS + self.bins(z)
-            seen[0] += np.bincount(cell, minlength=GATES * MAP_BINS)
-            seen[1] += np.bincount(cell, weights=bit, minlength=GATES * MAP_BINS)
-            error = bit - 1 / (1 + np.exp(-z))
-            for g in np.unique(gate):
-                own = gate == g
+        windows = Windows(bits)
+        tables = [[logits_of[2 * slot + bit] for bit, slot in windows.slots(b)] for b in range(8)]
+        knowns = [self.known(own, windows.groups) for own in tables]
+        for begin in range(0, len(bits.data), bits.step):
+            own, often = np.unique(windows.of[begin : begin + bits.step], return_counts=True)
+            own, often = own.astype(np.int64), often.astype(np.float64)
+            at, data, each = [group.take(own).astype(np.int64) for group in windows.groups], windows.data[own], np.arange(len(own))
+            x = np.empty((ORDERS, len(own)))
+            for b in range(8):
+                for k in range(ORDERS):
+                    x[k] = tables[b][k].take(at[k])
+                known, bit = knowns[b].take(own).astype(np.int64), bit_of(data, b)
+                place, weights = known * len(own) + each, self.weights[b::8]
+                z = self.logits(x, place, weights)
+                cell = (known * MAP_BINS + self.bins(z)) * 2 + bit
+                count = np.bincount(cell, weights=often, minlength=(ORDERS + 1) * MAP_BINS * 2).reshape(-1, MAP_BINS, 2)
+                seen[0, b::8] += count.sum(axis=2)
+                seen[1, b::8] += count[:, :, 1]
+                error = np.zeros((ORDERS + 1, len(own)))
+                error.ravel()[place] = (bit - 1 / (1 + np.exp(-z))) * often
                 # the step of a least-squares fit along the gradient
-                self.weights[g] += 2.0 * (x[:, own] @ error[own]) / ((x[:, own] ** 2).sum() / 2 + 10)
+                size = np.bincount(known, weights=np.einsum("kn,kn->n", x, x) * often, minlength=ORDERS + 1)
+                weights += 2.0 * (error @ x.T) / (size[:, None] / 2 + 10)
 
     @staticmethod
     def bins(logits: np.ndarray) -> np.ndarray:
-        return np.clip(np.rint(logits * 2).astype(np.int64) + MAP_BINS // 2, 0, MAP_BINS - 1)
+        return np.clip(np.rint(logits * 2) + MAP_BINS // 2, 0, MAP_BINS - 1).astype(np.int64)
 
     def log10(self, words: list[bytes]) -> np.ndarray:
         """log10 probability of each word, its end included."""
@@ -216,21 +296,35 @@ class Mixer:
     def text_bits(self, texts: list[bytes]) -> np.ndarray:
         """Bits of each text and its end."""
         total = np.zeros(len(texts))
-        for bits, of in running(texts):
+        for bits, of in running(texts, 1 << 22):  # the more bytes together, the more of their windows are equal
             total += np.bincount(of, weights=self.log10_of(bits), minlength=len(texts))
         return -total / math.log10(2)
 
     def log10_of(self, bits: Bits) -> np.ndarray:
         """log10 probability of each byte."""
-        total = np.zeros(len(bits.data))
-        for b in range(8):
-            bit, at = bits.bit(b)
-            x, gate = self.inputs(b, bit, at, False)
-            z = self.logits(x, gate)
-            p = 0.5 / (1 + np.exp(-z)) + 0.5 * self.refined[gate, self.bins(z)]
-            p = np.clip(p, 1e-6, 1 - 1e-6)
-            total += np.log10(np.where(bit, p, 1 - p))
-        return total
+        windows = Windows(bits)
+        whole = np.ones(len(windows.data))
+        tables = [[self.stretched[slot] for _, slot in windows.slots(b)] for b in range(8)]
+        knowns = [self.known(own, windows.groups) for own in tables]
+        for begin in range(0, len(whole), STEP):  # so that a step's numbers stay in the processor's cache
+            own = slice(begin, begin + STEP)
+            at, each = [group[own].astype(np.int64) for group in windows.groups], np.arange(len(whole[own]))
+            for b in range(8):
+                x = np.array([table.take(k) for table, k in zip(tables[b], at)], np.float64)
+                known = knowns[b][own].astype(np.int64)
+                z = self.logits(x, known * len(each) + each, self.weights[b::8])
+                p = 0.5 / (1 + np.exp(-z)) + 0.5 * self.refined[b::8].ravel().take(known * MAP_BINS + self.bins(z))
+                p = np.clip(p, 1e-6, 1 - 1e-6)
+                whole[own] *= np.where(bit_of(windows.data[own], b), p, 1 - p)  # 1e-48 at least in the end
+        return np.log10(whole)[windows.of]
+
+
+def stretch(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
+    """The logit that counts of zeros and ones give; without any it is the negative zero that no counts give."""
+    n = n0 + n1
+    out = np.log((n1 + 0.4) / (n0 + 0.4)) * (n / (n + 0.5))
+    out[n == 0] = -0.0
+    return out
 
 
 def unpacked(zeros: bytes, ones: bytes, weights: np.ndarray, refined: np.ndarray) -> Mixer:
@@ -245,28 +339,49 @@ def batched(batches: Iterator[pa.RecordBatch], size: int = 10_000) -> Iterator[l
 
 
 def context_table(known: DataFrame, column: str = "word", bits_of: Callable = word_bits) -> tuple[np.ndarray, np.ndarray]:
-    """Zeros and ones of all slots over the different training words, or over running texts; the size is fixed."""
+    """Zeros and ones of all slots over the different training words, or over running texts; the size is fixed.
+
+    A task sends its counts as blocks of consecutive slots, compressed.
+    """
+    size = 1 << SLOT_BITS - BLOCK_BITS
+
+    def block(number: int, zeros: np.ndarray, ones: np.ndarray) -> pa.RecordBatch:
+        packed = [pa.array([zlib.compress(x.astype("<i8", copy=False), 1)], pa.binary()) for x in (zeros, ones)]
+        return pa.record_batch([pa.array([number], pa.int32()), *packed], names=["block", "n0", "n1"])
+
+    def counts_in(x: bytes) -> np.ndarray:
+        return np.frombuffer(zlib.decompress(x), "<i8")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         zeros, ones = np.zeros(1 << SLOT_BITS, np.int64), np.zeros(1 << SLOT_BITS, np.int64)
         for bits in bits_of(batches, 10_000):
+            windows = Windows(bits)
+            often = [np.bincount(group, weights=windows.often).astype(np.int64) for group in windows.groups]
             for b in range(8):
-                bit, at = bits.bit(b)
-                for slots in at:
-                    np.add.at(ones, slots[bit], 1)
-                    np.add.at(zeros, slots[~bit], 1)
-        full = np.flatnonzero(zeros | ones)
-        for k in range(0, len(full), EMIT):
-            part = full[k : k + EMIT]
-            yield pa.record_batch([pa.array(part.astype(np.int32)), pa.array(zeros[part]), pa.array(ones[part])], names=["slot", "n0", "n1"])
-
-    rows = known.select(column).mapInArrow(counted, "slot int, n0 long, n1 long").groupBy("slot").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    small = rows.selectExpr("slot", "cast(n0 as float) as n0", "cast(n1 as float) as n1")
+                for n, (bit, slot) in zip(often, windows.slots(b)):
+                    np.add.at(ones, slot[bit], n[bit])
+                    np.add.at(zeros, slot[~bit], n[~bit])
+        for k in range(1 << BLOCK_BITS):
+            own = slice(k * size, (k + 1) * size)
+            if zeros[own].any() or ones[own].any():
+                yield block(k, zeros[own], ones[own])
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # the table's size at most
+        for batch in batches:
+            for k, *parts in zip(*(batch.column(c).to_pylist() for c in ("block", "n0", "n1"))):
+                own = total.setdefault(k, (np.zeros(size, np.int64), np.zeros(size, np.int64)))
+                for sums, part in zip(own, parts):
+                    sums += counts_in(part)
+        for k, own in total.items():
+            yield block(k, *own)
+
+    kind = "block int, n0 binary, n1 binary"
+    rows = known.select(column).mapInArrow(counted, kind).repartition("block").mapInArrow(summed, kind)
     zeros, ones = np.zeros(1 << SLOT_BITS, np.float32), np.zeros(1 << SLOT_BITS, np.float32)
-    table = small.toArrow()  # at most 2**SLOT_BITS rows
-    if table.num_rows:
-        at = table.column("slot").to_numpy()
-        zeros[at], ones[at] = table.column("n0").to_numpy(), table.column("n1").to_numpy()
+    for r in rows.toArrow().to_pylist():  # at most 2**BLOCK_BITS rows
+        own = slice(r["block"] * size, (r["block"] + 1) * size)
+        zeros[own], ones[own] = counts_in(r["n0"]), counts_in(r["n1"])
     return zeros, ones
 
 
@@ -277,9 +392,10 @@ def trained(known: DataFrame, column: str = "word", bits_of: Callable = word_bit
 
     def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, n = Mixer(held.value.zeros, held.value.ones, held.value.weights.copy(), held.value.refined), 0
-        seen = np.zeros((2, GATES * MAP_BINS))
+        logits_of = held.value.stretched_without
+        seen = np.zeros((2, GATES, MAP_BINS))
         for bits in bits_of(batches, 2_000):
-            own.learn(bits, seen)
+            own.learn(bits, seen, logits_of)
             n += len(bits.data)
         if n:
             yield pa.record_batch([pa.array([n]), pa.array([own.weights.ravel().tolist()]), pa.array([seen.ravel().tolist()])], names=["n", "weights", "seen"])
@@ -378,6 +494,7 @@ def document_parts(docs: DataFrame, top: tuple[list[bytes], np.ndarray, np.ndarr
         plain = 10.0**logs
         row = TaskContext.get().partitionId() << 36
         for batch, texts in texts_of(batches, "text"):
+            bits = spelling.text_bits(texts) / np.array([len(t) + 1 for t in texts])
             for begin, part in parts_of(texts):
                 own = [t.lower().split() for t in part]
                 for w in own:
@@ -409,7 +526,7 @@ def document_parts(docs: DataFrame, top: tuple[list[bytes], np.ndarray, np.ndarr
                     add(counts[wc] > 0),
                     add(base[wc]),
                     np.array(experts).T,
-                    spelling.text_bits(part) / np.array([len(t) + 1 for t in part]),
+                    bits[begin : begin + n],
                 )
                 o = order[~common[order]]
                 if len(o):

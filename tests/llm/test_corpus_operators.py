@@ -2,6 +2,7 @@
 
 import collections
 import pickle
+import math
 import random
 import sys
 import zlib
@@ -192,6 +193,53 @@ def test_bits_per_byte_follow_running_text(spark):
     assert (whole[0] == whole[1]).all() and len(whole[0]) == sum(len(t) + 1 for t in texts)
 
 
+def plain_learning(mixer, bits, step):
+    """One step of learning after another, byte for byte, without windows; the bits of each byte by the mixer before learning."""
+    weights, cost = mixer.weights.copy(), np.zeros(len(bits.data))
+    for begin in range(0, len(bits.data), step):
+        for b in range(8):
+            bit, at = bits.bit(b)
+            grad, size = np.zeros_like(weights), np.zeros(len(weights))
+            for i in range(begin, min(begin + step, len(bits.data))):
+                x = {}
+                for own in (0, 1):
+                    n = [(max(mixer.zeros[s[i]] - own * (not bit[i]), 0), max(mixer.ones[s[i]] - own * bit[i], 0)) for s in at]
+                    logit = np.array([math.log((n1 + 0.4) / (n0 + 0.4)) * (n0 + n1) / (n0 + n1 + 0.5) for n0, n1 in n])
+                    x[own] = logit, max([k + 1 for k, (n0, n1) in enumerate(n) if n0 + n1], default=0) * 8 + b
+                logit, gate = x[0]
+                z = np.clip(logit @ mixer.weights[gate], -12, 12)
+                p = 0.5 / (1 + math.exp(-z)) + 0.5 * mixer.refined[gate, int(np.clip(np.rint(z * 2) + lm_scoring.MAP_BINS // 2, 0, lm_scoring.MAP_BINS - 1))]
+                cost[i] -= math.log2(p if bit[i] else 1 - p)
+                logit, gate = x[1]
+                z = np.clip(logit @ weights[gate], -12, 12)
+                grad[gate] += logit * (bit[i] - 1 / (1 + math.exp(-z)))
+                size[gate] += logit @ logit
+            weights += 2.0 * grad / (size[:, None] / 2 + 10)
+    return weights, cost
+
+
+def test_equal_windows_are_worked_out_once_and_count_as_often():
+    texts = [(prose(k, 8) or "").encode() for k in (1, 2, 1, 3, 1)]
+    zeros, ones = np.zeros((2, 1 << lm_scoring.SLOT_BITS), np.float32)
+    ((bits, _),) = lm_scoring.running(texts)
+    for b in range(8):
+        bit, at = bits.bit(b)
+        for slots in at:
+            np.add.at(ones, slots[bit], 1)
+            np.add.at(zeros, slots[~bit], 1)
+    for other in (bits, lm_scoring.Bits([b"the", b"other", b"the", b""])):
+        mixer = lm_scoring.Mixer(zeros, ones)
+        step = other.step = min(other.step, 100)
+        weights, cost = plain_learning(mixer, other, step)
+        assert np.allclose(-mixer.log10_of(other) / math.log10(2), cost, atol=1e-4)
+        seen = np.zeros((2, lm_scoring.GATES, lm_scoring.MAP_BINS))
+        mixer.learn(other, seen, mixer.stretched_without)
+        assert np.allclose(mixer.weights, weights, atol=1e-4) and seen[0].sum() == 8 * len(other.data)
+        assert seen[1].sum() == np.unpackbits(other.data).sum()
+    ((many, _),) = lm_scoring.running(texts * 50)
+    assert len(lm_scoring.Windows(many).data) == len(lm_scoring.Windows(bits).data) < len(many.data) / 50
+
+
 def test_language_scores_of_nothing(spark):
     assert lm_scoring.language_scores(docs_table(spark, [])).count() == 0
 
