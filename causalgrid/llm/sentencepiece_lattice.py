@@ -13,8 +13,11 @@ An empty table gives an empty table. Decoding joins pieces, turns byte pieces in
 
 from __future__ import annotations
 
+import hashlib
 import heapq
+import itertools
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,8 +36,6 @@ HELD_UNITS = 300_000
 #: Different units whose edges one task groups, in memory.
 UNITS_A_SHARD = 30_000
 EMIT = 400_000
-#: Stands for the ids of a unit that is not held.
-GAP = np.array(-1, "<i4").tobytes()
 
 
 def pieces_of(path: str) -> list[tuple[str, int, int]]:
@@ -139,24 +140,33 @@ def unit_counts(docs: DataFrame) -> DataFrame:
     """``unit, c``: how often each unit occurs; ``docs``: ``text``."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[str, int] = {}
+        seen: Counter[str] = Counter()
         for _, texts in texts_of(batches, "text"):
             for text in texts:
-                for u in units_of(text.decode()):
-                    seen[u] = seen.get(u, 0) + 1
+                seen.update(units_of(text.decode()))
                 if len(seen) > EMIT:
                     yield pa.record_batch([pa.array(list(seen)), pa.array(list(seen.values()), pa.int64())], names=["unit", "c"])
-                    seen = {}
+                    seen.clear()
         if seen:
             yield pa.record_batch([pa.array(list(seen)), pa.array(list(seen.values()), pa.int64())], names=["unit", "c"])
 
     return docs.select("text").mapInArrow(counted, "unit string, c long").groupBy("unit").agg(F.sum("c").alias("c"))
 
 
+def packed(numbers: list[int]) -> bytes:
+    """Numbers that are mostly small, in few bytes."""
+    return zlib.compress(np.array(numbers, "<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def numbers_in(x: bytes) -> list[int]:
+    return np.frombuffer(zlib.decompress(x), np.uint8).reshape(4, -1).T.copy().view("<u4").ravel().tolist()
+
+
 def with_ids(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", held_units: int = HELD_UNITS) -> DataFrame:
-    """``row, doc_id, text, ids``: every document with its ids in order; ``row`` numbers rows.
+    """``row, doc_id, n_chars, sha256, ids``: every document with its ids in order and what tells its text; ``row`` numbers rows.
 
-    The most frequent units are held by every worker and leave gaps for the others, which are joined once for each document that has them.
+    The most frequent units are held by every worker, which writes their numbers and leaves gaps for the others; these are joined once
+    for each document that has them. So texts are not shuffled, and ids are put in where they are used.
     """
     spark = docs.sparkSession
     arrow_batches(spark)
@@ -164,64 +174,68 @@ def with_ids(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     counts = stored(unit_counts(rows), "unit-counts")
     shards = max(1, -(-counts.count() // UNITS_A_SHARD))
     units = stored(encoded_units(counts.select("unit").repartition(shards, "unit"), path), "units")
-    most = counts.orderBy(F.desc("c"), "unit").limit(held_units).select("unit")
-    top = units.join(most, "unit").select("unit", "ids").toArrow()  # at most held_units rows
+    most = counts.orderBy(F.desc("c"), "unit").limit(held_units)
+    top = units.join(most, "unit").orderBy(F.desc("c"), "unit").select("unit", "ids").toArrow()  # at most held_units rows
     held = spark.sparkContext.broadcast((top.column("unit").to_pylist(), [np.array(x, "<i4").tobytes() for x in top.column("ids").to_pylist()]))
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = dict(zip(*held.value))
+        known = dict(zip(held.value[0], itertools.count(1)))  # 0 is a gap
         row = TaskContext.get().partitionId() << 36
         for batch, texts in texts_of(batches, "text"):
-            ids, rare_row, rare, gaps = [], [], [], []
+            numbers, chars, hashes, rare_row, rare, gaps = [], [], [], [], [], []
             for k, text in enumerate(texts):
                 own = units_of(text.decode())
-                found = list(map(known.get, own))
-                if None in found:
-                    more: dict[str, list[int]] = {}
-                    for n, at in enumerate(i for i, x in enumerate(found) if x is None):
-                        found[at] = GAP
-                        more.setdefault(own[at], []).append(n)
-                    rare_row.extend([row + k] * len(more))
-                    rare.extend(more)
-                    gaps.extend(more.values())
-                ids.append(np.frombuffer(b"".join(found), "<i4"))
+                found = [known.get(u, 0) for u in own]
+                more: dict[str, list[int]] = {}
+                for n, at in enumerate(i for i, x in enumerate(found) if not x):
+                    more.setdefault(own[at], []).append(n)
+                rare_row.extend([row + k] * len(more))
+                rare.extend(more)
+                gaps.extend(more.values())
+                numbers.append(packed(found))
+                chars.append(len(text.decode()))
+                hashes.append(hashlib.sha256(text).digest())
             n, m = len(texts), len(rare)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.r_[np.arange(row, row + n), np.array(rare_row, np.int64)]),
-                    *[pa.concat_arrays([batch.column(c), pa.nulls(m, batch.column(c).type)]) for c in ("doc_id", "text")],
-                    pa.concat_arrays([pa.array(ids, pa.list_(pa.int32())), pa.nulls(m, pa.list_(pa.int32()))]),
+                    pa.concat_arrays([batch.column("doc_id"), pa.nulls(m, batch.column("doc_id").type)]),
+                    pa.array(chars + [None] * m, pa.int64()),
+                    pa.array(hashes + [None] * m, pa.binary()),
+                    pa.array(numbers + [None] * m, pa.binary()),
                     pa.array([None] * n + rare, pa.string()),
                     pa.array([None] * n + gaps, pa.list_(pa.int32())),
                 ],
-                names=["row", "doc_id", "text", "held", "unit", "gaps"],
+                names=["row", "doc_id", "n_chars", "sha256", "held", "unit", "gaps"],
             )
             row += n
 
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    made = stored(rows.mapInArrow(parts, f"row long, doc_id {kind}, text string, held array<int>, unit string, gaps array<int>"), "unit-parts")
+    own = f"row long, doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_chars long, sha256 binary"
+    made = stored(rows.mapInArrow(parts, f"{own}, held binary, unit string, gaps array<int>"), "unit-parts")
     rare = made.where("unit IS NOT NULL").select("row", "unit", "gaps").join(units, "unit")
     more = rare.groupBy("row").agg(F.collect_list("gaps").alias("gaps"), F.collect_list("ids").alias("more"))
 
     def filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids_of = [b"", *held.value[1]]
         for batch in batches:
             out = []
-            for own, gaps, found in zip(*(batch.column(c).to_pylist() for c in ("held", "gaps", "more"))):
+            for numbers, gaps, found in zip(*(batch.column(c).to_pylist() for c in ("held", "gaps", "more"))):
+                numbers = numbers_in(numbers)
+                whole = [ids_of[i] for i in numbers]
                 if gaps is not None:
-                    of_gap = {n: ids for places, ids in zip(gaps, found) for n in places}
-                    whole, n = [], 0
-                    for i in own:
-                        if i >= 0:
-                            whole.append(i)
-                        else:
-                            whole += of_gap[n]
-                            n += 1
-                    own = whole
-                out.append(own)
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("row", "doc_id", "text")], pa.array(out, pa.list_(pa.int32()))], names=["row", "doc_id", "text", "ids"])
-
-    both = made.where("unit IS NULL").select("row", "doc_id", "text", "held").join(more, "row", "left")
-    return both.mapInArrow(filled, f"row long, doc_id {kind}, text string, ids array<int>")
+                    places = [k for k, i in enumerate(numbers) if not i]
+                    for own, ids in zip(gaps, found):
+                        ids = np.array(ids, "<i4").tobytes()
+                        for n in own:
+                            whole[places[n]] = ids
+                out.append(b"".join(whole))
+            columns = [batch.column(c) for c in ("row", "doc_id", "n_chars", "sha256")]
+            ends = np.cumsum([0, *[len(x) // 4 for x in out]], dtype=np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(out), "<i4")))
+            yield pa.RecordBatch.from_arrays([*columns, ids], names=["row", "doc_id", "n_chars", "sha256", "ids"])
+
+    both = made.where("unit IS NULL").select("row", "doc_id", "n_chars", "sha256", "held").join(more, "row", "left")
+    return both.mapInArrow(filled, f"{own}, ids array<int>")
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", held_units: int = HELD_UNITS) -> DataFrame:
@@ -266,10 +280,12 @@ def piece_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
         table = bytes_of_ids(path)
         for batch in batches:
             out = []
-            for text, ids in zip(batch.column("text").to_pylist(), batch.column("ids").to_pylist()):
-                own = np.array(ids, "<i4")
-                same = decoded_text(ids, table) == text
-                out.append((len(text), len(own), int(own.sum(dtype=np.int64)), int(((own >= base) & (own < base + 256)).sum()), zlib.crc32(own.tobytes()), same))
+            ids = batch.column("ids")
+            every, ends = ids.values.to_numpy(), ids.offsets.to_numpy()
+            for chars, sha, begin, end in zip(*(batch.column(c).to_pylist() for c in ("n_chars", "sha256")), ends, ends[1:]):
+                own = every[begin:end].astype("<i4", copy=False)
+                same = hashlib.sha256(decoded_text(own.tolist(), table).encode()).digest() == sha
+                out.append((chars, len(own), int(own.sum(dtype=np.int64)), int(((own >= base) & (own < base + 256)).sum()), zlib.crc32(own.tobytes()), same))
             columns = list(zip(*out)) or [()] * 6
             made = [*[pa.array(x, pa.int64()) for x in columns[:5]], pa.array(columns[5], pa.bool_())]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *made], names=["doc_id", "n_chars", "n_pieces", "ids_sum", "n_byte_pieces", "ids_crc32", "decodes"])

@@ -244,3 +244,24 @@ def test_sentencepiece_digests_see_order_and_decoding(spark, held):
     for k, t in enumerate(texts):
         assert r[k].ids_crc32 == zlib.crc32(np.array(library.encode(t or ""), "<u4").tobytes())
         assert r[k].decodes == ("▁" not in (t or ""))
+
+
+def test_sentencepiece_shuffles_numbers_not_texts(spark, monkeypatch):
+    """Texts are read and not written again, and frequent units leave their numbers."""
+    made, keep = {}, sentencepiece_lattice.stored
+
+    def seen(df, name):
+        made[name] = keep(df, name)
+        return made[name]
+
+    monkeypatch.setattr(sentencepiece_lattice, "stored", seen)
+    text = "one two one three " * 2_000
+    r = by_id(sentencepiece_lattice.piece_counts(docs_table(spark, [(1, text), (2, ""), (3, "four")]), PIECES, held_units=4))
+    ids = sentencepiece.SentencePieceProcessor(model_file=PIECES).encode(text)
+    assert (r[1].n_chars, r[1].ids_crc32, r[1].decodes) == (len(text), zlib.crc32(np.array(ids, "<u4").tobytes()), True)
+    assert "text" not in made["unit-parts"].columns and max(len(x.held or b"") for x in made["unit-parts"].collect()) < 500
+
+
+def test_packed_numbers_come_back():
+    for numbers in ([], [0], [1, 0, 300_000, 255, 256], list(range(70_000))):
+        assert sentencepiece_lattice.numbers_in(sentencepiece_lattice.packed(numbers)) == numbers
